@@ -29,17 +29,28 @@ def _swap(id_: Column) -> Column:
     )
 
 
-def _whole_number(c: Column | str) -> Column:
+def id_number(c: Column | str) -> Column:
+    """INT of an id's text; NULL when it is no non-negative 32-bit number."""
     c = F.col(c) if isinstance(c, str) else c
     text = c.cast("string")
     return F.when(text.rlike("^[0-9]+$"), text.try_cast("int"))
 
 
+def scramble_number(number: Column) -> Column:
+    return _swap(number).bitwiseXOR(F.lit(XOR_KEY)).cast("string")
+
+
+def descramble_number(number: Column) -> Column:
+    """Text of the id hidden in an INT. The bit swap reads its input five times, so
+    give it a column rather than a long expression."""
+    return _swap(number.bitwiseXOR(F.lit(XOR_KEY))).cast("string")
+
+
 def scramble(c: Column | str) -> Column:
-    """Scrambled text of a non-negative id; NULL when it is no 32-bit number."""
-    return _swap(_whole_number(c)).bitwiseXOR(F.lit(XOR_KEY)).cast("string")
+    """Scrambled text of an id."""
+    return scramble_number(id_number(c))
 
 
 def descramble(c: Column | str) -> Column:
-    """Id hidden in a scrambled text; NULL when it is no 32-bit number."""
-    return _swap(_whole_number(c).bitwiseXOR(F.lit(XOR_KEY))).cast("string")
+    """Id hidden in a scrambled text."""
+    return descramble_number(id_number(c))

@@ -43,25 +43,27 @@ def field_count(line: Column | str) -> Column:
 
 
 def request_target(request: Column | str) -> Column:
-    """Path and query of ``METHOD target PROTOCOL``; NULL for shorter requests."""
-    parts = F.split(_col(request), " ")
-    return F.when(F.size(parts) >= 3, F.get(parts, F.lit(1)))
+    """Path and query of ``METHOD target PROTOCOL``; '' for shorter requests."""
+    return F.regexp_extract(_col(request), r"^[^ ]* ([^ ]*) +[^ ]", 1)
 
 
-def url_query(url: Column | str) -> Column:
-    """Text between the first ``?`` and ``#``."""
-    return first_match(url, r"^[^?#]*\?([^#]*)", 1)
+def _param(url: Column | str, name: str, value: str) -> Column:
+    """First value of a parameter in the text between the first ``?`` and ``#``.
+
+    One pattern for the whole URL: nested extractions would be computed repeatedly.
+    """
+    pattern = rf"^[^?#]*\?(?:[^#]*?&)?{re.escape(name)}={value}"
+    return first_match(url, pattern, 1)
 
 
 def url_param(url: Column | str, name: str) -> Column:
     """Value of a query parameter that has exactly one, non-empty value."""
-    pattern = rf"(?:^|&){re.escape(name)}=([^&=]+)=*(?:&|$)"
-    return first_match(url_query(url), pattern, 1)
+    return _param(url, name, r"([^&=#]+)=*(?:[&#]|$)")
 
 
 def url_param_head(url: Column | str, name: str) -> Column:
     """Text up to the next ``=`` or ``&`` of the first such parameter, '' to NULL."""
-    return first_match(url_query(url), rf"(?:^|&){re.escape(name)}=([^&=]*)", 1)
+    return _param(url, name, "([^&=#]*)")
 
 
 def session_cookie(cookie: Column | str) -> Column:
@@ -85,7 +87,7 @@ def args_token(args: Column | str) -> Column:
 def usable_token(token: Column | str) -> Column:
     """The token, or NULL when it has a slash or backslash."""
     token = _col(token)
-    return F.when(~token.contains("/") & ~token.contains("\\"), token)
+    return F.when(~token.rlike(r"[/\\]"), token)
 
 
 def words(text: Column | str) -> Column:

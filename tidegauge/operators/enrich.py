@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.ids import descramble
+from tidegauge.functions.ids import descramble_number
 from tidegauge.functions.labels import app_of_request, client_class
 from tidegauge.functions.text import (
     args_token,
-    blank_to_null,
-    first_match,
     request_target,
     session_cookie,
     url_param,
@@ -27,6 +27,7 @@ TOKEN_SESSIONS = "api"
 API_SITE = "api"
 API_PARAM = "access_token"
 TOKEN_PARAM = "token"
+OPEN_IDS = ("member_id", "qz_id", "instance_id")
 MAX_IP_LENGTH = 15
 CLICK = "_click"
 
@@ -37,15 +38,17 @@ def valid_ip(ip: Column | str) -> Column:
     return F.when((ip != "") & (F.length(ip) <= MAX_IP_LENGTH), ip)
 
 
-def with_geo(df: DataFrame, geo: DataFrame, ip: str = "remote_addr") -> DataFrame:
+def with_geo(
+    df: DataFrame, geo: DataFrame, ip: str = "remote_addr", spread_by: Sequence[str] = ()
+) -> DataFrame:
     """Adds country, region and city by address, dropping traffic of local networks.
 
     ``geo`` has one row per ``ip``.
     """
-    named = df.withColumn("ip", valid_ip(ip)) if ip != "ip" else df
-    located = lookup(named, geo, "ip", *GEO_FIELDS)
-    kept = located.where(~is_lan(*GEO_FIELDS))
-    return kept if ip == "ip" else kept.drop("ip")
+    dim = geo.withColumnRenamed("ip", "_ip")
+    valid = df.withColumn("_ip", valid_ip(ip))
+    located = lookup(valid, dim, "_ip", *GEO_FIELDS, spread_by=spread_by).drop("_ip")
+    return located.where(~is_lan(*GEO_FIELDS))
 
 
 def request_token(request: Column, args: Column) -> Column:
@@ -69,46 +72,57 @@ def session_key() -> Column:
     )
 
 
-def open_ids(ids: Column | str) -> dict[str, Column]:
-    """Identity columns hidden in ``"qz_id=..&instance_id=..&member_id=.."``.
+def open_numbers(ids: Column | str) -> dict[str, Column]:
+    """Scrambled INT ids of ``"qz_id=..&instance_id=..&member_id=.."``.
 
-    All NULL unless there are exactly three parts; there is never a user id.
+    All NULL unless there are exactly three parts.
     """
     ids = F.col(ids) if isinstance(ids, str) else ids
-    plain = F.regexp_replace(ids, '"', "")
-    whole = F.size(F.split(F.regexp_replace(plain, "&+$", ""), "&")) == 3
+    plain = F.translate(ids, '"', "")
+    whole = plain.rlike("^[^&]*&[^&]*&[^&]+&*$")
 
     def part(name: str) -> Column:
-        value = first_match(plain, f"(?:^|&){name}=([^&=]+)=*(?:&|$)", 1)
-        return F.when(whole, descramble(value))
-
-    return {
-        "member_id": part("member_id"),
-        "qz_id": part("qz_id"),
-        "user_id": F.lit(None).cast("string"),
-        "instance_id": part("instance_id"),
-    }
+        number = F.regexp_extract(plain, f"(?:^|&){name}=([0-9]+)=*(?:&|$)", 1)
+        return F.when(whole, number.try_cast("int"))
+
+    return {name: part(name) for name in OPEN_IDS}
+
+
+def with_open_ids(df: DataFrame, ids: str = "sent_http_set_cookie") -> DataFrame:
+    """Adds member_id, qz_id and instance_id decoded from the open API's field."""
+    numbers = {f"_open_{name}": number for name, number in open_numbers(ids).items()}
+    decoded = {name: descramble_number(F.col(f"_open_{name}")) for name in OPEN_IDS}
+    return df.withColumns(numbers).withColumns(decoded).drop(*numbers)
 
 
-def with_identity(df: DataFrame, sessions: DataFrame) -> DataFrame:
+def with_identity(
+    df: DataFrame, sessions: DataFrame, spread_by: Sequence[str] = ("value",)
+) -> DataFrame:
     """Adds the four ids: by session lookup, or decoded in place for the open API.
 
-    ``sessions`` has one row per ``(kind, token)``. Page requests get no ids.
+    ``sessions`` has one row per ``(kind, token)``. Page requests get no ids, and
+    open API requests no user id.
     """
-    by_session = [f"_{name}" for name in IDENTITY_FIELDS]
+    page = F.col("request").contains(PAGE_MARK)
+    is_open = (F.col("site") == SITE_BY_IDS) & ~page
+    numbers = {
+        f"_open_{name}": F.when(is_open, number)
+        for name, number in open_numbers("sent_http_set_cookie").items()
+    }
+    keyed = df.withColumns({"_session": session_key(), **numbers})
     dim = sessions.select(
         F.concat_ws(":", "kind", "token").alias("_session"),
-        *[F.col(name).alias(as_) for name, as_ in zip(IDENTITY_FIELDS, by_session)],
+        *[F.nullif(F.col(name), F.lit("")).alias(f"_{name}") for name in IDENTITY_FIELDS],
     )
-    found = lookup(df.withColumn("_session", session_key()), dim, "_session", *by_session)
-    page = F.col("request").contains(PAGE_MARK)
-    decoded = open_ids("sent_http_set_cookie")
-    is_open = (F.col("site") == SITE_BY_IDS) & ~page
+    found = lookup(keyed, dim, "_session", *[f"_{n}" for n in IDENTITY_FIELDS], spread_by=spread_by)
+    # A row has a session or open ids, never both.
     ids = {
-        name: F.when(is_open, decoded[name]).otherwise(blank_to_null(as_))
-        for name, as_ in zip(IDENTITY_FIELDS, by_session)
+        name: F.coalesce(descramble_number(F.col(f"_open_{name}")), F.col(f"_{name}"))
+        if name in OPEN_IDS
+        else F.col(f"_{name}")
+        for name in IDENTITY_FIELDS
     }
-    return found.withColumns(ids).drop("_session", *by_session)
+    return found.withColumns(ids).drop("_session", *numbers, *[f"_{n}" for n in IDENTITY_FIELDS])
 
 
 def derive_clicks(df: DataFrame) -> DataFrame:

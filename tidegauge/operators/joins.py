@@ -9,7 +9,9 @@ spread here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _KEY = "_lookup_key"
@@ -17,22 +19,19 @@ _SPREAD = "_spread_key"
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def _spread_key(facts: DataFrame, key: str, kind: str) -> Column:
-    """The key, or for rows without one a hash of the row.
-
-    A hash, not a random number, so a task that runs again gives the same rows.
-    """
-    return F.coalesce(F.col(key).cast(kind), F.xxhash64(*facts.columns).cast(kind))
-
-
-def lookup(facts: DataFrame, dim: DataFrame, key: str, *values: str) -> DataFrame:
+def lookup(
+    facts: DataFrame, dim: DataFrame, key: str, *values: str, spread_by: Sequence[str] = ()
+) -> DataFrame:
     """Adds ``values`` of the dimension row with the same ``key``; NULL when there is none.
 
-    ``dim`` must hold one row per key.
+    ``dim`` must hold one row per key. Rows without a key are spread by a hash of
+    ``spread_by`` (all columns, if not given): a hash and not a random number, so a
+    task that runs again gives the same rows.
     """
     kind = "bigint" if dict(dim.dtypes)[key] in _WHOLE else "string"
     keyed = dim.where(F.col(key).isNotNull()).select(F.col(key).cast(kind).alias(_KEY), *values)
-    spread = facts.withColumn(_SPREAD, _spread_key(facts, key, kind))
+    nobody = F.xxhash64(*(spread_by or facts.columns)).cast(kind)
+    spread = facts.withColumn(_SPREAD, F.coalesce(F.col(key).cast(kind), nobody))
     # The second condition keeps a hash from matching a key by accident.
     match = (F.col(_SPREAD) == F.col(_KEY)) & spread[key].isNotNull()
     return spread.join(keyed, match, "left").drop(_SPREAD, _KEY)

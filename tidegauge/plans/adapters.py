@@ -82,45 +82,46 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_hits(table(spark, sf_dir, "events"))
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per user: enterprise, country and region.
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per user with the enterprise."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("custkey"),
+        _text(F.col("c_nationkey")).alias("org"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_acctbal").alias("balance"),
+        F.col("c_nationkey").alias("nationkey"),
+    )
 
-    ``nation`` and ``region`` have 25 and 5 rows at every scale.
-    """
+
+def located_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with country and region; ``nation`` and ``region`` have 25 and 5 rows at every scale."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    areas = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
-    customer = table(spark, sf_dir, "customer")
-    located = customer.join(
-        F.broadcast(areas), customer["c_nationkey"] == areas["n_nationkey"], "left"
-    )
-    return located.select(
-        F.col("c_custkey").alias("custkey"),
-        _text(F.col("c_nationkey")).alias("org"),
+    areas = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("nationkey"),
         F.col("n_name").alias("country"),
         F.col("r_name").alias("region"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("c_acctbal").alias("balance"),
     )
+    return users(spark, sf_dir).join(F.broadcast(areas), "nationkey", "left")
 
 
-def with_org(df: DataFrame, users: DataFrame) -> DataFrame:
+def with_org(df: DataFrame, people: DataFrame) -> DataFrame:
     """Adds ``instance_id`` by ``custkey``; fold first, so the join sees few rows."""
-    found = lookup(df, users.select("custkey", "org"), "custkey", "org")
+    found = lookup(df, people.select("custkey", "org"), "custkey", "org")
     return found.withColumn("instance_id", F.when(F.col("has_org"), F.col("org"))).drop("org")
 
 
-def with_area(df: DataFrame, users: DataFrame) -> DataFrame:
-    return lookup(df, users.select("custkey", "region"), "custkey", "region")
+def with_area(df: DataFrame, people: DataFrame) -> DataFrame:
+    return lookup(df, people.select("custkey", "region"), "custkey", "region")
 
 
-def org_hits(log: DataFrame, users: DataFrame, unit: str, *dims: str) -> DataFrame:
+def org_hits(log: DataFrame, people: DataFrame, unit: str, *dims: str) -> DataFrame:
     """Hits folded per bucket, user and ``dims``, then joined to their enterprise."""
     keys = dict.fromkeys(("custkey", "has_org", "member_id", *dims))
-    return with_org(fold(log, unit, *keys), users)
+    return with_org(fold(log, unit, *keys), people)
 
 
-def sessions(users: DataFrame) -> DataFrame:
+def sessions(people: DataFrame) -> DataFrame:
     """``(kind, token)`` to ids. Some users have no session of one kind or the other."""
     key = _text(F.col("custkey"))
     digest = F.md5(key)
@@ -130,10 +131,10 @@ def sessions(users: DataFrame) -> DataFrame:
         key.alias("user_id"),
         F.col("org").alias("instance_id"),
     )
-    cookie = users.where(F.col("balance") >= 0).select(
+    cookie = people.where(F.col("balance") >= 0).select(
         F.lit("esn").alias("kind"), F.substring(digest, 1, 26).alias("token"), *ids
     )
-    token = users.where(F.col("segment") != "BUILDING").select(
+    token = people.where(F.col("segment") != "BUILDING").select(
         F.lit("api").alias("kind"),
         F.concat(digest, F.substring(digest, 1, 8)).alias("token"),
         *ids,
@@ -141,9 +142,9 @@ def sessions(users: DataFrame) -> DataFrame:
     return cookie.unionByName(token)
 
 
-def geo(users: DataFrame) -> DataFrame:
+def geo(people: DataFrame) -> DataFrame:
     """``ip`` to country, region and city: seven of each user's eight addresses, one a LAN."""
-    ends = users.select("*", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("x"))
+    ends = people.select("*", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("x"))
     ip = F.concat_ws(
         ".",
         F.lit("10"),
@@ -157,7 +158,7 @@ def geo(users: DataFrame) -> DataFrame:
     )
 
 
-def payments(log: DataFrame, users: DataFrame) -> DataFrame:
+def payments(log: DataFrame, people: DataFrame) -> DataFrame:
     """``(instance_id, start, end, total_fee)``: a signup pays for its day and seven more."""
     fee = F.when(F.col("k") % 5 == 0, F.lit(0.0)).otherwise(F.col("value"))
     signups = log.where((F.col("event_type") == "signup") & F.col("has_org"))
@@ -166,7 +167,7 @@ def payments(log: DataFrame, users: DataFrame) -> DataFrame:
         .agg(F.max(fee).alias("total_fee"))
     )
     per_org = (
-        with_org(per_user, users)
+        with_org(per_user, people)
         .where(F.col("instance_id").isNotNull())
         .groupBy("instance_id", "start")
         .agg(F.max("total_fee").alias("total_fee"))

@@ -27,7 +27,8 @@ Reports = dict[str, DataFrame]
 def enriched_log(lines: DataFrame, geo: DataFrame, sessions: DataFrame) -> DataFrame:
     """Raw lines to the typed log: filter, geography without LAN traffic, identity."""
     wanted = parse_lines(lines).where(is_business_request() & F.col("ts").isNotNull())
-    return with_identity(with_geo(wanted, geo), sessions).withColumnRenamed("remote_addr", "ip")
+    located = with_geo(wanted, geo, spread_by=["value"])
+    return with_identity(located, sessions).withColumnRenamed("remote_addr", "ip")
 
 
 def visitor_reports(log: DataFrame, unit: str, tz: str = "UTC") -> Reports:

@@ -74,7 +74,7 @@ def scan_last_hour(spark, sf):
 
 @query
 def valid_identity(spark, sf):
-    log = a.with_org(a.hits(spark, sf).where(filters.not_openapi()), a.customers(spark, sf))
+    log = a.with_org(a.hits(spark, sf).where(filters.not_openapi()), a.users(spark, sf))
     return log.where(filters.has_identity()).select("event_id", *IDENTITY_FIELDS)
 
 
@@ -197,22 +197,15 @@ def url_param(spark, sf):
 @query
 def openapi_ids(spark, sf):
     parsed = access_log.parse_lines(a.lines(spark, sf)).where(F.col("site") == "openapi")
-    ids = enrich.open_ids("sent_http_set_cookie")
-    return parsed.select(
-        F.col("connection").alias("event_id"),
-        "n_fields",
-        *[ids[n].alias(n) for n in ("member_id", "qz_id", "instance_id")],
-    )
+    known = enrich.with_open_ids(parsed)
+    return known.select(F.col("connection").alias("event_id"), "n_fields", *enrich.OPEN_IDS)
 
 
 @query
 def id_descramble(spark, sf):
-    events = _events(spark, sf)
-    return events.select(
-        "event_id",
-        scramble("event_id").alias("scrambled"),
-        descramble("event_id").alias("descrambled"),
-        descramble(scramble("event_id")).alias("back"),
+    scrambled = _events(spark, sf).select("event_id", scramble("event_id").alias("scrambled"))
+    return scrambled.select(
+        "*", descramble("event_id").alias("descrambled"), descramble("scrambled").alias("back")
     )
 
 
@@ -234,9 +227,8 @@ def classify_request(spark, sf):
 
 @query
 def region_code(spark, sf):
-    customers = a.customers(spark, sf)
     code = labels.region_code("region", a.AREA_CODES)
-    return customers.select("custkey", "region", code.alias("code"))
+    return a.located_users(spark, sf).select("custkey", "region", code.alias("code"))
 
 
 @query
@@ -319,20 +311,20 @@ def time_format(spark, sf):
 @query
 def geo_enrich(spark, sf):
     log = a.hits(spark, sf).select("event_id", "ip")
-    return enrich.with_geo(log, a.geo(a.customers(spark, sf)), "ip")
+    return enrich.with_geo(log, a.geo(a.located_users(spark, sf)), "ip")
 
 
 @query
 def identity_enrich(spark, sf):
     parsed = access_log.parse_lines(a.lines(spark, sf))
-    known = enrich.with_identity(parsed, a.sessions(a.customers(spark, sf)))
+    known = enrich.with_identity(parsed, a.sessions(a.users(spark, sf)))
     return known.select(F.col("connection").alias("event_id"), "n_fields", *IDENTITY_FIELDS)
 
 
 @query
 def enriched_log(spark, sf):
-    users = a.customers(spark, sf)
-    log = jobs.enriched_log(a.lines(spark, sf), a.geo(users), a.sessions(users))
+    geo, sessions = a.geo(a.located_users(spark, sf)), a.sessions(a.users(spark, sf))
+    log = jobs.enriched_log(a.lines(spark, sf), geo, sessions)
     return log.select(
         F.col("connection").alias("event_id"),
         "ip",
@@ -345,7 +337,7 @@ def enriched_log(spark, sf):
 @query
 def derive_clicks(spark, sf):
     parsed = access_log.parse_lines(a.lines(spark, sf)).where(filters.not_openapi())
-    known = enrich.with_identity(parsed, a.sessions(a.customers(spark, sf)))
+    known = enrich.with_identity(parsed, a.sessions(a.users(spark, sf)))
     valid = known.where(filters.has_identity() & F.col("ts").isNotNull())
     return enrich.derive_clicks(valid).drop("ts")
 
@@ -372,17 +364,17 @@ def lookup_json(spark, sf):
 # --- page views, visitors, addresses -----------------------------------------------
 
 
-def _second_views(log: DataFrame, users: DataFrame) -> DataFrame:
+def _second_views(log: DataFrame, people: DataFrame) -> DataFrame:
     """Requests per second and region code, from an access log without open API and LAN."""
     kept = log.where(filters.not_openapi() & ~filters.is_lan("net"))
-    located = a.with_area(metrics.fold(kept, "second", "custkey"), users)
+    located = a.with_area(metrics.fold(kept, "second", "custkey"), people)
     coded = located.withColumn("region_code", labels.region_code("region", a.AREA_CODES))
     return metrics.page_views(coded)
 
 
 @query
 def pv_second_region(spark, sf):
-    return _second_views(a.hits(spark, sf), a.customers(spark, sf))
+    return _second_views(a.hits(spark, sf), a.located_users(spark, sf))
 
 
 @query
@@ -394,7 +386,7 @@ def pv_region_pivot(spark, sf):
 def _identified(spark, sf, unit, *dims) -> DataFrame:
     """Folded hits with all four ids known, open API left out."""
     log = a.hits(spark, sf).where(filters.not_openapi() & filters.has_ids("member_id"))
-    folded = a.org_hits(log, a.customers(spark, sf), unit, "qz_id", "user_id", *dims)
+    folded = a.org_hits(log, a.users(spark, sf), unit, "qz_id", "user_id", *dims)
     return folded.where(filters.has_identity())
 
 
@@ -439,7 +431,7 @@ def ipv_day_hour_union(spark, sf):
 
 def _org_members(spark, sf, unit) -> DataFrame:
     log = a.hits(spark, sf).where(filters.not_openapi() & filters.has_ids("member_id"))
-    folded = a.org_hits(log, a.customers(spark, sf), unit)
+    folded = a.org_hits(log, a.users(spark, sf), unit)
     return folded.where(filters.has_ids("instance_id"))
 
 
@@ -483,7 +475,7 @@ def _facts(spark, sf, when=None) -> DataFrame:
     events = _events(spark, sf)
     log = a.as_hits(events if when is None else events.where(when))
     known = log.where(filters.not_openapi() & filters.has_ids("member_id"))
-    folded = a.org_hits(known, a.customers(spark, sf), "day")
+    folded = a.org_hits(known, a.users(spark, sf), "day")
     found = folded.where(filters.has_ids("instance_id"))
     day = F.to_date(F.timestamp_seconds("created")).alias("day")
     return found.select(day, "member_id", "instance_id").distinct()
@@ -546,7 +538,7 @@ def incremental_append(spark, sf):
 
 
 def _payments(spark, sf) -> DataFrame:
-    return a.payments(a.hits(spark, sf), a.customers(spark, sf))
+    return a.payments(a.hits(spark, sf), a.users(spark, sf))
 
 
 def _paid_folded(spark, sf) -> DataFrame:
@@ -722,11 +714,11 @@ def upsert_replace(spark, sf):
 @query
 def upsert_additive(spark, sf):
     """Wide page views of the two halves of the data added up."""
-    events, users = _events(spark, sf), a.customers(spark, sf)
+    events, people = _events(spark, sf), a.located_users(spark, sf)
     codes = [labels.ELSEWHERE, *a.AREA_CODES.values()]
 
     def wide(when):
-        views = _second_views(a.as_hits(events.where(when)), users)
+        views = _second_views(a.as_hits(events.where(when)), people)
         hourly = views.withColumn("created", timebuckets.coarser("created", "hour"))
         return metrics.page_views_wide(hourly, codes)
 
@@ -751,10 +743,10 @@ def _run(spark, stream, purpose: str, make_sink, mode: str = "append") -> str:
 @query
 def stream_pv(spark, sf):
     """Page views per second and region: folded per batch, added up over batches."""
-    users = a.customers(spark, sf)
+    people = a.located_users(spark, sf)
 
     def views(batch):
-        counted = _second_views(batch, users)
+        counted = _second_views(batch, people)
         return counted.withColumn("dt", F.to_date(F.timestamp_seconds("created")))
 
     log = a.as_hits(_stream(spark, sf, "events"))
@@ -785,8 +777,8 @@ def stream_uv(spark, sf):
 
 @query
 def stream_archive(spark, sf):
-    """Two outputs of one batch: the log by day and hour, and counters per site."""
-    log = archive.with_partitions(a.as_hits(_stream(spark, sf, "events")))
+    """Two outputs of one batch: the log by day, and counters per site."""
+    log = archive.with_partitions(a.as_hits(_stream(spark, sf, "events"))).drop("hr")
 
     def site_counts(batch):
         return metrics.count_by(batch, "dt", "site")
@@ -796,7 +788,7 @@ def stream_archive(spark, sf):
         log.drop("net", "k", "event_type"),
         "archive",
         lambda p: sinks.both(
-            sinks.append_batch(f"{p}/log", "dt", "hr"),
+            sinks.append_batch(f"{p}/log", "dt"),
             sinks.aggregated(site_counts, sinks.append_batch(f"{p}/sites", "dt")),
         ),
     )

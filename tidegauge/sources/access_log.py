@@ -27,7 +27,8 @@ def parse_lines(df: DataFrame, line: str = "value") -> DataFrame:
         _typed(F.get("_parts", F.lit(i)), kind).alias(name)
         for i, (name, kind) in enumerate(ACCESS_FIELDS)
     ]
-    split = df.withColumn("_parts", F.split(F.col(line), "\t"))
+    # Split once per line: as a generated row, the split is not copied into every later filter.
+    split = df.select("*", F.explode(F.array(F.split(F.col(line), "\t"))).alias("_parts"))
     parsed = split.select(*df.columns, field_count(line).alias("n_fields"), *fields)
     return parsed.withColumn("ts", log_time("time_local"))
 
