@@ -52,7 +52,7 @@ def _param(url: Column | str, name: str, value: str) -> Column:
 
     One pattern for the whole URL: nested extractions would be computed repeatedly.
     """
-    pattern = rf"^[^?#]*\?(?:[^#]*?&)?{re.escape(name)}={value}"
+    pattern = rf"^[^?#]*\?(?:[^#]*?&)??{re.escape(name)}={value}"
     return first_match(url, pattern, 1)
 
 

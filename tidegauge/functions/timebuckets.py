@@ -6,6 +6,8 @@ time zone and returned as epoch seconds; nothing depends on the session zone.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,6 +94,16 @@ def day_of(ts: Column | str, tz: str = "UTC") -> Column:
     return F.date_from_unix_date((local / F.lit(DAY)).cast("int"))
 
 
+def date_of_seconds(seconds: Column | str, tz: str = "UTC") -> Column:
+    """DATE of an epoch-second time on the wall clock of ``tz``."""
+    return day_of(F.timestamp_seconds(_col(seconds)), tz)
+
+
+def wall_clock(moment: datetime) -> Column:
+    """A zone-less literal; a datetime literal would take the session's zone."""
+    return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
+
+
 def hour_of(ts: Column | str, tz: str = "UTC") -> Column:
     """Hour of the day, 0-23, on the wall clock of ``tz``."""
     local = _local_seconds(_col(ts), tz)

@@ -15,16 +15,18 @@ def merge_replace(
 ) -> DataFrame:
     """Target rows with the updates' values put over them, and new rows added.
 
-    Value columns the updates do not carry are kept, so jobs may fill different
-    columns of one row. Applying the same updates twice changes nothing.
+    Both tables have one row per key. Value columns the updates do not carry are
+    kept, so jobs may fill different columns of one row. Applying the same updates
+    twice changes nothing.
     """
-    fresh = updates.select(*keys, *[F.col(v).alias(f"_{v}") for v in values])
-    joined = target.join(fresh, list(keys), "full_outer")
     rest = [c for c in target.columns if c not in keys]
-    merged = [
-        F.coalesce(f"_{c}", c).alias(c) if c in values else F.col(c) for c in rest
-    ]
-    return joined.select(*keys, *merged)
+    stale = target.withColumn("_fresh", F.lit(False))
+    fresh = updates.select(*keys, *values).withColumn("_fresh", F.lit(True))
+    both = stale.unionByName(fresh, allowMissingColumns=True)
+    old = {c: F.max(F.when(~F.col("_fresh"), F.col(c))) for c in rest}
+    new = {c: F.max(F.when(F.col("_fresh"), F.col(c))) for c in rest}
+    merged = [(F.coalesce(new[c], old[c]) if c in values else old[c]).alias(c) for c in rest]
+    return both.groupBy(*keys).agg(*merged)
 
 
 def merge_add(

@@ -304,7 +304,8 @@ def as_app_events(log: DataFrame) -> DataFrame:
         "ver_code": F.col("event_id"),
         "object_id": k % 7,
     }
-    return log.select(render_event(fields).alias("value"))
+    # Generated rows again, so that the text is made once and not again inside each filter.
+    return log.select(F.explode(F.array(render_event(fields))).alias("value"))
 
 
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:

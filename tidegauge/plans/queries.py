@@ -6,12 +6,12 @@ Dates leave a query as text or epoch seconds, so that engines agree on them.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.functions import labels, text, timebuckets
+from tidegauge.functions import asof, labels, text, timebuckets
 from tidegauge.functions.ids import descramble, scramble
 from tidegauge.operators import apps, cohort, enrich, filters, key_sets, metrics, tables
 from tidegauge.operators.joins import lookup
@@ -31,7 +31,7 @@ AS_OF = date(2024, 1, 30)
 FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 31)
 SPLIT = datetime(2024, 1, 16, 12)
 SPLIT_DAY = date(2024, 1, 16)
-COHORT_END = datetime(2024, 1, 11)
+COHORT_END = datetime(2024, 1, 11, tzinfo=timezone.utc)
 
 
 def query(f: Query) -> Query:
@@ -39,11 +39,7 @@ def query(f: Query) -> Query:
     return f
 
 
-def _at(moment: datetime) -> F.Column:
-    return F.lit(moment).cast("timestamp_ntz")
-
-
-def _day_text(name: str) -> F.Column:
+def _day_text(name: str) -> Column:
     return F.col(name).cast("string").alias(name)
 
 
@@ -65,11 +61,9 @@ def scan_day_range(spark, sf):
 def scan_last_hour(spark, sf):
     """As of the newest event: the full hour before it."""
     events = _events(spark, sf)
-    this_hour = F.date_trunc("hour", events.agg(F.max("ts")).scalar()).cast("timestamp_ntz")
-    last = events.where(
-        (F.col("ts") >= this_hour - F.expr("INTERVAL 1 HOUR")) & (F.col("ts") < this_hour)
-    )
-    return a.as_hits(last).select("event_id", "site", "ip")
+    newest = events.agg(F.max("ts")).first()[0]
+    hour = asof.last_hour(newest)
+    return a.as_hits(events.where(archive.in_hour("ts", hour))).select("event_id", "site", "ip")
 
 
 @query
@@ -385,9 +379,9 @@ def pv_region_pivot(spark, sf):
 
 def _identified(spark, sf, unit, *dims) -> DataFrame:
     """Folded hits with all four ids known, open API left out."""
-    log = a.hits(spark, sf).where(filters.not_openapi() & filters.has_ids("member_id"))
-    folded = a.org_hits(log, a.users(spark, sf), unit, "qz_id", "user_id", *dims)
-    return folded.where(filters.has_identity())
+    own_ids = filters.has_ids("member_id", "qz_id", "user_id")
+    log = a.hits(spark, sf).where(filters.not_openapi() & own_ids)
+    return a.org_hits(log, a.users(spark, sf), unit, *dims).where(filters.has_ids("instance_id"))
 
 
 @query
@@ -477,7 +471,7 @@ def _facts(spark, sf, when=None) -> DataFrame:
     known = log.where(filters.not_openapi() & filters.has_ids("member_id"))
     folded = a.org_hits(known, a.users(spark, sf), "day")
     found = folded.where(filters.has_ids("instance_id"))
-    day = F.to_date(F.timestamp_seconds("created")).alias("day")
+    day = timebuckets.date_of_seconds("created").alias("day")
     return found.select(day, "member_id", "instance_id").distinct()
 
 
@@ -518,8 +512,8 @@ _register_key_sets()
 def incremental_distinct(spark, sf):
     """Month keys of the first half of the data merged with those of the rest."""
     ids = key_sets.KEY_SETS["eu"]
-    stored = key_sets.period_keys(_facts(spark, sf, F.col("ts") < _at(SPLIT)), "month", ids)
-    new = key_sets.period_keys(_facts(spark, sf, F.col("ts") >= _at(SPLIT)), "month", ids)
+    stored = key_sets.period_keys(_facts(spark, sf, F.col("ts") < timebuckets.wall_clock(SPLIT)), "month", ids)
+    new = key_sets.period_keys(_facts(spark, sf, F.col("ts") >= timebuckets.wall_clock(SPLIT)), "month", ids)
     merged = key_sets.merge_keys(stored, new)
     return merged.select(_day_text("period_start"), *ids)
 
@@ -528,8 +522,8 @@ def incremental_distinct(spark, sf):
 def incremental_append(spark, sf):
     """The same by appending only the keys not stored yet."""
     ids = key_sets.KEY_SETS["eu"]
-    stored = key_sets.period_keys(_facts(spark, sf, F.col("ts") < _at(SPLIT)), "month", ids)
-    new = key_sets.period_keys(_facts(spark, sf, F.col("ts") >= _at(SPLIT)), "month", ids)
+    stored = key_sets.period_keys(_facts(spark, sf, F.col("ts") < timebuckets.wall_clock(SPLIT)), "month", ids)
+    new = key_sets.period_keys(_facts(spark, sf, F.col("ts") >= timebuckets.wall_clock(SPLIT)), "month", ids)
     whole = stored.unionByName(key_sets.unseen_keys(stored, new))
     return whole.select(_day_text("period_start"), *ids)
 
@@ -650,8 +644,9 @@ def app_space_day(spark, sf):
 def cohort_app_pv_uv(spark, sf):
     """Clicks of early members per day and app: requests and distinct members."""
     events = _app_events(spark, sf)
-    early = F.unix_millis(F.lit(COHORT_END).cast("timestamp"))
-    signups = events.where((F.col("action") == "signup") & (F.col("mtime").cast("bigint") < early))
+    early = filters.in_time_range("ms", 0, int(COHORT_END.timestamp() * 1000))
+    timed = events.withColumn("ms", F.col("mtime").cast("bigint"))
+    signups = timed.where((F.col("action") == "signup") & early)
     members = signups.select("member_id").where(filters.has_ids("member_id")).distinct()
     clicks = events.where(F.col("action").contains("click"))
     folded = metrics.fold(clicks, "day", "app_id", "member_id")
@@ -705,7 +700,7 @@ def repeat_key_count(spark, sf):
 def upsert_replace(spark, sf):
     """Site report as of mid-day, with the later days and that day's full numbers put over it."""
     events, report = _events(spark, sf), REPORTS["site"]
-    stale = jobs.site_report(a.as_hits(events.where(F.col("ts") < _at(SPLIT))))
+    stale = jobs.site_report(a.as_hits(events.where(F.col("ts") < timebuckets.wall_clock(SPLIT))))
     since = archive.between_days("ts", SPLIT_DAY, LAST_DAY)
     fresh = jobs.site_report(a.as_hits(events.where(since)))
     return tables.merge_replace(stale, fresh, report.keys, report.values)
@@ -722,7 +717,7 @@ def upsert_additive(spark, sf):
         hourly = views.withColumn("created", timebuckets.coarser("created", "hour"))
         return metrics.page_views_wide(hourly, codes)
 
-    before, after = wide(F.col("ts") < _at(SPLIT)), wide(F.col("ts") >= _at(SPLIT))
+    before, after = wide(F.col("ts") < timebuckets.wall_clock(SPLIT)), wide(F.col("ts") >= timebuckets.wall_clock(SPLIT))
     return tables.merge_add(before, after, ["client_type", "created"], codes)
 
 
@@ -747,7 +742,7 @@ def stream_pv(spark, sf):
 
     def views(batch):
         counted = _second_views(batch, people)
-        return counted.withColumn("dt", F.to_date(F.timestamp_seconds("created")))
+        return counted.withColumn("dt", timebuckets.date_of_seconds("created"))
 
     log = a.as_hits(_stream(spark, sf, "events"))
     path = _run(spark, log, "pv", lambda p: sinks.aggregated(views, sinks.append_batch(p, "dt")))

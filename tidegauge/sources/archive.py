@@ -7,13 +7,13 @@ opens only the days it needs.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.asof import last_hour, month_start, week_start, yesterday
-from tidegauge.functions.timebuckets import day_of, hour_of
+from tidegauge.functions.timebuckets import day_of, hour_of, wall_clock
 
 
 def with_partitions(df: DataFrame, ts: str = "ts", tz: str = "UTC") -> DataFrame:
@@ -75,9 +75,18 @@ def read_periods(
     return spark.read.parquet(path).where(wanted)
 
 
-def between_days(ts: Column | str, start: date, end: date) -> Column:
+def _between(ts: Column | str, low: datetime, high: datetime) -> Column:
     """Range predicate on a bare zone-less time column; the Parquet scan can use it."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    low = F.lit(datetime.combine(start, datetime.min.time())).cast("timestamp_ntz")
-    high = F.lit(datetime.combine(end, datetime.min.time())).cast("timestamp_ntz")
-    return (ts >= low) & (ts < high + F.expr("INTERVAL 1 DAY"))
+    return (ts >= wall_clock(low)) & (ts < wall_clock(high))
+
+
+def between_days(ts: Column | str, start: date, end: date) -> Column:
+    """Times of the days ``start`` to ``end``, both included."""
+    midnight = datetime.min.time()
+    after = datetime.combine(end + timedelta(days=1), midnight)
+    return _between(ts, datetime.combine(start, midnight), after)
+
+
+def in_hour(ts: Column | str, hour: datetime) -> Column:
+    return _between(ts, hour, hour + timedelta(hours=1))

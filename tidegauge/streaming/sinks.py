@@ -95,3 +95,15 @@ def read_latest(
     """Values of the last batch that wrote each key."""
     last = [F.max_by(v, "batch").alias(v) for v in values]
     return spark.read.parquet(path).groupBy(*keys).agg(*last)
+
+
+def settle_sums(
+    spark: SparkSession, path: str, out: str, partition: str, value, keys: Sequence[str]
+) -> None:
+    """Adds up the batches of one closed partition into a report table.
+
+    Run once a day for the day before; its many small batch files need not be read again.
+    """
+    closed = spark.read.parquet(path).where(F.col(partition) == F.lit(value))
+    summed = closed.groupBy(partition, *keys).agg(F.sum("num").alias("num"))
+    overwrite_partitions(summed, out, partition)
