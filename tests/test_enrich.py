@@ -15,6 +15,7 @@ def sessions(spark):
         ("esn", "sess", "1", "2", "3", "4"),
         ("api", "tok", "5", "6", "7", "8"),
         ("api", "blank", "", "6", "7", "8"),
+        ("api", "a/b", "9", "9", "9", "9"),
     ]
     return spark.createDataFrame(rows, SESSIONS)
 
@@ -63,6 +64,13 @@ def test_open_api_ids_are_decoded(spark):
     assert got == ("385503", "79991", None, "88511")
 
 
+def test_token_with_a_slash_is_not_looked_up(spark):
+    assert identity(spark, request="GET /a?token=a/b HTTP/1.1") == NOBODY
+    # It also hides the token of the query behind it.
+    fields = {"request_args": '{"token":"a/b"}', "request": "GET /a?token=tok HTTP/1.1"}
+    assert identity(spark, **fields) == NOBODY
+
+
 def test_blank_ids_are_missing(spark):
     assert identity(spark, request="GET /a?token=blank HTTP/1.1") == (None, "6", "7", "8")
 

@@ -70,7 +70,7 @@ def test_args_token(column):
 
 
 def test_usable_token(column):
-    assert column(text.usable_token("c"), ["a", "a/b", "a\\b", None]) == ["a", None, None, None]
+    assert column(text.is_usable_token("c"), ["a", "a/b", "a\\b", None]) == [True, False, False, None]
 
 
 def test_patterns(column):

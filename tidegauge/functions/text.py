@@ -39,7 +39,7 @@ def int_or_zero(c: Column | str) -> Column:
 
 def field_count(line: Column | str) -> Column:
     """Number of tab fields, not counting empty ones at the end."""
-    return F.size(F.split(F.regexp_replace(_col(line), r"\t+$", ""), "\t"))
+    return F.size(F.split(F.rtrim(_col(line), F.lit("\t")), "\t"))
 
 
 def request_target(request: Column | str) -> Column:
@@ -53,27 +53,35 @@ def _param(url: Column | str, name: str, value: str) -> Column:
     One pattern for the whole URL: nested extractions would be computed repeatedly.
     """
     pattern = rf"^[^?#]*\?(?:[^#]*?&)??{re.escape(name)}={value}"
-    return first_match(url, pattern, 1)
+    return F.regexp_extract(_col(url), pattern, 1)
 
 
-def url_param(url: Column | str, name: str) -> Column:
-    """Value of a query parameter that has exactly one, non-empty value."""
+def url_param_text(url: Column | str, name: str) -> Column:
+    """Value of a query parameter that has exactly one, non-empty value; else ''."""
     return _param(url, name, r"([^&=#]+)=*(?:[&#]|$)")
 
 
+def url_param(url: Column | str, name: str) -> Column:
+    return blank_to_null(url_param_text(url, name))
+
+
 def url_param_head(url: Column | str, name: str) -> Column:
     """Text up to the next ``=`` or ``&`` of the first such parameter, '' to NULL."""
-    return _param(url, name, "([^&=#]*)")
+    return blank_to_null(_param(url, name, "([^&=#]*)"))
 
 
-def session_cookie(cookie: Column | str) -> Column:
-    """Session id of a ``PHPSESSID=...; path=/`` cookie."""
+def session_cookie_text(cookie: Column | str) -> Column:
+    """Session id of a ``PHPSESSID=...; path=/`` cookie; else ''."""
     head = F.split_part(_col(cookie), F.lit(" "), F.lit(1))
-    return first_match(head, rf"{SESSION_COOKIE}=([^=;]+)", 1)
+    return F.regexp_extract(head, rf"{SESSION_COOKIE}=([^=;]+)", 1)
 
 
-def args_token(args: Column | str) -> Column:
-    """Token in escaped JSON-like request arguments.
+def session_cookie(cookie: Column | str) -> Column:
+    return blank_to_null(session_cookie_text(cookie))
+
+
+def args_token_text(args: Column | str) -> Column:
+    """Token in escaped JSON-like request arguments; else ''.
 
     Quotes arrive as ``\\x22`` and backslashes as ``\\x5C``. The first comma
     piece that mentions ``token`` must be one ``key:value`` pair.
@@ -81,13 +89,16 @@ def args_token(args: Column | str) -> Column:
     plain = F.regexp_replace(_col(args), r'\\x22|\\x5C|"', "")
     piece = F.regexp_extract(plain, r"(?:^|,)([^,]*token[^,]*)", 1)
     value = F.regexp_extract(piece, r"^[^:]*:([^:]+):*$", 1)
-    return blank_to_null(F.translate(value, "{}", ""))
+    return F.translate(value, "{}", "")
+
+
+def args_token(args: Column | str) -> Column:
+    return blank_to_null(args_token_text(args))
 
 
-def usable_token(token: Column | str) -> Column:
-    """The token, or NULL when it has a slash or backslash."""
-    token = _col(token)
-    return F.when(~token.rlike(r"[/\\]"), token)
+def is_usable_token(token: Column | str) -> Column:
+    """No slash or backslash in the token."""
+    return ~_col(token).rlike(r"[/\\]")
 
 
 def words(text: Column | str) -> Column:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from tidegauge.functions.ids import descramble_number
 from tidegauge.functions.labels import app_of_request, client_class
 from tidegauge.functions.text import (
-    args_token,
+    args_token_text,
+    is_usable_token,
     request_target,
-    session_cookie,
-    url_param,
-    usable_token,
+    session_cookie_text,
+    url_param_text,
 )
 from tidegauge.functions.timebuckets import millis
 from tidegauge.operators.filters import PAGE_MARK, SITE_BY_COOKIE, SITE_BY_IDS, is_lan
@@ -51,25 +51,29 @@ def with_geo(
     return located.where(~is_lan(*GEO_FIELDS))
 
 
-def request_token(request: Column, args: Column) -> Column:
-    """Token in the arguments, else in the request's query."""
+def with_session(df: DataFrame) -> DataFrame:
+    """Adds ``session``, the row's ``kind:token``; NULL where the site's rule finds no token.
+
+    A token in the arguments comes before one in the query. Each text is extracted
+    in a step of its own, so that the next step reads a column and does not repeat it.
+    """
+    request, site = F.col("request"), F.col("site")
+    by_session = ~(request.contains(PAGE_MARK) | (site == SITE_BY_IDS))
+    by_cookie = site == SITE_BY_COOKIE
     target = request_target(request)
-    param = F.when(F.col("site") == API_SITE, url_param(target, API_PARAM)).otherwise(
-        url_param(target, TOKEN_PARAM)
+    param = F.when(site == API_SITE, url_param_text(target, API_PARAM)).otherwise(
+        url_param_text(target, TOKEN_PARAM)
     )
-    return usable_token(F.coalesce(args_token(args), param))
-
-
-def session_key() -> Column:
-    """``kind:token`` of a parsed row, NULL where the site's rule finds no session."""
-    request = F.col("request")
-    by_cookie = usable_token(session_cookie("sent_http_set_cookie"))
-    by_token = request_token(request, F.col("request_args"))
-    return (
-        F.when(request.contains(PAGE_MARK) | (F.col("site") == SITE_BY_IDS), F.lit(None))
-        .when(F.col("site") == SITE_BY_COOKIE, F.concat(F.lit(f"{COOKIE_SESSIONS}:"), by_cookie))
-        .otherwise(F.concat(F.lit(f"{TOKEN_SESSIONS}:"), by_token))
+    in_args = F.when(by_session & ~by_cookie, args_token_text("request_args"))
+    token = (
+        F.when(by_session & by_cookie, session_cookie_text("sent_http_set_cookie"))
+        .when(F.col("_args") != "", F.col("_args"))
+        .when(by_session, param)
     )
+    kind = F.when(by_cookie, f"{COOKIE_SESSIONS}:").otherwise(f"{TOKEN_SESSIONS}:")
+    found = df.withColumn("_args", in_args).withColumn("_token", token)
+    session = F.when(F.col("_token") != "", F.concat(kind, F.col("_token")))
+    return found.withColumn("session", session).drop("_args", "_token")
 
 
 def open_numbers(ids: Column | str) -> dict[str, Column]:
@@ -109,12 +113,13 @@ def with_identity(
         f"_open_{name}": F.when(is_open, number)
         for name, number in open_numbers("sent_http_set_cookie").items()
     }
-    keyed = df.withColumns({"_session": session_key(), **numbers})
-    dim = sessions.select(
-        F.concat_ws(":", "kind", "token").alias("_session"),
+    keyed = with_session(df.withColumns(numbers))
+    # A token with a slash is never looked up; it is cheaper to leave it out of the sessions.
+    dim = sessions.where(is_usable_token("token")).select(
+        F.concat_ws(":", "kind", "token").alias("session"),
         *[F.nullif(F.col(name), F.lit("")).alias(f"_{name}") for name in IDENTITY_FIELDS],
     )
-    found = lookup(keyed, dim, "_session", *[f"_{n}" for n in IDENTITY_FIELDS], spread_by=spread_by)
+    found = lookup(keyed, dim, "session", *[f"_{n}" for n in IDENTITY_FIELDS], spread_by=spread_by)
     # A row has a session or open ids, never both.
     ids = {
         name: F.coalesce(descramble_number(F.col(f"_open_{name}")), F.col(f"_{name}"))
@@ -122,7 +127,7 @@ def with_identity(
         else F.col(f"_{name}")
         for name in IDENTITY_FIELDS
     }
-    return found.withColumns(ids).drop("_session", *numbers, *[f"_{n}" for n in IDENTITY_FIELDS])
+    return found.withColumns(ids).drop("session", *numbers, *[f"_{n}" for n in IDENTITY_FIELDS])
 
 
 def derive_clicks(df: DataFrame) -> DataFrame:

@@ -222,8 +222,7 @@ def as_lines(log: DataFrame) -> DataFrame:
     1 lacks the last field, 2 has two empty last fields, 3 has an unreadable time.
     """
     k, user = F.col("k"), F.col("custkey")
-    digest = F.md5(F.col("user_id"))
-    token = F.concat(digest, F.substring(digest, 1, 8))
+    digest, token = F.col("digest"), F.concat("digest", F.substring("digest", 1, 8))
     args = (
         F.when(
             k % 3 == 0,
@@ -275,7 +274,8 @@ def as_lines(log: DataFrame) -> DataFrame:
     )
     copies = F.when(k == 98, broken).otherwise(F.array(whole))
     # Generated rows, because Spark would copy a plain column's whole expression into filters.
-    return log.select("k", render_line(fields).alias("whole")).select(
+    digested = log.withColumn("digest", F.md5(F.col("user_id")))
+    return digested.select("k", render_line(fields).alias("whole")).select(
         F.explode(copies).alias("value")
     )
 

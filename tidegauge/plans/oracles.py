@@ -283,8 +283,11 @@ _add(
 )
 _add(
     "extract_token",
-    """ SELECT event_id, by_args AS args_token, by_access AS access_token, by_token AS token,
-      used_token FROM used""",
+    """ SELECT *, session NOT LIKE '%/%' AS usable FROM (
+      SELECT event_id, by_args AS args_token, by_access AS access_token, by_token AS token,
+        CASE WHEN is_page OR site = 'openapi' THEN NULL
+          WHEN site = 'esn' THEN CASE WHEN cookie LIKE 'PHPSESSID=%' THEN 'esn:' || sess END
+          ELSE 'api:' || any_token END AS session FROM used)""",
     LINES,
 )
 _add(

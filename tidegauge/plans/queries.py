@@ -160,12 +160,13 @@ def parse_enriched_log(spark, sf):
 def extract_token(spark, sf):
     parsed = access_log.parse_lines(a.lines(spark, sf))
     target = text.request_target("request")
-    return parsed.select(
+    return enrich.with_session(parsed).select(
         F.col("connection").alias("event_id"),
         text.args_token("request_args").alias("args_token"),
         text.url_param(target, "access_token").alias("access_token"),
         text.url_param(target, "token").alias("token"),
-        enrich.request_token(F.col("request"), F.col("request_args")).alias("used_token"),
+        "session",
+        text.is_usable_token("session").alias("usable"),
     )
 
 

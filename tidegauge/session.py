@@ -43,5 +43,4 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tidegauge-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
