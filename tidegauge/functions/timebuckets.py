@@ -99,6 +99,11 @@ def date_of_seconds(seconds: Column | str, tz: str = "UTC") -> Column:
     return day_of(F.timestamp_seconds(_col(seconds)), tz)
 
 
+def date_of_millis(millis: Column | str, tz: str = "UTC") -> Column:
+    """DATE of an epoch-millisecond time on the wall clock of ``tz``."""
+    return day_of(F.timestamp_millis(_col(millis)), tz)
+
+
 def wall_clock(moment: datetime) -> Column:
     """A zone-less literal; a datetime literal would take the session's zone."""
     return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")

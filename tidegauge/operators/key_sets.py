@@ -12,7 +12,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.timebuckets import day_of, period_start
+from tidegauge.functions.timebuckets import date_of_seconds, day_of, period_start
 from tidegauge.operators.filters import has_ids, not_openapi
 from tidegauge.schemas import ALL_CLIENTS, PERIOD_TYPE
 
@@ -30,6 +30,13 @@ def daily_facts(df: DataFrame, ts: str = "ts", tz: str = "UTC") -> DataFrame:
     return known.select(day_of(ts, tz).alias("day"), "member_id", "instance_id").distinct()
 
 
+def facts_of_usage(usage: DataFrame, tz: str = "UTC") -> DataFrame:
+    """The same from folded daily rows, whose ``created`` is the day's start."""
+    known = usage.where(not_openapi() & has_ids("member_id", "instance_id"))
+    day = date_of_seconds("created", tz).alias("day")
+    return known.select(day, "member_id", "instance_id").distinct()
+
+
 def period_keys(facts: DataFrame, unit: str, ids: tuple[str, ...]) -> DataFrame:
     """Distinct ids per week or month of daily facts."""
     return facts.select(period_start("day", unit).alias("period_start"), *ids).distinct()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.sources.archive import overwrite_partitions
+from tidegauge.sources.archive import overwrite_partitions, read_if_stored
 
 
 def merge_replace(
@@ -56,12 +56,10 @@ def upsert_report(
     updates = updates.persist()
     try:
         touched = [row[0] for row in updates.select(partition).distinct().collect()]
-        try:
-            target = spark.read.parquet(path).where(F.col(partition).isin(touched))
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            target = updates.limit(0)
+        stored = read_if_stored(spark, path)
+        if stored is None:
+            stored = updates.limit(0)
+        target = stored.where(F.col(partition).isin(touched))
         cols = [partition, *[k for k in keys if k != partition]]
         overwrite_partitions(merge_replace(target, updates, cols, values), path, partition)
     finally:

@@ -375,19 +375,45 @@ _add(
     LINES,
     KNOWN,
 )
+ENRICHED = f"""enriched AS (
+  SELECT * FROM (SELECT k1.*, l.wanted FROM known k1 JOIN
+            (SELECT event_id, variant, ({WANTED}) AS wanted FROM lines) l
+            USING (event_id, variant))
+    LEFT JOIN geo USING (ip)
+    WHERE wanted AND created IS NOT NULL AND (country IS NULL OR country <> '局域网')
+)"""
 _add(
     "enriched_log",
     """ SELECT event_id, ip, country, member_id, qz_id, user_id, instance_id, created
-    FROM (SELECT k1.*, l.wanted FROM known k1 JOIN
-            (SELECT event_id, variant, ({wanted}) AS wanted FROM lines) l
-            USING (event_id, variant))
-    LEFT JOIN geo USING (ip)
-    WHERE wanted AND created IS NOT NULL AND (country IS NULL OR country <> '局域网')""".format(
-        wanted=WANTED
-    ),
+    FROM enriched""",
+    LINES,
+    KNOWN,
+    GEO,
+    ENRICHED,
+)
+_add(
+    "stream_access_log",
+    f""" SELECT dt, region, num, archived, identified FROM
+      (SELECT strftime(ts, '%Y-%m-%d') AS dt, {AREA} AS region, count(*) AS num FROM enriched
+       WHERE site <> 'openapi' GROUP BY 1, 2)
+    JOIN (SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS archived,
+            count(*) FILTER (member_id IS NOT NULL AND qz_id IS NOT NULL AND user_id IS NOT NULL
+                             AND instance_id IS NOT NULL) AS identified
+          FROM enriched WHERE site <> 'openapi' GROUP BY 1) USING (dt)""",
     LINES,
     KNOWN,
     GEO,
+    ENRICHED,
+)
+_add(
+    "stream_app_events",
+    """ SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type AS action, count(*) AS num
+    FROM hits GROUP BY ALL""",
+)
+_add(
+    "stream_behaviour",
+    """ SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS num, max(ms) AS last_ms
+    FROM hits GROUP BY ALL""",
 )
 _add(
     "derive_clicks",

@@ -793,6 +793,45 @@ def stream_archive(spark, sf):
     return rows.join(counters, ["dt", "site"]).select(_day_text("dt"), "site", "archived", "num")
 
 
+@query
+def stream_access_log(spark, sf):
+    """Raw lines to the enriched archive and to page views, both from one batch."""
+    geo, sessions = a.geo(a.located_users(spark, sf)), a.sessions(a.users(spark, sf))
+    lines = a.as_lines(a.as_hits(_stream(spark, sf, "events")))
+    path = _run(
+        spark,
+        lines,
+        "access",
+        lambda p: stream_jobs.access_sink(
+            geo, sessions, f"{p}/log", f"{p}/views", a.AREA_CODES, partitions=("dt",)
+        ),
+    )
+    log = spark.read.parquet(f"{path}/log").where(filters.not_openapi())
+    known = F.count_if(filters.has_identity()).alias("identified")
+    rows = log.groupBy("dt").agg(F.count(F.lit(1)).alias("archived"), known)
+    views = sinks.read_sums(spark, f"{path}/views", ["dt", "region"])
+    return views.join(rows, "dt").select(_day_text("dt"), "region", "num", "archived", "identified")
+
+
+@query
+def stream_app_events(spark, sf):
+    events = a.as_app_events(a.as_hits(_stream(spark, sf, "events")))
+    path = _run(spark, events, "app-events", stream_jobs.app_event_sink)
+    counted = metrics.count_by(spark.read.parquet(path), "dt", "action")
+    return counted.select(_day_text("dt"), "action", "num")
+
+
+@query
+def stream_behaviour(spark, sf):
+    events = a.as_app_events(a.as_hits(_stream(spark, sf, "events")))
+    path = _run(spark, events, "behaviour", stream_jobs.behaviour_sink)
+    stored = spark.read.parquet(path)
+    counted = stored.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("num"), F.max("mtime").alias("last_ms")
+    )
+    return counted.select(_day_text("dt"), "num", "last_ms")
+
+
 @query
 def word_count(spark, sf):
     return stream_jobs.word_counts("text", a.table(spark, sf, "documents"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,9 +51,21 @@ def write_text(df: DataFrame, path: str, sep: str = "\t") -> None:
     df.select(F.concat_ws(sep, *cols).alias("value")).write.mode("overwrite").text(path)
 
 
-def read_days(spark: SparkSession, path: str, start: date, end: date) -> DataFrame:
+def read_days(
+    spark: SparkSession, path: str, start: date, end: date, partition: str = "dt"
+) -> DataFrame:
     """Archive rows of the days ``start`` to ``end``, both included."""
-    return spark.read.parquet(path).where(F.col("dt").between(F.lit(start), F.lit(end)))
+    return spark.read.parquet(path).where(F.col(partition).between(F.lit(start), F.lit(end)))
+
+
+def read_if_stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_yesterday(spark: SparkSession, path: str, as_of: datetime) -> DataFrame:

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tidegauge.functions.labels import REGION_CODES, region_code
 from tidegauge.functions.text import request_target, words
-from tidegauge.functions.timebuckets import DAY_KEY, bucket, day_of, time_text
-from tidegauge.operators.filters import is_promo_click, promo_code
-from tidegauge.operators.metrics import count_by
+from tidegauge.functions.timebuckets import (
+    DAY_KEY,
+    bucket,
+    date_of_millis,
+    date_of_seconds,
+    day_of,
+    time_text,
+)
+from tidegauge.operators.filters import is_promo_click, not_openapi, promo_code
+from tidegauge.operators.metrics import count_by, fold, page_views
+from tidegauge.plans.jobs import enriched_log
 from tidegauge.sources.access_log import parse_lines
-from tidegauge.streaming.sinks import Sink
+from tidegauge.sources.app_events import parse_behaviour, parse_events
+from tidegauge.sources.archive import with_partitions
+from tidegauge.streaming.sinks import Sink, aggregated, append_batch, both
 
 
 def start(
@@ -73,6 +86,60 @@ def windowed_page_views(log: DataFrame, delay: str, region: str = "region_code")
     return counted.agg(F.count(F.lit(1)).alias("num")).select(created, "region", "num")
 
 
-def first_seen(log: DataFrame, delay: str, *keys: str) -> DataFrame:
-    """Rows whose keys have not been seen within ``delay``; the state stays bounded."""
-    return log.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
+def first_seen(log: DataFrame, delay: str, *keys: str, splits: int = 16) -> DataFrame:
+    """Rows whose keys have not been seen within ``delay``; the state stays bounded.
+
+    A stream has no partial aggregate to shrink a busy key before the shuffle.
+    So its rows are first told apart within ``splits`` shares, by a hash of the
+    row, and only the first of each share goes on to the task of the key.
+    """
+    share = F.pmod(F.xxhash64(*log.columns), F.lit(splits))
+    shared = log.withColumn("_share", share).withWatermark("ts", delay)
+    few = shared.dropDuplicatesWithinWatermark([*keys, "_share"])
+    return few.dropDuplicatesWithinWatermark(list(keys)).drop("_share")
+
+
+def access_sink(
+    geo: DataFrame,
+    sessions: DataFrame,
+    archive: str,
+    counters: str,
+    codes: Mapping[str, str] = REGION_CODES,
+    partitions: Sequence[str] = ("dt", "hr"),
+) -> Sink:
+    """Raw lines of a batch to the enriched archive and to page views per second and region.
+
+    Both outputs take one enriched batch.
+    """
+
+    def page_view_counts(log: DataFrame) -> DataFrame:
+        coded = log.where(not_openapi()).withColumn("region_code", region_code("region", codes))
+        views = page_views(fold(coded, "second", "region_code"))
+        return views.withColumn("dt", date_of_seconds("created"))
+
+    outputs = both(
+        append_batch(archive, *partitions),
+        aggregated(page_view_counts, append_batch(counters, "dt")),
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        log = enriched_log(batch, geo, sessions).drop("value")
+        outputs(with_partitions(log), batch_id)
+
+    return write
+
+
+def app_event_sink(archive: str) -> Sink:
+    """App events of a batch, stored by event day."""
+    stored = append_batch(archive, "dt")
+    return lambda batch, batch_id: stored(
+        parse_events(batch).withColumn("dt", day_of("ts")), batch_id
+    )
+
+
+def behaviour_sink(archive: str) -> Sink:
+    """Behaviour events of a batch as they came, stored by event day."""
+    stored = append_batch(archive, "dt")
+    return lambda batch, batch_id: stored(
+        parse_behaviour(batch).withColumn("dt", date_of_millis("mtime")), batch_id
+    )

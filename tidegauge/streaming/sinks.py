@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.sources.archive import overwrite_partitions
+from tidegauge.sources.archive import overwrite_partitions, read_if_stored
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -48,16 +47,6 @@ def both(*sinks: Sink) -> Sink:
     return write
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table written so far, or None before the first batch."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def new_keys(path: str, partition: str) -> Sink:
     """Stores the keys of a batch that no other batch has stored.
 
@@ -68,7 +57,7 @@ def new_keys(path: str, partition: str) -> Sink:
     def write(batch: DataFrame, batch_id: int) -> None:
         keys = batch.distinct().persist()
         try:
-            seen = stored(batch.sparkSession, path)
+            seen = read_if_stored(batch.sparkSession, path)
             fresh = keys
             if seen is not None:
                 touched = [row[0] for row in keys.select(partition).distinct().collect()]

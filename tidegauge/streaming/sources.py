@@ -7,13 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Topics and trigger intervals of the four streams.
-TOPICS = {
-    "access": "esn_accesslog",
-    "promo": "esn_accesslog",
-    "app_events": "esn_datacollection",
-    "behaviour": "esn_behavior",
-}
+# Trigger intervals of the four streams.
 TRIGGERS = {
     "access": "10 seconds",
     "promo": "30 seconds",
