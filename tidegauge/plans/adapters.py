@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.functions.ids import scramble
+from tidegauge.functions.ids import scramble_number
 from tidegauge.functions.labels import APP_PARAM_PATH, APP_PATHS, LAN
 from tidegauge.functions.timebuckets import DAY, bucket, time_text, utc_instant
 from tidegauge.operators.joins import lookup
@@ -205,15 +205,17 @@ def _request(k: Column, token: Column) -> Column:
     return F.concat(F.lit("GET "), target, F.lit(" HTTP/1.1"))
 
 
+def _scrambled(number: Column) -> Column:
+    return F.coalesce(scramble_number(number.try_cast("int")), F.lit(""))
+
+
 def _open_ids(k: Column, user: Column) -> Column:
     """Scrambled ids; every ninth has a part missing, every ninth a broken id."""
-    qz = F.concat(F.lit("qz_id="), scramble(user % 20))
-    org = F.concat(F.lit("&instance_id="), scramble(k))
-    member = F.when(k % 9 == 5, "&member_id=12a").otherwise(
-        F.concat(F.lit("&member_id="), scramble(user))
-    )
-    whole = F.when(k % 9 == 4, F.concat(qz, org)).otherwise(F.concat(qz, org, member))
-    return F.concat(F.lit('"'), whole, F.lit('"'))
+    qz = F.concat(F.lit("qz_id="), _scrambled(user % 20))
+    org = F.concat(F.lit("&instance_id="), _scrambled(k))
+    member = F.when(k % 9 == 5, "12a").otherwise(_scrambled(user))
+    last = F.when(k % 9 == 4, "").otherwise(F.concat(F.lit("&member_id="), member))
+    return F.concat(F.lit('"'), qz, org, last, F.lit('"'))
 
 
 def as_lines(log: DataFrame) -> DataFrame:

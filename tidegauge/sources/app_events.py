@@ -11,7 +11,8 @@ from tidegauge.schemas import EVENT_FIELDS, EVENT_SCHEMA
 
 def parse_events(df: DataFrame, line: str = "value") -> DataFrame:
     """One column per event key plus ``ts``; lines without a usable ``mtime`` are dropped."""
-    event = F.from_json(F.col(line), EVENT_SCHEMA).alias("event")
+    # As a generated row, the text is parsed once and not again inside the filters.
+    event = F.explode(F.array(F.from_json(F.col(line), EVENT_SCHEMA))).alias("event")
     millis = F.col("mtime").try_cast("bigint")
     return (
         df.where(F.col(line).contains("mtime"))
