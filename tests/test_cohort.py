@@ -43,6 +43,16 @@ def test_range_semi_join_by_brute_force(spark):
     assert sorted((r["instance_id"], r["created"]) for r in kept.collect()) == expected
 
 
+def test_days_of_another_zone(spark):
+    # Shanghai's 1970-01-02 starts at 57600; the payment covers just that moment.
+    payments = spark.createDataFrame([("a", 57600, 57600, 1.0)], PAYMENTS)
+    days = (date(1970, 1, 1), date(1970, 1, 9))
+    there = cohort.paid_days(payments, *days, "Asia/Shanghai").collect()
+    assert [tuple(r) for r in there] == [("a", 57600)]
+    assert cohort.paid_days(payments, *days).count() == 0
+    assert cohort.paid_at(payments, date(1970, 1, 2), "Asia/Shanghai").count() == 1
+
+
 def test_range_semi_join_is_an_equality_join(spark):
     df = spark.createDataFrame([("a", 0)], "instance_id string, created bigint")
     payments = spark.createDataFrame([("a", 0, 9, 1.0)], PAYMENTS)

@@ -141,12 +141,7 @@ def derive_clicks(df: DataFrame) -> DataFrame:
         "device_name": F.lit(""),
         "mtime": millis(F.date_trunc("second", F.col("ts"))).cast("string"),
         "ver_code": F.lit(""),
+        **{name: F.col(name) for name in IDENTITY_FIELDS},
     }
-    cols = [
-        fields.get(name, F.col(name) if name in df.columns else None)
-        for name in EVENT_FIELDS
-        if name in fields or name in IDENTITY_FIELDS
-    ]
-    names = [name for name in EVENT_FIELDS if name in fields or name in IDENTITY_FIELDS]
-    clicks = df.select("ts", *[c.alias(name) for c, name in zip(cols, names)])
+    clicks = df.select("ts", *[fields[n].alias(n) for n in EVENT_FIELDS if n in fields])
     return clicks.where(F.col("app_id").isNotNull())

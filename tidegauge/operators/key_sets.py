@@ -7,12 +7,12 @@ reads the month's log again.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.timebuckets import date_of_seconds, day_of, period_start
+from tidegauge.functions.timebuckets import date_of_seconds, day_epoch, day_of, period_start
 from tidegauge.operators.filters import has_ids, not_openapi
 from tidegauge.schemas import ALL_CLIENTS, PERIOD_TYPE
 
@@ -53,14 +53,13 @@ def unseen_keys(stored: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def count_keys(
-    keys: DataFrame, unit: str, value: str, as_of: date, clients: bool = False
+    keys: DataFrame, unit: str, value: str, as_of: date, clients: bool = False, tz: str = "UTC"
 ) -> DataFrame:
     """Distinct ``value`` per period so far, with ``created`` = as-of day."""
-    created = int(datetime(as_of.year, as_of.month, as_of.day, tzinfo=timezone.utc).timestamp())
     is_set = set(keys.columns) == {"period_start", value}
     counter = F.count(value) if is_set else F.countDistinct(value)
     counted = keys.groupBy("period_start").agg(counter.alias("num"))
     labels = [F.lit(PERIOD_TYPE[unit]).alias("type")]
     if clients:
         labels.append(F.lit(ALL_CLIENTS).alias("client_type"))
-    return counted.select(*labels, "period_start", F.lit(created).alias("created"), "num")
+    return counted.select(*labels, "period_start", day_epoch(F.lit(as_of), tz).alias("created"), "num")

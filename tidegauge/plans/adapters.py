@@ -314,21 +314,26 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_app_events(hits(spark, sf_dir))
 
 
-def apps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """App dimension: every ninth part is unknown, every fourth has no open id."""
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 9 != 5)
+def _known_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as apps: every ninth is unknown, every fourth has no open id."""
     open_appid = F.when(F.col("p_partkey") % 4 == 0, "0").otherwise(_text(F.col("p_size")))
-    return part.select(
-        _text(F.col("p_partkey")).alias("app_id"),
-        open_appid.alias("open_appid"),
-        F.col("p_name").alias("name"),
+    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 9 != 5)
+    return part.withColumn("open_appid", open_appid)
+
+
+def apps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App dimension, one row per app_id."""
+    return _known_parts(spark, sf_dir).select(
+        _text(F.col("p_partkey")).alias("app_id"), "open_appid", F.col("p_name").alias("name")
     )
 
 
 def app_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Surrogate keys given out so far: apps without an open id, the even eighths only."""
-    known = apps(spark, sf_dir).where(
-        (F.col("open_appid") == "0") & (F.col("app_id").cast("bigint") % 8 == 0)
+    """Surrogate keys given out so far: to the economy apps without an open id."""
+    given = (F.col("open_appid") == "0") & (F.col("p_type") == "ECONOMY")
+    return _known_parts(spark, sf_dir).where(given).select(
+        (F.col("p_partkey") + 1).alias("rpid"),
+        _text(F.col("p_partkey")).alias("app_id"),
+        "open_appid",
+        F.col("p_name").alias("name"),
     )
-    rpid = (F.col("app_id").cast("bigint") + 1).alias("rpid")
-    return known.select(rpid, "app_id", "open_appid", "name")

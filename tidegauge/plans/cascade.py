@@ -7,7 +7,9 @@ day. Only the first step reads the log; the others read what it stored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +44,14 @@ from tidegauge.sources.archive import (
 UNITS = ("week", "month")
 
 
-def store_usage(spark: SparkSession, root: str, log: DataFrame, day: date) -> DataFrame:
+def store_usage(
+    spark: SparkSession, root: str, log: DataFrame, day: date, tz: str = "UTC"
+) -> DataFrame:
     """Folds a day's log into the stored usage and facts of that day; returns the usage."""
-    usage = daily_usage(log).withColumn("dt", date_of_seconds("created"))
+    usage = daily_usage(log, tz).withColumn("dt", date_of_seconds("created", tz))
     overwrite_partitions(usage.where(F.col("dt") == F.lit(day)), f"{root}/usage", "dt")
     stored = read_days(spark, f"{root}/usage", day, day)
-    overwrite_partitions(facts_of_usage(stored), f"{root}/facts", "day")
+    overwrite_partitions(facts_of_usage(stored, tz), f"{root}/facts", "day")
     return stored
 
 
@@ -69,46 +73,54 @@ def store_keys(spark: SparkSession, root: str, day: date) -> None:
 
 
 def period_counts(
-    spark: SparkSession, root: str, unit: str, day: date, payments: DataFrame
+    spark: SparkSession, root: str, unit: str, day: date, payments: DataFrame, tz: str = "UTC"
 ) -> dict[str, DataFrame]:
     """UV and EV of the week or month of ``day`` so far, for all and for payers."""
 
     def keys(kind: str) -> DataFrame:
         return read_periods(spark, f"{root}/{unit}_{kind}", unit, day, day)
 
-    paid = keep_members_of(keys("eu"), payments, day)
+    paid = keep_members_of(keys("eu"), payments, day, tz=tz)
     return {
-        "uv": count_keys(keys("uv"), unit, "member_id", day, clients=True),
-        "ev": count_keys(keys("ev"), unit, "instance_id", day),
-        "paid_uv": count_keys(paid, unit, "member_id", day),
-        "paid_ev": count_keys(paid, unit, "instance_id", day),
+        "uv": count_keys(keys("uv"), unit, "member_id", day, clients=True, tz=tz),
+        "ev": count_keys(keys("ev"), unit, "instance_id", day, tz=tz),
+        "paid_uv": count_keys(paid, unit, "member_id", day, tz=tz),
+        "paid_ev": count_keys(paid, unit, "instance_id", day, tz=tz),
     }
 
 
-def publish(spark: SparkSession, root: str, name: str, report: DataFrame) -> None:
-    """Puts a report's rows into its stored table, replacing rows with the same keys."""
+def publish(
+    spark: SparkSession, root: str, name: str, reports: Sequence[DataFrame], tz: str = "UTC"
+) -> None:
+    """Puts reports' rows into their stored table at once, replacing rows with the same keys."""
     table = REPORTS[name]
-    dated = report.select(*table.keys, *table.values).withColumn("dt", date_of_seconds("created"))
-    upsert_report(spark, f"{root}/reports/{name}", dated, table.keys, table.values)
+    day = date_of_seconds("created", tz).alias("dt")
+    rows = [r.select(*table.keys, *table.values, day) for r in reports]
+    upsert_report(
+        spark, f"{root}/reports/{name}", reduce(DataFrame.unionByName, rows), table.keys, table.values
+    )
 
 
 def run_day(
-    spark: SparkSession, root: str, log: DataFrame, day: date, payments: DataFrame
+    spark: SparkSession,
+    root: str,
+    log: DataFrame,
+    day: date,
+    payments: DataFrame,
+    tz: str = "UTC",
 ) -> None:
     """Everything that follows from one day of the enriched log."""
-    usage = store_usage(spark, root, log, day)
+    usage = store_usage(spark, root, log, day, tz)
     store_keys(spark, root, day)
-    reports = [*usage_reports(usage).items()]
     folded = usage.where(not_openapi() & has_ids("member_id", "instance_id"))
-    reports += paid_day_reports(folded, payments, day, day).items()
-    for unit in UNITS:
-        reports += period_counts(spark, root, unit, day, payments).items()
-    for name, report in reports:
-        publish(spark, root, name, report)
+    parts = [usage_reports(usage), paid_day_reports(folded, payments, day, day, tz)]
+    parts += [period_counts(spark, root, unit, day, payments, tz) for unit in UNITS]
+    for name in parts[0] | parts[1]:
+        publish(spark, root, name, [part[name] for part in parts if name in part], tz)
 
 
-def run_hour(spark: SparkSession, root: str, log: DataFrame) -> None:
+def run_hour(spark: SparkSession, root: str, log: DataFrame, tz: str = "UTC") -> None:
     """The hourly reports of one hour of the enriched log."""
-    reports = {**visitor_reports(log, "hour"), **enterprise_reports(log, "hour")}
+    reports = {**visitor_reports(log, "hour", tz), **enterprise_reports(log, "hour", tz)}
     for name, report in reports.items():
-        publish(spark, root, name, report)
+        publish(spark, root, name, [report], tz)

@@ -117,11 +117,13 @@ def app_keys(events: DataFrame, apps: DataFrame, registry: DataFrame) -> tuple[D
     return registry, mapping
 
 
-def app_usage(events: DataFrame, apps: DataFrame, registry: DataFrame) -> tuple[DataFrame, Reports]:
+def app_usage(
+    events: DataFrame, apps: DataFrame, registry: DataFrame, tz: str = "UTC"
+) -> tuple[DataFrame, Reports]:
     """The registry with new apps, and the three app reports per day."""
     registry, mapping = app_keys(events, apps, registry)
     dims = ("action", "app_id", "instance_id", "qz_id", "member_id")
-    used = lookup(fold(events, "day", *dims), mapping, "app_id", "rpid")
+    used = lookup(fold(events, "day", *dims, tz=tz), mapping, "app_id", "rpid")
     return registry, app_metrics(used.where(has_ids("rpid")))
 
 
@@ -147,29 +149,31 @@ def app_metrics(used: DataFrame) -> Reports:
     }
 
 
-def period_reports(facts: DataFrame, unit: str, as_of: date) -> Reports:
+def period_reports(facts: DataFrame, unit: str, as_of: date, tz: str = "UTC") -> Reports:
     """UV and EV of weeks or months so far, from daily facts."""
-    uv = count_keys(period_keys(facts, unit, KEY_SETS["uv"]), unit, "member_id", as_of, True)
-    ev = count_keys(period_keys(facts, unit, KEY_SETS["ev"]), unit, "instance_id", as_of)
+    members = period_keys(facts, unit, KEY_SETS["uv"])
+    enterprises = period_keys(facts, unit, KEY_SETS["ev"])
+    uv = count_keys(members, unit, "member_id", as_of, clients=True, tz=tz)
+    ev = count_keys(enterprises, unit, "instance_id", as_of, tz=tz)
     return {"uv": uv, "ev": ev}
 
 
 def paid_day_reports(
-    folded: DataFrame, payments: DataFrame, first: date, last: date
+    folded: DataFrame, payments: DataFrame, first: date, last: date, tz: str = "UTC"
 ) -> Reports:
     """Paid EV and UV per day, each row judged by its own day's payers."""
-    paid = keep_paid_on_day(folded, payments, first, last)
+    paid = keep_paid_on_day(folded, payments, first, last, tz)
     ev = period_metrics(paid, distinct={"num": "instance_id"})
     uv = period_metrics(paid, distinct={"num": "member_id"})
     return {"paid_ev": labelled(ev, "day"), "paid_uv": labelled(uv, "day")}
 
 
 def paid_period_reports(
-    facts: DataFrame, payments: DataFrame, unit: str, as_of: date
+    facts: DataFrame, payments: DataFrame, unit: str, as_of: date, tz: str = "UTC"
 ) -> Reports:
     """Paid EV and UV of weeks or months so far, by the payers of the as-of day."""
-    paid = keep_members_of(period_keys(facts, unit, KEY_SETS["eu"]), payments, as_of)
+    paid = keep_members_of(period_keys(facts, unit, KEY_SETS["eu"]), payments, as_of, tz=tz)
     return {
-        "paid_ev": count_keys(paid, unit, "instance_id", as_of),
-        "paid_uv": count_keys(paid, unit, "member_id", as_of),
+        "paid_ev": count_keys(paid, unit, "instance_id", as_of, tz=tz),
+        "paid_uv": count_keys(paid, unit, "member_id", as_of, tz=tz),
     }

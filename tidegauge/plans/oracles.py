@@ -182,7 +182,7 @@ vevents AS (
   FROM hits
 ),
 apps AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS app, p_name AS name,
+  SELECT CAST(p_partkey AS VARCHAR) AS app, p_name AS name, p_type,
     CASE WHEN p_partkey % 4 = 0 THEN '0' ELSE CAST(p_size AS VARCHAR) END AS open_appid
   FROM part WHERE p_partkey % 9 <> 5
 ),
@@ -196,7 +196,7 @@ normal AS (
 ),
 given AS (
   SELECT CAST(app AS BIGINT) + 1 AS rpid, app AS app_id, open_appid, name FROM apps
-  WHERE open_appid = '0' AND CAST(app AS BIGINT) % 8 = 0
+  WHERE open_appid = '0' AND p_type = 'ECONOMY'
 ),
 fresh AS (
   SELECT app_id, open_appid, min(name) AS name FROM normal n

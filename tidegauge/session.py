@@ -15,6 +15,10 @@ SETTINGS = {
     # Splits a reduce partition that one key has filled, whatever its size.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Keeps stream state out of the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 

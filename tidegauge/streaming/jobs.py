@@ -49,25 +49,27 @@ def run(stream: DataFrame, sink: Sink, checkpoint: str, mode: str = "append") ->
     start(stream, sink, checkpoint, mode=mode).awaitTermination()
 
 
-def promo_clicks(lines: DataFrame) -> DataFrame:
+def promo_clicks(lines: DataFrame, tz: str = "UTC") -> DataFrame:
     """``(day, site, r)`` of the page requests that carry a promotion code."""
     clicks = parse_lines(lines).where(is_promo_click() & F.col("ts").isNotNull())
     return clicks.select(
-        time_text("ts", DAY_KEY).alias("day"),
+        time_text("ts", DAY_KEY, tz).alias("day"),
         "site",
         promo_code(request_target("request")).alias("r"),
         "connection",
     ).where(F.col("r").isNotNull())
 
 
-def promo_counts(lines: DataFrame) -> DataFrame:
-    return count_by(promo_clicks(lines), "day", "site", "r")
+def promo_counts(lines: DataFrame, tz: str = "UTC") -> DataFrame:
+    return count_by(promo_clicks(lines, tz), "day", "site", "r")
 
 
-def visitors(log: DataFrame, value: str = "member_id", ts: str = "ts") -> DataFrame:
+def visitors(
+    log: DataFrame, value: str = "member_id", ts: str = "ts", tz: str = "UTC"
+) -> DataFrame:
     """Distinct ``(dt, created, value)`` per hour, for a key store."""
     seen = log.where(F.col(value).isNotNull())
-    return seen.select(day_of(ts).alias("dt"), bucket(ts, "hour").alias("created"), value)
+    return seen.select(day_of(ts, tz).alias("dt"), bucket(ts, "hour", tz).alias("created"), value)
 
 
 def word_counts(text: Column | str, df: DataFrame) -> DataFrame:
@@ -106,6 +108,7 @@ def access_sink(
     counters: str,
     codes: Mapping[str, str] = REGION_CODES,
     partitions: Sequence[str] = ("dt", "hr"),
+    tz: str = "UTC",
 ) -> Sink:
     """Raw lines of a batch to the enriched archive and to page views per second and region.
 
@@ -115,7 +118,7 @@ def access_sink(
     def page_view_counts(log: DataFrame) -> DataFrame:
         coded = log.where(not_openapi()).withColumn("region_code", region_code("region", codes))
         views = page_views(fold(coded, "second", "region_code"))
-        return views.withColumn("dt", date_of_seconds("created"))
+        return views.withColumn("dt", date_of_seconds("created", tz))
 
     outputs = both(
         append_batch(archive, *partitions),
@@ -124,22 +127,22 @@ def access_sink(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         log = enriched_log(batch, geo, sessions).drop("value")
-        outputs(with_partitions(log), batch_id)
+        outputs(with_partitions(log, tz=tz), batch_id)
 
     return write
 
 
-def app_event_sink(archive: str) -> Sink:
+def app_event_sink(archive: str, tz: str = "UTC") -> Sink:
     """App events of a batch, stored by event day."""
     stored = append_batch(archive, "dt")
     return lambda batch, batch_id: stored(
-        parse_events(batch).withColumn("dt", day_of("ts")), batch_id
+        parse_events(batch).withColumn("dt", day_of("ts", tz)), batch_id
     )
 
 
-def behaviour_sink(archive: str) -> Sink:
+def behaviour_sink(archive: str, tz: str = "UTC") -> Sink:
     """Behaviour events of a batch as they came, stored by event day."""
     stored = append_batch(archive, "dt")
     return lambda batch, batch_id: stored(
-        parse_behaviour(batch).withColumn("dt", date_of_millis("mtime")), batch_id
+        parse_behaviour(batch).withColumn("dt", date_of_millis("mtime", tz)), batch_id
     )
