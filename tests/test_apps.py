@@ -7,7 +7,7 @@ REGISTRY = "rpid bigint, app_id string, open_appid string, name string"
 
 
 def dimension(spark):
-    rows = [("1", "0", "one"), ("2", "110", "two"), ("3", "", "three"), ("4", "7", "")]
+    rows = [("1", "0", "one"), ("2", "77", "two"), ("3", "", "three"), ("4", "7", "")]
     return spark.createDataFrame(rows, "app_id string, open_appid string, name string")
 
 
@@ -20,7 +20,7 @@ def test_normalize(spark):
     }
     assert got == {
         0: ("0", "1", "one"),
-        1: ("110", "0", "two"),
+        1: ("77", "0", "two"),
         5: ("-9", "0", "empty"),
         6: ("a+b", "0", "empty"),
     }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators.joins import lookup
 from tidegauge.plans.queries import QUERIES
-from tidegauge.session import shared_dir
+from tidegauge.session import shared_dir, shuffle_partitions
 
 STREAMS = [name for name in QUERIES if "stream" in name]
 BATCH = [name for name in QUERIES if name not in STREAMS]
@@ -113,3 +113,8 @@ def test_shared_folder_is_the_cluster_setting(spark):
     parent = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(f"{parent}/x-")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_shuffle_partitions_grow_with_the_data():
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(10 << 40) == 81920

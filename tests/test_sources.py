@@ -95,8 +95,8 @@ def test_enriched_line_with_blank_or_malformed_ids(spark):
 def test_app_events_need_a_time(spark):
     rows = lines(
         spark,
-        '{"action":"view","app_id":"1","mtime":"1484038850788","object_id":"9","extra":1}',
-        '{"action":"view","mtime":1484038850788}',
+        '{"action":"view","app_id":"1","mtime":"1500000000123","object_id":"9","extra":1}',
+        '{"action":"view","mtime":1500000000123}',
         '{"action":"view","mtime":""}',
         '{"action":"view","mtime":null}',
         '{"action":"view"}',
@@ -105,8 +105,8 @@ def test_app_events_need_a_time(spark):
     )
     parsed = app_events.parse_events(rows).collect()
     assert [(r["app_id"], r["mtime"], r["object_id"]) for r in parsed] == [
-        ("1", "1484038850788", "9"),
-        (None, "1484038850788", None),
+        ("1", "1500000000123", "9"),
+        (None, "1500000000123", None),
     ]
     assert app_events.parse_behaviour(rows).count() == 2
 
@@ -125,9 +125,9 @@ def test_lookup_replies(spark):
     row = lookups.parse_geo_replies(spark.createDataFrame([(geo,)], "reply string")).first()
     assert (row["geo_ip"], row["country"], row["region"]) == ("1.2.3.4", "中国", "四川")
 
-    app = '{"ecode":"0","error":"","result":{"app_id":"1","name":"n","open_appid":"110"}}'
+    app = '{"ecode":"0","error":"","result":{"app_id":"1","name":"n","open_appid":"77"}}'
     row = lookups.parse_app_replies(spark.createDataFrame([(app,)], "reply string")).first()
-    assert (row["open_appid"], row["name"]) == ("110", "n")
+    assert (row["open_appid"], row["name"]) == ("77", "n")
 
 
 @pytest.fixture

@@ -7,7 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 from test_sources import line
 
+from tidegauge.operators.filters import not_openapi
 from tidegauge.operators.metrics import count_by
+from tidegauge.plans import adapters
+from tidegauge.plans.queries import QUERIES
+from tidegauge.plans.queries import second_views as page_views_by_second
 from tidegauge.sources.archive import with_partitions
 from tidegauge.streaming import jobs, sinks, sources
 
@@ -80,6 +84,34 @@ def test_keys_are_stored_once(spark, tmp_path):
     assert counted == {1: 3, 9: 1}
 
 
+def test_many_batches_equal_one_batch_run(spark, sf, tmp_path):
+    """The log in five files, a file per batch, against the batch queries over all of it."""
+    events = spark.read.parquet(f"{sf}/events.parquet").orderBy("value")
+    events.repartition(5).write.parquet(str(tmp_path / "events"))
+    log = adapters.as_hits(sources.table_stream(spark, str(tmp_path / "events"), max_files=1))
+    log = log.where(not_openapi())
+
+    keys = str(tmp_path / "keys")
+    jobs.run(jobs.visitors(log), sinks.new_keys(keys, "dt"), str(tmp_path / "checkpoint-keys"))
+    stored = spark.read.parquet(keys)
+    assert stored.select("batch").distinct().count() == 5
+    counted = {r["created"]: r["num"] for r in count_by(stored, "created").collect()}
+    whole = QUERIES["uv_day_hour_union"](spark, sf).where("type = '1hour'").collect()
+    assert counted == {r["created"]: r["num"] for r in whole}
+
+    views = str(tmp_path / "views")
+    users = adapters.located_users(spark, sf)
+
+    def second_views(batch):
+        return page_views_by_second(batch, users)
+
+    sink = sinks.aggregated(second_views, sinks.append_batch(views))
+    jobs.run(log, sink, str(tmp_path / "checkpoint-views"))
+    summed = sinks.read_sums(spark, views, ["created", "region"]).collect()
+    batch = QUERIES["pv_second_region"](spark, sf).collect()
+    assert sorted(map(tuple, summed)) == sorted(map(tuple, batch))
+
+
 def test_two_outputs_see_one_batch(spark, tmp_path):
     seen = []
     sink = sinks.both(

@@ -359,7 +359,7 @@ def lookup_json(spark, sf):
 # --- page views, visitors, addresses -----------------------------------------------
 
 
-def _second_views(log: DataFrame, people: DataFrame) -> DataFrame:
+def second_views(log: DataFrame, people: DataFrame) -> DataFrame:
     """Requests per second and region code, from an access log without open API and LAN."""
     kept = log.where(filters.not_openapi() & ~filters.is_lan("net"))
     located = a.with_area(metrics.fold(kept, "second", "custkey"), people)
@@ -369,7 +369,7 @@ def _second_views(log: DataFrame, people: DataFrame) -> DataFrame:
 
 @query
 def pv_second_region(spark, sf):
-    return _second_views(a.hits(spark, sf), a.located_users(spark, sf))
+    return second_views(a.hits(spark, sf), a.located_users(spark, sf))
 
 
 @query
@@ -714,7 +714,7 @@ def upsert_additive(spark, sf):
     codes = [labels.ELSEWHERE, *a.AREA_CODES.values()]
 
     def wide(when):
-        views = _second_views(a.as_hits(events.where(when)), people)
+        views = second_views(a.as_hits(events.where(when)), people)
         hourly = views.withColumn("created", timebuckets.coarser("created", "hour"))
         return metrics.page_views_wide(hourly, codes)
 
@@ -742,7 +742,7 @@ def stream_pv(spark, sf):
     people = a.located_users(spark, sf)
 
     def views(batch):
-        counted = _second_views(batch, people)
+        counted = second_views(batch, people)
         return counted.withColumn("dt", timebuckets.date_of_seconds("created"))
 
     log = a.as_hits(_stream(spark, sf, "events"))

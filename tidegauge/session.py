@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Nothing here grows with the data: partition counts come from AQE at run time.
+# Nothing here grows with the data; the one setting that does is `shuffle_partitions` below.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,8 +23,20 @@ SETTINGS = {
 }
 
 
+def shuffle_partitions(shuffled_bytes: int, target: int = 128 << 20) -> int:
+    """Partitions that hold ``target`` bytes each: a starting number, which AQE lowers as needed.
+
+    AQE merges small partitions but makes no more than the session starts with,
+    so size this for the largest shuffle (folded rows, not the raw log).
+    """
+    return max(200, -(-shuffled_bytes // target))
+
+
 def build(master: str | None = None, app: str = "tidegauge", **extra: str) -> SparkSession:
-    """A session with the settings above; ``extra`` keys use ``__`` for dots."""
+    """A session with the settings above; ``extra`` keys use ``__`` for dots.
+
+    On a cluster pass ``spark__sql__shuffle__partitions``, see :func:`shuffle_partitions`.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
