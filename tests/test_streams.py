@@ -10,8 +10,7 @@ from test_sources import line
 from tidegauge.operators.filters import not_openapi
 from tidegauge.operators.metrics import count_by
 from tidegauge.plans import adapters
-from tidegauge.plans.queries import QUERIES
-from tidegauge.plans.queries import second_views as page_views_by_second
+from tidegauge.plans.queries import QUERIES, region_views
 from tidegauge.sources.archive import with_partitions
 from tidegauge.streaming import jobs, sinks, sources
 
@@ -102,10 +101,9 @@ def test_many_batches_equal_one_batch_run(spark, sf, tmp_path):
     views = str(tmp_path / "views")
     users = adapters.located_users(spark, sf)
 
-    def second_views(batch):
-        return page_views_by_second(batch, users)
-
-    sink = sinks.aggregated(second_views, sinks.append_batch(views))
+    sink = sinks.aggregated(
+        lambda batch: region_views(batch, users), sinks.append_batch(views)
+    )
     jobs.run(log, sink, str(tmp_path / "checkpoint-views"))
     summed = sinks.read_sums(spark, views, ["created", "region"]).collect()
     batch = QUERIES["pv_second_region"](spark, sf).collect()
@@ -188,7 +186,8 @@ def test_closed_day_is_settled(spark, tmp_path):
     path, out = str(tmp_path / "parts"), str(tmp_path / "report")
     sink = sinks.append_batch(path, "day")
     for batch_id in range(3):
-        sink(spark.createDataFrame([("d1", "x", 1), ("d2", "x", 5)], "day string, r string, num int"), batch_id)
+        rows = [("d1", "x", 1), ("d2", "x", 5)]
+        sink(spark.createDataFrame(rows, "day string, r string, num int"), batch_id)
     for _ in range(2):
         sinks.settle_sums(spark, path, out, "day", "d1", ["r"])
     assert [(r["day"], r["r"], r["num"]) for r in spark.read.parquet(out).collect()] == [("d1", "x", 3)]

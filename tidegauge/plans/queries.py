@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tidegauge.functions import asof, labels, text, timebuckets
 from tidegauge.functions.ids import descramble, scramble
 from tidegauge.operators import apps, cohort, enrich, filters, key_sets, metrics, tables
-from tidegauge.operators.joins import lookup
 from tidegauge.plans import adapters as a
 from tidegauge.plans import jobs
 from tidegauge.schemas import IDENTITY_FIELDS, REPORTS
@@ -43,6 +42,12 @@ def _day_text(name: str) -> Column:
     return F.col(name).cast("string").alias(name)
 
 
+def _halves() -> tuple[Column, Column]:
+    """Events before and from the split time."""
+    split = timebuckets.wall_clock(SPLIT)
+    return F.col("ts") < split, F.col("ts") >= split
+
+
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     return a.table(spark, sf, "events")
 
@@ -359,17 +364,17 @@ def lookup_json(spark, sf):
 # --- page views, visitors, addresses -----------------------------------------------
 
 
-def second_views(log: DataFrame, people: DataFrame) -> DataFrame:
-    """Requests per second and region code, from an access log without open API and LAN."""
+def region_views(log: DataFrame, people: DataFrame, unit: str = "second") -> DataFrame:
+    """Requests per bucket and region code, from an access log without open API and LAN."""
     kept = log.where(filters.not_openapi() & ~filters.is_lan("net"))
-    located = a.with_area(metrics.fold(kept, "second", "custkey"), people)
+    located = a.with_area(metrics.fold(kept, unit, "custkey"), people)
     coded = located.withColumn("region_code", labels.region_code("region", a.AREA_CODES))
     return metrics.page_views(coded)
 
 
 @query
 def pv_second_region(spark, sf):
-    return second_views(a.hits(spark, sf), a.located_users(spark, sf))
+    return region_views(a.hits(spark, sf), a.located_users(spark, sf))
 
 
 @query
@@ -509,12 +514,15 @@ def _register_key_sets() -> None:
 _register_key_sets()
 
 
+def _month_keys_of_halves(spark, sf, ids) -> list[DataFrame]:
+    return [key_sets.period_keys(_facts(spark, sf, half), "month", ids) for half in _halves()]
+
+
 @query
 def incremental_distinct(spark, sf):
     """Month keys of the first half of the data merged with those of the rest."""
     ids = key_sets.KEY_SETS["eu"]
-    stored = key_sets.period_keys(_facts(spark, sf, F.col("ts") < timebuckets.wall_clock(SPLIT)), "month", ids)
-    new = key_sets.period_keys(_facts(spark, sf, F.col("ts") >= timebuckets.wall_clock(SPLIT)), "month", ids)
+    stored, new = _month_keys_of_halves(spark, sf, ids)
     merged = key_sets.merge_keys(stored, new)
     return merged.select(_day_text("period_start"), *ids)
 
@@ -523,8 +531,7 @@ def incremental_distinct(spark, sf):
 def incremental_append(spark, sf):
     """The same by appending only the keys not stored yet."""
     ids = key_sets.KEY_SETS["eu"]
-    stored = key_sets.period_keys(_facts(spark, sf, F.col("ts") < timebuckets.wall_clock(SPLIT)), "month", ids)
-    new = key_sets.period_keys(_facts(spark, sf, F.col("ts") >= timebuckets.wall_clock(SPLIT)), "month", ids)
+    stored, new = _month_keys_of_halves(spark, sf, ids)
     whole = stored.unionByName(key_sets.unseen_keys(stored, new))
     return whole.select(_day_text("period_start"), *ids)
 
@@ -714,12 +721,11 @@ def upsert_additive(spark, sf):
     codes = [labels.ELSEWHERE, *a.AREA_CODES.values()]
 
     def wide(when):
-        views = second_views(a.as_hits(events.where(when)), people)
-        hourly = views.withColumn("created", timebuckets.coarser("created", "hour"))
+        hourly = region_views(a.as_hits(events.where(when)), people, "hour")
         return metrics.page_views_wide(hourly, codes)
 
-    before, after = wide(F.col("ts") < timebuckets.wall_clock(SPLIT)), wide(F.col("ts") >= timebuckets.wall_clock(SPLIT))
-    return tables.merge_add(before, after, ["client_type", "created"], codes)
+    before, after = _halves()
+    return tables.merge_add(wide(before), wide(after), ["client_type", "created"], codes)
 
 
 # --- streams ---------------------------------------------------------------------------
@@ -742,7 +748,7 @@ def stream_pv(spark, sf):
     people = a.located_users(spark, sf)
 
     def views(batch):
-        counted = second_views(batch, people)
+        counted = region_views(batch, people)
         return counted.withColumn("dt", timebuckets.date_of_seconds("created"))
 
     log = a.as_hits(_stream(spark, sf, "events"))

@@ -51,7 +51,10 @@ EVENT_FIELDS = (
 EVENT_SCHEMA = ", ".join(f"{name} string" for name in EVENT_FIELDS)
 
 # Lookup replies wrap their payload in `result`, valid when `ecode` is "0".
-IDENTITY_REPLY = "ecode string, result struct<member_id string, qz_id string, user_id string, instance_id string>"
+IDENTITY_REPLY = (
+    "ecode string, "
+    "result struct<member_id string, qz_id string, user_id string, instance_id string>"
+)
 GEO_REPLY = "ecode string, result map<string, struct<country string, region string, city string>>"
 APP_REPLY = "ecode string, result struct<app_id string, name string, open_appid string, qz_id string>"
 
