@@ -77,8 +77,10 @@ def test_keys_are_stored_once(spark, tmp_path):
     first = spark.createDataFrame([(day, 1, "a"), (day, 1, "a"), (day, 1, "b")], KEYS)
     second = spark.createDataFrame([(day, 1, "b"), (day, 1, "c"), (next_day, 9, "a")], KEYS)
     sink = sinks.new_keys(path, "dt")
-    for batch, batch_id in ((first, 0), (second, 1), (second, 1), (first, 0), (first, 2)):
+    empty = first.limit(0)
+    for batch, batch_id in ((empty, 9), (first, 0), (second, 1), (second, 1), (first, 0), (first, 2)):
         sink(batch, batch_id)
+    sink(empty, 3)
     counted = {r["created"]: r["num"] for r in count_by(spark.read.parquet(path), "created").collect()}
     assert counted == {1: 3, 9: 1}
 

@@ -38,7 +38,7 @@ def test_upsert_of_a_stored_report(spark, tmp_path):
     kinds = f"dt date, {SITE}"
     first = [(date(2017, 1, 1), "a", 1, 1, 1), (date(2017, 1, 2), "a", 2, 2, 2)]
     later = [(date(2017, 1, 2), "a", 2, 9, 9), (date(2017, 1, 2), "b", 2, 8, 8)]
-    for rows in (first, later, later):
+    for rows in (first, later, later, []):
         updates = spark.createDataFrame(rows, kinds)
         upsert_report(spark, path, updates, ["site", "created"], ["uv", "pv"])
     assert as_dict(spark.read.parquet(path)) == {

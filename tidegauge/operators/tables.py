@@ -56,10 +56,8 @@ def upsert_report(
     updates = updates.persist()
     try:
         touched = [row[0] for row in updates.select(partition).distinct().collect()]
-        stored = read_if_stored(spark, path)
-        if stored is None:
-            stored = updates.limit(0)
-        target = stored.where(F.col(partition).isin(touched))
+        stored = read_if_stored(spark, path, partition, touched)
+        target = updates.limit(0) if stored is None else stored
         cols = [partition, *[k for k in keys if k != partition]]
         overwrite_partitions(merge_replace(target, updates, cols, values), path, partition)
     finally:

@@ -7,6 +7,7 @@ opens only the days it needs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -58,10 +59,20 @@ def read_days(
     return spark.read.parquet(path).where(F.col(partition).between(F.lit(start), F.lit(end)))
 
 
-def read_if_stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first write."""
+def read_if_stored(
+    spark: SparkSession, path: str, partition: str | None = None, values: Sequence = ()
+) -> DataFrame | None:
+    """The table at ``path``, or None before its first write.
+
+    With a partition column, only the folders of ``values`` are listed, however
+    many others the table has; None if there are none of them yet.
+    """
+    reader = spark.read.option("basePath", path)
+    if partition is not None:
+        names = ",".join(str(v) for v in values)
+        path = f"{path}/{partition}={{{names}}}"
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

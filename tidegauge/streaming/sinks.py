@@ -50,19 +50,22 @@ def both(*sinks: Sink) -> Sink:
 def new_keys(path: str, partition: str) -> Sink:
     """Stores the keys of a batch that no other batch has stored.
 
-    Only the partitions the batch touches are compared. Its own earlier output
-    does not count, so a replayed batch stores the same keys again.
+    Only the partitions the batch touches are listed and compared; there are as many
+    as days in the batch. Its own earlier output does not count, so a replayed batch
+    stores the same keys again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         keys = batch.distinct().persist()
         try:
-            seen = read_if_stored(batch.sparkSession, path)
+            touched = [row[0] for row in keys.select(partition).distinct().collect()]
+            seen = read_if_stored(batch.sparkSession, path, partition, touched)
             fresh = keys
             if seen is not None:
-                touched = [row[0] for row in keys.select(partition).distinct().collect()]
-                others = seen.where(F.col(partition).isin(touched) & (F.col("batch") != batch_id))
-                fresh = keys.join(others.select(*keys.columns), keys.columns, "left_anti")
+                others = seen.where(F.col("batch") != batch_id).select(
+                    *[F.col(f.name).cast(f.dataType) for f in keys.schema]
+                )
+                fresh = keys.join(others, keys.columns, "left_anti")
             append_batch(path, partition)(fresh, batch_id)
         finally:
             keys.unpersist()
