@@ -16,7 +16,11 @@ def world(spark, sf):
     users = adapters.users(spark, sf)
     hits = adapters.hits(spark, sf)
     log = adapters.with_org(hits, users).withColumn("d", F.to_date("ts"))
-    return log.where(F.col("d").between(DAYS[0], DAYS[-1])).persist(), adapters.payments(hits, users).persist()
+    log = log.where(F.col("d").between(DAYS[0], DAYS[-1])).persist()
+    payments = adapters.payments(hits, users).persist()
+    yield log, payments
+    log.unpersist()
+    payments.unpersist()
 
 
 @pytest.fixture(scope="module")

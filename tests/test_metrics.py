@@ -14,8 +14,9 @@ from tidegauge.plans.queries import QUERIES
 @pytest.fixture(scope="module")
 def log(spark, sf):
     users = adapters.users(spark, sf)
-    joined = adapters.with_org(adapters.hits(spark, sf), users)
-    return joined.persist()
+    joined = adapters.with_org(adapters.hits(spark, sf), users).persist()
+    yield joined
+    joined.unpersist()
 
 
 def rows(df, *names):

@@ -35,6 +35,8 @@ def conf(spark):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_plans_have_no_pairwise_join_and_no_python(spark, sf, conf, name):
+    # Tables other tests cached were planned with broadcasts.
+    spark.catalog.clearCache()
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     plan = plan_of(QUERIES[name](spark, sf))
     for bad in ("NestedLoop", "Cartesian", "Python", "InPandas", "CollectLimit"):
