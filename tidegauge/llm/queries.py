@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.decontaminate import find_hits
+from tidegauge.llm.packing import pack
 
 QUERIES = {}
 ORACLES = {}
@@ -62,3 +63,14 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")

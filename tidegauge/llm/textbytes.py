@@ -89,6 +89,21 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of bytes."""
+    powers = np.full(len(data), BASE)
+    powers[0] = 1
+    np.cumprod(powers, out=powers)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    powers *= data.astype(np.uint64) + np.uint64(1)
+    np.cumsum(powers, out=sums[1:])
+    back = np.full(len(data), INVERSE)
+    back[0] = 1
+    np.cumprod(back, out=back)
+    value = (sums[end] - sums[start]) * back[start]
+    return mix(value ^ ((end - start).astype(np.uint64) * STEP))
+
+
 def words(column: pa.Array, member: np.ndarray, lower: bool = True) -> Words:
     data, offsets = flat(column)
     if lower:
@@ -107,17 +122,7 @@ def words(column: pa.Array, member: np.ndarray, lower: bool = True) -> Words:
     opens[edges] = inside[1:-1][edges]
     closes[edges - 1] = inside[1:-1][edges - 1]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    powers = np.full(n, BASE)
-    powers[0] = 1
-    np.cumprod(powers, out=powers)
-    sums = np.zeros(n + 1, np.uint64)
-    powers *= data.astype(np.uint64) + np.uint64(1)
-    np.cumsum(powers, out=sums[1:])
-    back = np.full(n, INVERSE)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    value = (sums[end] - sums[start]) * back[start]
-    value = mix(value ^ ((end - start).astype(np.uint64) * STEP))
+    value = hashes(data, start, end)
     return Words(data, offsets, start, end, np.searchsorted(start, offsets), value)
 
 
