@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.decontaminate import find_hits
+from tidegauge.llm.jaccard_join import similarity_components
 from tidegauge.llm.packing import pack
 
 QUERIES = {}
@@ -74,3 +75,25 @@ def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_components(read(spark, sf_dir, "documents"), width=4, num=85, den=100)
+
+
+ORACLES["op4_ngram_jaccard_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT r, array_to_string(w[i : i + 3], ' ') AS s
+  FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+e AS (
+  SELECT x.r AS a, y.r AS b FROM sh x JOIN sh y USING (s) JOIN n nx ON nx.r = x.r JOIN n ny ON ny.r = y.r
+  GROUP BY x.r, y.r, nx.n, ny.n HAVING 100 * count(*) >= 85 * (nx.n + ny.n - count(*))),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN d ON d.r = reach.a JOIN d o ON o.r = reach.b LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id
+"""
