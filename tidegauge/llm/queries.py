@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.llm import pairwise_quality, quality_rules, toxicity
 from tidegauge.llm.decontaminate import find_hits
 from tidegauge.llm.jaccard_join import similarity_components
 from tidegauge.llm.packing import pack
@@ -97,3 +98,25 @@ reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
 FROM reach JOIN d ON d.r = reach.a JOIN d o ON o.r = reach.b LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id
 """
+
+
+@query
+def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = pairwise_quality.fit(docs, read(spark, sf_dir, "labels"))
+    scored = pairwise_quality.score(docs, model)
+    return scored.withColumn("predicted", (F.col("score") >= pairwise_quality.CUT).cast("int"))
+
+
+@query
+def op6_line_labelling_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs))
+
+
+@query
+def op9_class_models_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
