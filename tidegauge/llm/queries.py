@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import pairwise_quality, quality_rules, toxicity
+from tidegauge.llm import pairwise_quality, quality_rules, secrets, toxicity
 from tidegauge.llm.decontaminate import find_hits
 from tidegauge.llm.jaccard_join import similarity_components
 from tidegauge.llm.packing import pack
@@ -120,3 +120,27 @@ def op9_class_models_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def span_digests(kinds: tuple[str, ...]) -> list:
+    """Counts of the base kinds, the digest of their spans, and all spans, from ``found``."""
+
+    def joined(spans) -> Column:
+        texts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(texts, ",")
+
+    def of(*wanted: str) -> Column:
+        return F.filter("found", lambda s: s["kind"].isin(*wanted))
+
+    return [
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds),
+        F.sha2(joined(of(*kinds)), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    ]
+
+
+@query
+def op1_zstd_novelty_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.identifier_dictionary(docs))
+    return found.select("doc_id", *span_digests(("assign", "access", "hex")))
