@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import pairwise_quality, quality_rules, secrets, toxicity
+from tidegauge.llm import lm_scoring, pairwise_quality, quality_rules, secrets, toxicity
 from tidegauge.llm.decontaminate import find_hits
 from tidegauge.llm.jaccard_join import similarity_components
 from tidegauge.llm.packing import pack
@@ -144,3 +144,8 @@ def op1_zstd_novelty_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.identifier_dictionary(docs))
     return found.select("doc_id", *span_digests(("assign", "access", "hex")))
+
+
+@query
+def op8_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read(spark, sf_dir, "documents"))
