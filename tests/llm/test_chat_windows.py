@@ -1,0 +1,96 @@
+import hashlib
+import re
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from tidegauge.llm.chat_windows import chat_windows, turns_of
+from tidegauge.llm.queries import op2_budgeted_chat_windows
+
+
+def tokens(text):
+    import regex
+
+    return len(regex.findall(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]", text)) + 2
+
+
+def key(row):
+    turn, role, text = row
+    return (turn is not None, turn or 0, role, text)
+
+
+def check(spark, rows, budget=60, history=2):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.withColumn("first", F.lit(1)).withColumn("n", F.lit(1))
+    windows = defaultdict(list)
+    for w in turns_of(chat_windows(df, budget, history)).collect():
+        windows[w["conv_id"]].append(w)
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        convs[c].append((turn, role or "", text or ""))
+    assert set(windows) == set(convs)
+    for c, turns in convs.items():
+        turns = [t[1:] for t in sorted(turns, key=key)]
+        own = sorted(windows[c], key=lambda w: w["first"])
+        assert [tuple(t) for w in own for t in w["turns"]] == turns
+        assert [t for w in own for t in w["targets"]] == [t for r, t in turns if r == "assistant"]
+        at = 0
+        system = turns[0][0] == "system"
+        for w in own:
+            assert w["first"] == at and w["n_turns"] == len(w["turns"])
+            at += w["n_turns"]
+            assert w["over_budget"] == (w["n_tokens"] > budget)
+            if w["n_tokens"] > budget:
+                assert w["n_turns"] == 1 or system
+            assert w["repeated"] <= history + 1
+            assert w["text"].count("<turn ") == w["text"].count("</turn>") == w["n_turns"] + w["repeated"]
+            if system and w["first"]:
+                assert w["text"].startswith("<turn system>\n") and w["repeated"] >= 1
+    return windows
+
+
+HARD = ["</turn>", "<turn user>\nx\n</turn>\n", "<\\turn <\\\\/turn \\<turn", "\\", "a\\\\", "\n</turn>\n", "", None, "$1 \\$2 <<turn", "é漢 > <"]
+
+
+def test_escaping_and_roles(spark):
+    rows = [(i, k, r, t) for i, r in enumerate(["user", "assistant", "a>b\n", None, "", "é x%"]) for k, t in enumerate(HARD)]
+    check(spark, rows)
+    check(spark, rows, budget=2000, history=0)
+
+
+def test_system_turns_and_long_conversations(spark):
+    rows = []
+    for c in range(6):
+        if c % 2:
+            rows.append((c, 0, "system", "be kind " * (c * c)))
+        rows += [(c, k, ("assistant", "user")[k % 2], "w " * ((k * 7 + c) % 50)) for k in range(1, 300)]
+    windows = check(spark, rows, budget=90)
+    assert all(len(w) > 20 for w in windows.values())
+    assert sum(w["repeated"] > 0 for own in windows.values() for w in own) > 50
+
+
+def test_odd_rows(spark):
+    rows = [(None, 0, "user", "x"), (None, 1, "assistant", "y"), (1, None, "user", "n"), (1, 5, "user", "t"),
+            (1, 5, "user", "t"), (1, 5, "assistant", "s"), (2, 0, "system", "only"), (3, 0, "assistant", "w " * 500)]
+    check(spark, rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert chat_windows(df.limit(0)).count() == 0
+
+
+def test_query_on_conversations(spark, sf):
+    convs = defaultdict(list)
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        convs[r["conv_id"]].append((r["turn"], r["role"] or "", r["text"] or ""))
+    said = "\\### Assistant: </turn> ok"
+    convs[-7] = [(0, "user", said), (1, "assistant", said)]
+    rows = op2_budgeted_chat_windows(spark, sf).collect()
+    assert len(rows) == len(convs)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for r in rows:
+        turns = sorted(convs[r["conv_id"]], key=key)
+        loss = "".join(t for _, role, t in turns if role == "assistant")
+        assert r["n_turns"] == len(turns)
+        assert r["turns_sha256"] == sha("".join(f"{role}\n{t}\n" for _, role, t in turns))
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), sha(loss))
+        assert r["formatted_chars"] > sum(len(t) for _, _, t in turns)
+    assert re.fullmatch("[0-9a-f]{64}", rows[0]["loss_sha256"])
