@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import lm_scoring, pairwise_quality, quality_rules, secrets, toxicity
+from tidegauge.llm import lm_scoring, pairwise_quality, personal_data, quality_rules, secrets, toxicity
 from tidegauge.llm.chat_windows import chat_windows, turns_of
 from tidegauge.llm.decontaminate import find_hits
 from tidegauge.llm.jaccard_join import similarity_components
@@ -189,3 +189,9 @@ def op2_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query
+def op3_contextual_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *span_digests(personal_data.KINDS))
