@@ -14,7 +14,6 @@ that occurs twice is reported twice; an empty benchmark hits nothing.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm.textbytes import ALNUM, STEP, Words, sliced, text_of, words
+from tidegauge.session import shared_dir
 
 WIDTH = 10
 #: Item words whose tables are held at once; a larger benchmark is searched in several blocks.
@@ -132,7 +132,7 @@ def build(items: list[tuple[object, str | None]], width: int = WIDTH) -> list[Ta
 
 
 def occurrences(found: Words, tables: list[Tables]) -> tuple[np.ndarray, np.ndarray, list]:
-    """For each text its hit words as merged ranges (start, end, text), and its items."""
+    """Whether each word is hit, where each text's words begin, and each text's items."""
     docs = len(found.first) - 1
     change = np.zeros(len(found.hash) + 1, np.int64)
     items: list[set[str]] = [set() for _ in range(docs)]
@@ -150,32 +150,27 @@ def ranges(hit: np.ndarray) -> tuple[list[int], list[int]]:
     return np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
 
 
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple]]:
-    """The benchmark in blocks of about ``BLOCK_WORDS`` words, one at a time on the driver."""
+def blocks_of(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list, bool]]:
+    """Blocks of about ``BLOCK_WORDS`` words, one at a time, and whether each is the last."""
     rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = -(-size // (4 * BLOCK_WORDS)) or 1
     part = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [[tuple(r) for r in rows.where(part == k).collect()] for k in range(count)]
+    for k in range(count):
+        yield [tuple(r) for r in rows.where(part == k).collect()], k + 1 == count
 
 
-def search_in(
-    docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, width: int, act: Callable, schema
-) -> DataFrame:
-    """Runs ``act(batch, found, hit, items)`` on slices of the documents."""
+def in_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, width: int, one: Callable) -> DataFrame:
+    """Sends the documents past each block; between blocks they are written, so that executors hold
+    the tables of one block only."""
     spark = docs.sparkSession
-    tables = [
-        spark.sparkContext.broadcast(build(block, width))
-        for block in blocks_of(benchmark, item_col, "text")
-    ]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col):
-            found = words(text_of(batch, text_col), ALNUM)
-            hit, _, items = occurrences(found, [t for b in tables for t in b.value])
-            yield act(batch, found, hit, items)
-
-    return docs.mapInArrow(work, schema)
+    for items, last in blocks_of(benchmark, item_col, "text"):
+        docs = one(docs, spark.sparkContext.broadcast(build(items, width)), last)
+        if not last:
+            path = shared_dir(spark, "searched")
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
+    return docs
 
 
 def find_hits(
@@ -187,36 +182,53 @@ def find_hits(
     item_col: str = "item_id",
 ) -> DataFrame:
     """A row per document: its words, the ranges of hit words and the items that occur in it."""
-
-    def act(batch, found, hit, items):
-        first = found.first.tolist()
-        spans = [ranges(hit[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(found.counts, pa.int64()),
-                pa.array([s for s, _ in spans], pa.list_(pa.int64())),
-                pa.array([e for _, e in spans], pa.list_(pa.int64())),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-            ],
-            names=[id_col, *HITS.names],
-        )
-
-    own = docs.select(id_col, text_col)
-    schema = T.StructType([own.schema[id_col], *HITS.fields])
-    return search_in(own, benchmark, item_col, text_col, width, act, schema)
+    name = docs.select(id_col).columns[0]
+    none = F.array().cast("array<bigint>")
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), none.alias("starts"))
+    own = own.withColumns({"ends": none, "items": F.array().cast("array<string>")})
+
+    def one(docs: DataFrame, tables, last: bool) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in sliced(batches, "text"):
+                found = words(text_of(batch, "text"), ALNUM)
+                hit, first, items = occurrences(found, tables.value)
+                earlier = [batch.column(k).to_pylist() for k in (2, 3, 4)]
+                rows = []
+                for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+                    own = hit[a:b].copy()
+                    for s, e in zip(earlier[0][k], earlier[1][k], strict=True):
+                        own[s:e] = True
+                    rows.append((*ranges(own), sorted(items[k].union(earlier[2][k]))))
+                starts, ends, items = ([r[k] for r in rows] for k in range(3))
+                lists = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array(found.counts, pa.int64()) if last else batch.column(1),
+                        pa.array(starts, lists),
+                        pa.array(ends, lists),
+                        pa.array(items, pa.list_(pa.string())),
+                    ],
+                    names=schema.names,
+                )
+
+        schema = T.StructType([docs.schema["id"], *HITS.fields]) if last else docs.schema
+        return docs.mapInArrow(work, schema)
+
+    return in_blocks(own, benchmark, item_col, width, one).withColumnRenamed("id", name)
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, text_col: str = "text"
+    docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, text_col: str = "text", item_col: str = "item_id"
 ) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with all their columns."""
 
-    def act(batch, found, hit, items):
-        return batch.filter(pa.array([not x for x in items], pa.bool_()))
-
-    return search_in(docs, benchmark, "item_id", text_col, width, act, docs.schema)
+    def one(docs: DataFrame, tables, last: bool) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in sliced(batches, text_col):
+                _, _, items = occurrences(words(text_of(batch, text_col), ALNUM), tables.value)
+                yield batch.filter(pa.array([not x for x in items], pa.bool_()))
 
+        return docs.mapInArrow(work, docs.schema)
 
-def digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
+    return in_blocks(docs, benchmark, item_col, width, one)
