@@ -1,6 +1,7 @@
 from datetime import date
 
-from tidegauge.operators.tables import merge_add, merge_replace, upsert_report
+from tidegauge.operators.tables import merge_add, merge_replace
+from tidegauge.sources.archive import replace_partition
 
 SITE = "site string, created bigint, uv bigint, pv bigint"
 
@@ -33,16 +34,19 @@ def test_add_sums_and_treats_missing_as_zero(spark):
     assert as_dict(merged) == {("a", 1): (3, 3), ("b", 1): (4, 5)}
 
 
-def test_upsert_of_a_stored_report(spark, tmp_path):
+def test_a_partition_is_replaced_also_by_nothing(spark, tmp_path):
     path = str(tmp_path / "site")
-    kinds = f"dt date, {SITE}"
-    first = [(date(2017, 1, 1), "a", 1, 1, 1), (date(2017, 1, 2), "a", 2, 2, 2)]
-    later = [(date(2017, 1, 2), "a", 2, 9, 9), (date(2017, 1, 2), "b", 2, 8, 8)]
-    for rows in (first, later, later, []):
-        updates = spark.createDataFrame(rows, kinds)
-        upsert_report(spark, path, updates, ["site", "created"], ["uv", "pv"])
-    assert as_dict(spark.read.parquet(path)) == {
-        ("a", 1): (1, 1),
-        ("a", 2): (9, 9),
-        ("b", 2): (8, 8),
-    }
+    whole = spark.createDataFrame([("a", 1, 1, 1), ("b", 1, 2, 2)], SITE)
+    for day in (date(2017, 1, 1), date(2017, 1, 2)):
+        replace_partition(whole, path, dt=day, part="day")
+    replace_partition(whole.where("site = 'b'"), path, dt=date(2017, 1, 2), part="day")
+    replace_partition(whole.limit(0), path, dt=date(2017, 1, 1), part="day")
+    replace_partition(whole.limit(0), path, dt=date(2017, 1, 3), part="day")
+    assert as_dict(spark.read.parquet(path)) == {("b", 1): (2, 2)}
+
+
+def test_a_table_of_empty_days_can_be_read(spark, tmp_path):
+    path = str(tmp_path / "none")
+    replace_partition(spark.createDataFrame([], SITE), path, dt=date(2017, 1, 1))
+    assert spark.read.parquet(path).columns == ["site", "created", "uv", "pv", "dt"]
+    assert spark.read.parquet(path).count() == 0

@@ -156,8 +156,14 @@ def test_app_of_request(column):
 
 
 def test_valid_ip(column):
-    values = ["1.2.3.4", "", "1" * 15, "1" * 16, None]
-    assert column(valid_ip("c"), values) == ["1.2.3.4", None, "1" * 15, None, None]
+    good = ["1.2.3.4", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "::1", "::", "fe80::1%eth0", "::ffff:10.0.0.1"]
+    bad = ["", "1" * 15, "1.2.3", "unknown", "a:b", "10:30", None]
+    assert column(valid_ip("c"), good + bad) == good + [None] * len(bad)
+
+
+def test_bytes_or_zero_holds_large_responses(column):
+    values = ["3000000000", "-1", "x", "", None, "99999999999999999999"]
+    assert column(text.bytes_or_zero("c"), values) == [3_000_000_000, -1, 0, 0, 0, 0]
 
 
 def test_expressions_stay_in_the_jvm(spark):

@@ -37,6 +37,13 @@ def int_or_zero(c: Column | str) -> Column:
     return F.coalesce(whole, F.lit(0))
 
 
+def bytes_or_zero(c: Column | str) -> Column:
+    """Byte count in ``c`` as BIGINT; 0 for anything else."""
+    c = _col(c)
+    whole = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("bigint"))
+    return F.coalesce(whole, F.lit(0).cast("bigint"))
+
+
 def field_count(line: Column | str) -> Column:
     """Number of tab fields, not counting empty ones at the end."""
     return F.size(F.split(F.rtrim(_col(line), F.lit("\t")), "\t"))

@@ -24,6 +24,9 @@ DAY = 86400
 WEEK = 7 * DAY
 # 1970-01-05 was the first Monday of the epoch.
 FIRST_MONDAY = 4 * DAY
+# Epoch milliseconds of the first and last day that a DATE prints with four digits, a day apart
+# from the ends so that every zone's wall clock is inside.
+FIRST_MILLIS, LAST_MILLIS = -62_135_510_400_000, 253_402_214_400_000
 UNITS = ("second", "hour", "day", "week", "month")
 
 
@@ -75,8 +78,14 @@ def bucket_of_seconds(seconds: Column | str, unit: str, tz: str = "UTC") -> Colu
     return bucket(F.timestamp_seconds(_col(seconds)), unit, tz)
 
 
+def instant_of_millis(millis: Column | str) -> Column:
+    """TIMESTAMP of epoch milliseconds; NULL outside the years 1 to 9999, never an overflow."""
+    whole = _col(millis).cast("bigint")
+    return F.when(whole.between(FIRST_MILLIS, LAST_MILLIS), F.timestamp_millis(whole))
+
+
 def bucket_of_millis(millis: Column | str, unit: str, tz: str = "UTC") -> Column:
-    return bucket(F.timestamp_millis(_col(millis)), unit, tz)
+    return bucket(instant_of_millis(millis), unit, tz)
 
 
 def coarser(created: Column | str, unit: str, tz: str = "UTC") -> Column:
@@ -101,7 +110,7 @@ def date_of_seconds(seconds: Column | str, tz: str = "UTC") -> Column:
 
 def date_of_millis(millis: Column | str, tz: str = "UTC") -> Column:
     """DATE of an epoch-millisecond time on the wall clock of ``tz``."""
-    return day_of(F.timestamp_millis(_col(millis)), tz)
+    return day_of(instant_of_millis(millis), tz)
 
 
 def wall_clock(moment: datetime) -> Column:

@@ -25,16 +25,18 @@ def keep_members_of(
     return keep_matching(df, paid_at(payments, as_of, tz).withColumnRenamed("instance_id", on), on)
 
 
-def paid_days(payments: DataFrame, first: date, last: date, tz: str = "UTC") -> DataFrame:
+def paid_days(
+    payments: DataFrame, first: date | None = None, last: date | None = None, tz: str = "UTC"
+) -> DataFrame:
     """Distinct ``(instance_id, created)`` for each day start a payment covers.
 
     Turning intervals into days makes the range condition an equality, so a busy
     enterprise with many payments is not compared pair by pair. ``first`` and
-    ``last`` bound the days any one payment can add.
+    ``last`` leave out days that no caller asks for; a payment has an end in any case.
     """
     # A zone's day can start up to a day before or after the UTC one.
-    low = F.greatest(F.date_sub(date_of_seconds("start"), 1), F.lit(first))
-    high = F.least(F.date_add(date_of_seconds("end"), 1), F.lit(last))
+    low = F.greatest(F.date_sub(date_of_seconds("start"), 1), F.lit(first).cast("date"))
+    high = F.least(F.date_add(date_of_seconds("end"), 1), F.lit(last).cast("date"))
     spans = (
         payments.where((F.col("total_fee") > 0) & (F.col("start") <= F.col("end")))
         .select("instance_id", "start", "end", low.alias("low"), high.alias("high"))
@@ -48,7 +50,11 @@ def paid_days(payments: DataFrame, first: date, last: date, tz: str = "UTC") ->
 
 
 def keep_paid_on_day(
-    df: DataFrame, payments: DataFrame, first: date, last: date, tz: str = "UTC"
+    df: DataFrame,
+    payments: DataFrame,
+    first: date | None = None,
+    last: date | None = None,
+    tz: str = "UTC",
 ) -> DataFrame:
     """Rows whose enterprise is paying on the row's own day (``created``)."""
     return keep_matching(df, paid_days(payments, first, last, tz), "instance_id", "created")

@@ -28,14 +28,15 @@ API_SITE = "api"
 API_PARAM = "access_token"
 TOKEN_PARAM = "token"
 OPEN_IDS = ("member_id", "qz_id", "instance_id")
-MAX_IP_LENGTH = 15
+# Four decimal parts, or hexadecimal groups with colons and perhaps an IPv4 tail or a zone.
+IP_FORM = r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|(?=[^:]*:[^:]*:)[0-9A-Fa-f:]+(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3})?(?:%[0-9A-Za-z._-]+)?)$"
 CLICK = "_click"
 
 
 def valid_ip(ip: Column | str) -> Column:
-    """The address, or NULL when it is empty or too long to be one."""
+    """The address, or NULL when it has the form of neither IPv4 nor IPv6."""
     ip = F.col(ip) if isinstance(ip, str) else ip
-    return F.when((ip != "") & (F.length(ip) <= MAX_IP_LENGTH), ip)
+    return F.when(ip.rlike(IP_FORM), ip)
 
 
 def with_geo(

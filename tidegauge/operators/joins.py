@@ -20,20 +20,30 @@ _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def lookup(
-    facts: DataFrame, dim: DataFrame, key: str, *values: str, spread_by: Sequence[str] = ()
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    *values: str,
+    spread_by: Sequence[str] = (),
+    latest: str | None = None,
 ) -> DataFrame:
     """Adds ``values`` of the dimension row with the same ``key``; NULL when there is none.
 
-    ``dim`` must hold one row per key. Rows without a key are spread by a hash of
+    A key that the dimension repeats counts once: its values are those of the row that ``latest``
+    puts last, or without it of the greatest row, so a repeated key never multiplies facts.
+    A fact key that is no number finds nothing in a numeric dimension. Rows without a key are spread by a hash of
     ``spread_by`` (all columns, if not given): a hash and not a random number, so a
     task that runs again gives the same rows.
     """
     kind = "bigint" if dict(dim.dtypes)[key] in _WHOLE else "string"
-    keyed = dim.where(F.col(key).isNotNull()).select(F.col(key).cast(kind).alias(_KEY), *values)
+    rank = [latest] if latest else []
+    row = F.struct(*rank, *(v for v in values if v not in rank))
+    keyed = dim.where(F.col(key).isNotNull()).groupBy(F.col(key).cast(kind).alias(_KEY))
+    keyed = keyed.agg(F.max(row).alias("_row")).select(_KEY, *(F.col("_row")[v].alias(v) for v in values))
     nobody = F.xxhash64(*(spread_by or facts.columns)).cast(kind)
-    spread = facts.withColumn(_SPREAD, F.coalesce(F.col(key).cast(kind), nobody))
+    spread = facts.withColumn(_SPREAD, F.coalesce(F.col(key).try_cast(kind), nobody))
     # The second condition keeps a hash from matching a key by accident.
-    match = (F.col(_SPREAD) == F.col(_KEY)) & spread[key].isNotNull()
+    match = (F.col(_SPREAD) == F.col(_KEY)) & spread[key].try_cast(kind).isNotNull()
     return spread.join(keyed, match, "left").drop(_SPREAD, _KEY)
 
 

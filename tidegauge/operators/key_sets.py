@@ -42,6 +42,22 @@ def period_keys(facts: DataFrame, unit: str, ids: tuple[str, ...]) -> DataFrame:
     return facts.select(period_start("day", unit).alias("period_start"), *ids).distinct()
 
 
+def first_days(facts: DataFrame, unit: str, ids: tuple[str, ...]) -> DataFrame:
+    """Ids per week or month with the first day that has them."""
+    start = period_start("day", unit).alias("period_start")
+    return facts.groupBy(start, *ids).agg(F.min("day").alias("first_day"))
+
+
+def counts_so_far(keys: DataFrame, days: DataFrame) -> DataFrame:
+    """``(period_start, day, num)``: keys of :func:`first_days` known by each of ``days``.
+
+    Keys are counted per first day before they meet the days, which are at most 31 a period.
+    """
+    fresh = keys.groupBy("period_start", "first_day").agg(F.count(F.lit(1)).alias("fresh"))
+    met = days.join(fresh, "period_start").where(F.col("first_day") <= F.col("day"))
+    return met.groupBy("period_start", "day").agg(F.sum("fresh").alias("num"))
+
+
 def merge_keys(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Union of two key sets. Merging the same keys again changes nothing."""
     return stored.unionByName(new).distinct()

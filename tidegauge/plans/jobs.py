@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.text import int_or_zero
+from tidegauge.functions.text import bytes_or_zero
 from tidegauge.operators.apps import assign_app_ids, normalize_apps, with_rpid
 from tidegauge.operators.cohort import keep_members_of, keep_paid_on_day
 from tidegauge.operators.enrich import with_geo, with_identity
@@ -60,7 +60,7 @@ def enterprise_metrics(folded: DataFrame, unit: str) -> Reports:
 
 def site_report(log: DataFrame, tz: str = "UTC") -> DataFrame:
     """UV, PV, IPV and traffic per day and site, open API included, in one pass."""
-    sized = log.withColumn("traffic", int_or_zero("bytes_sent").cast("bigint"))
+    sized = log.withColumn("traffic", bytes_or_zero("bytes_sent"))
     return site_metrics(fold(sized, "day", "site", "ip", "member_id", sums=["traffic"], tz=tz))
 
 
@@ -74,37 +74,55 @@ def site_metrics(folded: DataFrame) -> DataFrame:
     return labelled(measured, "day")
 
 
-def daily_usage(log: DataFrame, tz: str = "UTC") -> DataFrame:
-    """One row per day, site, address, member and enterprise: all that daily reports need.
+def usage_of(log: DataFrame, unit: str, tz: str = "UTC") -> DataFrame:
+    """One row per day or hour, site, address, member and enterprise: all that its reports need.
 
     A day's log is read once for this; storing it also spares the reports from
     a lost executor's part of that read.
     """
     sized = log.withColumns(
         {
-            "traffic": int_or_zero("bytes_sent").cast("bigint"),
+            "traffic": bytes_or_zero("bytes_sent"),
             "identified": has_identity(),
         }
     )
-    dims = ("site", "ip", "member_id", "instance_id", "identified")
-    return fold(sized, "day", *dims, sums=["traffic"], tz=tz)
+    dims = ("site", "ip", "member_id", "qz_id", "instance_id", "identified")
+    return fold(sized, unit, *dims, sums=["traffic"], tz=tz)
 
 
 def usage_reports(usage: DataFrame) -> Reports:
-    """The daily reports of :func:`daily_usage` rows."""
+    """The daily reports of :func:`usage_of` rows."""
     site = usage.where(not_openapi())
     visitors = site.where("identified")
     known = site.where(has_ids("member_id", "instance_id"))
     uv = period_metrics(visitors, distinct={"num": "member_id"})
     ipv = period_metrics(visitors, distinct={"num": "ip"})
+    visits = period_metrics(usage.where(has_ids("member_id")), ["qz_id", "member_id"], sums={"times": HITS})
     return {
         "uv": labelled(uv, "day", True),
         "ipv": labelled(ipv, "day", True),
         "site": site_metrics(usage),
+        "member_visits": visits,
         **enterprise_metrics(known, "day"),
     }
 
 
+def hourly_reports(usage: DataFrame) -> Reports:
+    """The same by hour, from hourly rows; hourly IPV counts all addresses."""
+    site = usage.where(not_openapi())
+    uv = period_metrics(site.where("identified"), distinct={"num": "member_id"})
+    ipv = period_metrics(site, distinct={"num": "ip"})
+    known = site.where(has_ids("member_id", "instance_id"))
+    return {
+        "uv": labelled(uv, "hour", True),
+        "ipv": labelled(ipv, "hour", True),
+        **enterprise_metrics(known, "hour"),
+    }
+
+
+APP_DIMS = ("action", "app_id", "instance_id", "qz_id", "member_id")
+
+
 def app_keys(events: DataFrame, apps: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The registry with new apps, and ``(app_id, rpid)`` for each app id as events carry it.
 
@@ -121,9 +139,9 @@ def app_usage(
     events: DataFrame, apps: DataFrame, registry: DataFrame, tz: str = "UTC"
 ) -> tuple[DataFrame, Reports]:
     """The registry with new apps, and the three app reports per day."""
-    registry, mapping = app_keys(events, apps, registry)
-    dims = ("action", "app_id", "instance_id", "qz_id", "member_id")
-    used = lookup(fold(events, "day", *dims, tz=tz), mapping, "app_id", "rpid")
+    folded = fold(events, "day", *APP_DIMS, tz=tz)
+    registry, mapping = app_keys(folded, apps, registry)
+    used = lookup(folded, mapping, "app_id", "rpid")
     return registry, app_metrics(used.where(has_ids("rpid")))
 
 
@@ -150,7 +168,8 @@ def app_metrics(used: DataFrame) -> Reports:
 
 
 def period_reports(facts: DataFrame, unit: str, as_of: date, tz: str = "UTC") -> Reports:
-    """UV and EV of weeks or months so far, from daily facts."""
+    """UV and EV of weeks or months up to the as-of day, from daily facts."""
+    facts = facts.where(F.col("day") <= F.lit(as_of))
     members = period_keys(facts, unit, KEY_SETS["uv"])
     enterprises = period_keys(facts, unit, KEY_SETS["ev"])
     uv = count_keys(members, unit, "member_id", as_of, clients=True, tz=tz)
@@ -159,7 +178,11 @@ def period_reports(facts: DataFrame, unit: str, as_of: date, tz: str = "UTC") ->
 
 
 def paid_day_reports(
-    folded: DataFrame, payments: DataFrame, first: date, last: date, tz: str = "UTC"
+    folded: DataFrame,
+    payments: DataFrame,
+    first: date | None = None,
+    last: date | None = None,
+    tz: str = "UTC",
 ) -> Reports:
     """Paid EV and UV per day, each row judged by its own day's payers."""
     paid = keep_paid_on_day(folded, payments, first, last, tz)
@@ -171,7 +194,8 @@ def paid_day_reports(
 def paid_period_reports(
     facts: DataFrame, payments: DataFrame, unit: str, as_of: date, tz: str = "UTC"
 ) -> Reports:
-    """Paid EV and UV of weeks or months so far, by the payers of the as-of day."""
+    """Paid EV and UV of weeks or months up to the as-of day, by that day's payers."""
+    facts = facts.where(F.col("day") <= F.lit(as_of))
     paid = keep_members_of(period_keys(facts, unit, KEY_SETS["eu"]), payments, as_of, tz=tz)
     return {
         "paid_ev": count_keys(paid, unit, "instance_id", as_of, tz=tz),

@@ -525,6 +525,14 @@ for _unit, _type in (("week", "thisweek"), ("month", "thismonth")):
         ("eu", "instance_id, member_id"),
     ):
         _add(f"{_unit}_keys_{_kind}", f" SELECT DISTINCT {_start}, {_ids} FROM facts", FACTS)
+        _add(
+            f"{_unit}_{_kind}_so_far",
+            f""" SELECT strftime(date_trunc('{_unit}', a.d), '%Y-%m-%d') AS period_start,
+              strftime(a.d, '%Y-%m-%d') AS day, count(DISTINCT ({_ids})) AS num
+            FROM (SELECT DISTINCT d FROM facts) a JOIN facts f
+              ON f.d <= a.d AND date_trunc('{_unit}', f.d) = date_trunc('{_unit}', a.d) GROUP BY a.d""",
+            FACTS,
+        )
     for _metric, _value, _clients in (
         ("uv", "member_id", "'all' AS client_type, "),
         ("ev", "instance_id", ""),

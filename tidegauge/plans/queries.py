@@ -27,7 +27,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF = date(2024, 1, 30)
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 31)
 SPLIT = datetime(2024, 1, 16, 12)
 SPLIT_DAY = date(2024, 1, 16)
 COHORT_END = datetime(2024, 1, 11, tzinfo=timezone.utc)
@@ -496,6 +495,15 @@ def _register_key_sets() -> None:
 
             QUERIES[f"{unit}_keys_{kind}"] = keys
 
+            def so_far(spark, sf, unit=unit, ids=ids):
+                facts = _facts(spark, sf)
+                start = timebuckets.period_start("day", unit).alias("period_start")
+                days = facts.select(start, "day").distinct()
+                found = key_sets.counts_so_far(key_sets.first_days(facts, unit, ids), days)
+                return found.select(_day_text("period_start"), _day_text("day"), "num")
+
+            QUERIES[f"{unit}_{kind}_so_far"] = so_far
+
         for metric in ("uv", "ev"):
 
             def count(spark, sf, unit=unit, metric=metric):
@@ -560,14 +568,13 @@ def paid_semi_join(spark, sf):
 
 @query
 def paid_semi_join_range(spark, sf):
-    return cohort.keep_paid_on_day(
-        _paid_folded(spark, sf), _payments(spark, sf), FIRST_DAY, LAST_DAY
-    ).select("created", "instance_id", "member_id")
+    kept = cohort.keep_paid_on_day(_paid_folded(spark, sf), _payments(spark, sf))
+    return kept.select("created", "instance_id", "member_id")
 
 
 def _paid_day(spark, sf) -> jobs.Reports:
     folded, paying = _paid_folded(spark, sf), _payments(spark, sf)
-    return jobs.paid_day_reports(folded, paying, FIRST_DAY, LAST_DAY)
+    return jobs.paid_day_reports(folded, paying)
 
 
 @query
@@ -709,7 +716,7 @@ def upsert_replace(spark, sf):
     """Site report as of mid-day, with the later days and that day's full numbers put over it."""
     events, report = _events(spark, sf), REPORTS["site"]
     stale = jobs.site_report(a.as_hits(events.where(F.col("ts") < timebuckets.wall_clock(SPLIT))))
-    since = archive.between_days("ts", SPLIT_DAY, LAST_DAY)
+    since = F.col("ts") >= timebuckets.wall_clock(datetime.combine(SPLIT_DAY, datetime.min.time()))
     fresh = jobs.site_report(a.as_hits(events.where(since)))
     return tables.merge_replace(stale, fresh, report.keys, report.values)
 

@@ -50,6 +50,8 @@ EVENT_FIELDS = (
 )
 EVENT_SCHEMA = ", ".join(f"{name} string" for name in EVENT_FIELDS)
 
+REGISTRY_SCHEMA = "rpid bigint, app_id string, open_appid string, name string"
+
 # Lookup replies wrap their payload in `result`, valid when `ecode` is "0".
 IDENTITY_REPLY = (
     "ecode string, "
@@ -71,11 +73,11 @@ class Report(NamedTuple):
 
 
 REPORTS = {
-    "uv": Report(("type", "client_type", "created"), ("num",)),
+    "uv": Report(("type", "client_type", "period_start", "created"), ("num",)),
     "ipv": Report(("type", "client_type", "created"), ("num",)),
-    "ev": Report(("type", "created"), ("num",)),
-    "paid_ev": Report(("type", "created"), ("num",)),
-    "paid_uv": Report(("type", "created"), ("num",)),
+    "ev": Report(("type", "period_start", "created"), ("num",)),
+    "paid_ev": Report(("type", "period_start", "created"), ("num",)),
+    "paid_uv": Report(("type", "period_start", "created"), ("num",)),
     "enterprise_access": Report(("type", "created", "instance_id"), ("uv", "pv")),
     "site": Report(("type", "site", "created"), ("uv", "pv", "ipv", "traffic")),
     "app_action": Report(

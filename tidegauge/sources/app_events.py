@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.text import blank_to_null
+from tidegauge.functions.timebuckets import instant_of_millis
 from tidegauge.schemas import EVENT_FIELDS, EVENT_SCHEMA
 
 
@@ -18,19 +19,31 @@ def parse_events(df: DataFrame, line: str = "value") -> DataFrame:
         df.where(F.col(line).contains("mtime"))
         .select(event)
         .select("event.*")
-        .withColumn("ts", F.timestamp_millis(millis))
+        .withColumn("ts", instant_of_millis(millis))
         .where(F.col("ts").isNotNull())
     )
 
 
 def parse_behaviour(df: DataFrame, line: str = "value") -> DataFrame:
-    """``(mtime, payload)`` of any JSON object that carries a numeric ``mtime``."""
+    """``(mtime, payload)`` of any JSON object that carries a usable ``mtime``."""
     mtime = blank_to_null(F.get_json_object(F.col(line), "$.mtime")).try_cast("bigint")
     return df.select(mtime.alias("mtime"), F.col(line).alias("payload")).where(
-        F.col("mtime").isNotNull()
+        instant_of_millis("mtime").isNotNull()
     )
 
 
+def count_rejects(df: DataFrame, line: str = "value") -> DataFrame:
+    """How many lines the parsers above drop, by reason."""
+    raw = F.get_json_object(F.col(line), "$.mtime")
+    reason = (
+        F.when(raw.isNull(), "no mtime")
+        .when(raw.try_cast("bigint").isNull(), "mtime is no whole number")
+        .when(instant_of_millis(raw.try_cast("bigint")).isNull(), "mtime is out of range")
+    )
+    bad = df.select(reason.alias("reason")).where(F.col("reason").isNotNull())
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("num"))
+
+
 def render_event(fields: dict[str, Column]) -> Column:
     """JSON text of an event; keys follow the event schema, NULL keys are left out."""
     present = [fields[name].cast("string").alias(name) for name in EVENT_FIELDS if name in fields]

@@ -46,6 +46,15 @@ def overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
     )
 
 
+def replace_partition(df: DataFrame, path: str, **values: object) -> None:
+    """Puts the rows in place of the named partition, also when there are none.
+
+    The folder keeps a file with the schema, so a table whose days are all empty can be read.
+    """
+    folder = "/".join(f"{column}={value}" for column, value in values.items())
+    df.drop(*values).hint("rebalance").write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
 def write_text(df: DataFrame, path: str, sep: str = "\t") -> None:
     """Dumps rows as text, one file per task."""
     cols = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
