@@ -56,6 +56,8 @@ def got(df):
 def test_agrees_with_brute_force(spark, monkeypatch, seed, limit, num):
     if limit:
         monkeypatch.setattr(jaccard_join, "frequent_from", lambda counts: limit)
+        monkeypatch.setattr(jaccard_join, "BLOCK_OUT", 3)
+        monkeypatch.setattr(jaccard_join, "BLOCK_ALL", 4)
     rows = fixture(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit("x"))
     assert got(similarity_components(df, 3, num, 100)) == brute(rows, 3, num, 100)
@@ -72,13 +74,13 @@ def test_odd_rows(spark):
 def test_a_large_group_needs_few_comparisons(spark, monkeypatch):
     """Comparisons grow with the group, not with its square."""
     compared = []
-    plain = jaccard_join.verified
+    plain = jaccard_join.compared
 
     def counting(pairs, *rest):
         compared.append(pairs.count())
         return plain(pairs, *rest)
 
-    monkeypatch.setattr(jaccard_join, "verified", counting)
+    monkeypatch.setattr(jaccard_join, "compared", counting)
     r = random.Random(5)
     base = [f"b{i}" for i in range(100)]
     rows = []

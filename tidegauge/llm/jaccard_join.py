@@ -16,11 +16,20 @@ E = floor(n * (den - num) / num) tokens. So for a similar pair,
 Frequencies are estimated by counting hash slots over all documents. The table has a fixed size, so
 it may be broadcast; the estimate decides cost only, never the result.
 
-Equal sets are one node. Each index bucket first compares its members with one of them (the pivot).
-Verified links are contracted into components, and only buckets that still hold members of
-different components compare these pair by pair, except for pairs that the triangle inequality
-of the Jaccard distance through their pivot rules out. So no link between components is lost, and
-a group of n near copies needs about n comparisons.
+Equal sets are one node. Each index bucket compares its members with one of them, the pivot: the one
+whose tokens are the most common, since copies mostly link to the text they come from. That gives
+each member's difference from its pivot P, and the difference of two members follows exactly from
+theirs: it has |Dx| + |Dy| - 2 |Dx and Dy| tokens. Verified links are contracted into components.
+Where a pivot has members outside its own component, these are held against all its members, from
+the stored differences and in blocks, so that no link between components is lost and no task holds
+a whole group. A group of n near copies costs n comparisons of texts.
+
+Members with a similarity to the pivot under one half are far. Their differences are not stored; they
+meet the others of their bucket in pairs of texts, as far as sizes, components and the triangle
+inequality of the Jaccard distance let two members link: never with one nearer than 0.5 - (1 - num / den).
+
+Two bitmaps of fixed size drop signatures that no two documents share, and documents in no bucket,
+before they are shuffled. They may let others pass, which costs time only.
 
 Defined cases: a null or empty text has no shingles and links with nothing; a document that occurs
 twice is one node and is returned twice; rows with one id and different texts are different documents; a
@@ -31,21 +40,28 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import NOT_SPACE, STEP, mix, shingle_sets, sliced, text_of, words
+from tidegauge.llm.textbytes import NOT_SPACE, STEP, flat, mix, shingle_sets, sliced, text_of, words
 from tidegauge.session import shared_dir
 
-#: Slots of the frequency table: 2**18 counters, 2 MB whatever the corpus.
-SLOT_BITS = 18
+#: Slots of the frequency table: 2**22 counters, 16 MB whatever the corpus.
+SLOT_BITS = 22
+#: Bits of the bitmaps: 4 MB each whatever the corpus.
+BITMAP_BITS = 25
 #: Shares over which the members of one pivot are spread.
 SHARES = 16
+#: Distance from the pivot beyond which a member is far.
+FAR = 0.5
+#: Members of a block, on the side outside the pivot's component and on the other.
+BLOCK_OUT, BLOCK_ALL = 512, 2048
 
 
 def own_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -58,23 +74,80 @@ def slots(hashes: np.ndarray) -> np.ndarray:
 
 
 def slot_counts(docs: DataFrame, width: int) -> np.ndarray:
-    """Document frequencies by hash slot; partial tables are added up on executors."""
+    """Document frequencies by hash slot, up to 2**32 - 1; partial tables are added up on executors."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << SLOT_BITS, np.int64)
+        table = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in sliced(batches, "text"):
             sets = shingle_sets(words(text_of(batch, "text"), NOT_SPACE), width)
-            table += np.bincount(slots(np.concatenate(sets)), minlength=len(table))
+            slot, n = np.unique(slots(np.concatenate(sets)), return_counts=True)
+            table[slot] += n.astype(np.uint32)
         yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(table.tobytes(), 1)]})
 
-    def added(a: bytes, b: bytes) -> bytes:
-        both = (np.frombuffer(zlib.decompress(x), np.int64) for x in (a, b))
-        return zlib.compress(np.add(*both).tobytes(), 1)
-
     partial = docs.select("text").mapInArrow(work, "counts binary")
-    empty = zlib.compress(np.zeros(1 << SLOT_BITS, np.int64).tobytes(), 1)
-    total = partial.rdd.map(lambda r: bytes(r[0])).treeAggregate(empty, added, added, depth=3)
-    return np.frombuffer(zlib.decompress(total), np.int64)
+    empty = np.zeros(1 << SLOT_BITS, np.uint32)
+    return np.frombuffer(combined_tables(partial, saturated, empty), np.uint32)
+
+
+def saturated(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum, or the largest value where that does not fit."""
+    both = a + b
+    both[both < a] = np.iinfo(both.dtype).max
+    return both
+
+
+def combined_tables(partial: DataFrame, combine: Callable, empty: np.ndarray) -> bytes:
+    """Adds up compressed tables of one size, on executors, in a tree."""
+
+    def merge(a: bytes, b: bytes) -> bytes:
+        both = (np.frombuffer(zlib.decompress(x), empty.dtype) for x in (a, b))
+        return zlib.compress(combine(*both).tobytes(), 1)
+
+    start = zlib.compress(empty.tobytes(), 1)
+    tables = partial.rdd.map(lambda r: bytes(r[0]))
+    return zlib.decompress(tables.treeAggregate(start, merge, merge, depth=3))
+
+
+def bitmap_slots(values: np.ndarray) -> np.ndarray:
+    return ((values.view(np.uint64) * STEP) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def bitmap(values: DataFrame) -> np.ndarray:
+    """Which slots the values of the first column fall into."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << BITMAP_BITS, bool)
+        for batch in batches:
+            table[bitmap_slots(batch.column(0).to_numpy())] = True
+        yield pa.RecordBatch.from_pydict({"bits": [zlib.compress(np.packbits(table).tobytes(), 1)]})
+
+    empty = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    return np.frombuffer(combined_tables(values.mapInArrow(work, "bits binary"), np.bitwise_or, empty), np.uint8)
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slot = bitmap_slots(values)
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+
+def shared_signatures(sets: DataFrame) -> DataFrame:
+    """``(node, weight, s)`` for signatures that may occur twice."""
+    every = sets.select(F.explode("signatures").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    bits = sets.sparkSession.sparkContext.broadcast(bitmap(every.where("c > 1").select("s")))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            s = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy())
+            kept = in_bitmap(bits.value, s)
+            row = pa.array(owner[kept])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row), pa.array(s[kept])],
+                names=["node", "weight", "s"],
+            )
+
+    return sets.select("node", "weight", "signatures").mapInArrow(work, "node long, weight long, s long")
 
 
 def frequent_from(counts: np.ndarray) -> int:
@@ -104,7 +177,7 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, limit: int, num: int, den
 def set_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Per document: its id, the hash that names its set, the set's size and its signatures."""
     counts = slot_counts(docs, width)
-    shared = docs.sparkSession.sparkContext.broadcast(counts.astype(np.int32) if counts.max(initial=0) < 2**31 else counts)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
     limit = frequent_from(counts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,16 +193,22 @@ def set_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                     batch.column(1),
                     pa.array(names),
                     pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array([commonness(x, shared.value) for x in sets], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
                 ],
-                names=["id", "key", "node", "n", "signatures"],
+                names=["id", "key", "node", "n", "weight", "signatures"],
             )
 
-    fields = [T.StructField("node", T.LongType()), T.StructField("n", T.LongType())]
+    fields = [T.StructField(c, T.LongType()) for c in ("node", "n", "weight")]
     fields.append(T.StructField("signatures", T.ArrayType(T.LongType())))
     return docs.mapInArrow(work, T.StructType([docs.schema["id"], docs.schema["key"], *fields]))
 
 
+def commonness(tokens: np.ndarray, counts: np.ndarray) -> int:
+    """The mean frequency of a set's tokens; the text that copies come from has the highest."""
+    return int(16 * counts[slots(tokens)].mean()) if len(tokens) else 0
+
+
 def set_name(tokens: np.ndarray) -> np.uint64:
     """One value for equal sets: an order-free sum of remixed tokens."""
     total = mix(tokens + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64)
@@ -143,21 +222,31 @@ def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``(a, b, common, size_a, size_b)`` for pairs of nodes, from their documents' texts.
+def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """For pairs of a pivot ``a`` and a member ``b``, from their texts: the member's size, whether they
+    link, their distance, and the tokens in only one of the sets, unless they are far apart.
 
-    Members of one pivot ``a`` are spread over ``SHARES`` tasks' groups, each of which gets the
-    pivot's text too; a group streams its members past the pivot's set.
+    Members of a pivot are spread over ``SHARES`` groups, each of which gets the pivot's text too;
+    a group streams its members past the pivot's set.
     """
+    spark = docs.sparkSession
     share = F.pmod(F.xxhash64("b"), F.lit(SHARES)).cast("int")
     spread = pairs.select("a", share.alias("share"), "b")
     wanted = spread.select("a", "share", F.col("b").alias("node"), F.lit(1).alias("role")).unionByName(
         spread.select("a", "share", F.col("a").alias("node"), F.lit(0).alias("role")).distinct()
     )
-    named = nodes.select("node", "named.*").join(wanted.select("node").distinct(), "node")
-    same = named["id"].eqNullSafe(docs["id"]) & (named["key"] == docs["key"])
-    texts = docs.join(named, same).groupBy("node").agg(F.first("text").alias("text"))
-    grouped = wanted.join(texts, "node").repartition("a", "share").sortWithinPartitions("a", "share", "role")
+    wanted = wanted.join(nodes.select("node", "named.id", "named.key"), "node")
+    bits = spark.sparkContext.broadcast(bitmap(wanted.select("key")))
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bits.value, batch.column(1).to_numpy())))
+
+    docs = docs.mapInArrow(needed, docs.schema)
+    # A document that occurs twice gives a pair twice, which changes nothing.
+    same = wanted["id"].eqNullSafe(docs["id"]) & (wanted["key"] == docs["key"])
+    grouped = wanted.join(docs, same).select("a", "share", "role", "node", "text")
+    grouped = grouped.repartition("a", "share").sortWithinPartitions("a", "share", "role")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, held = None, None
@@ -170,21 +259,126 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) ->
                     pivot, held = (a, share), own
                     continue
                 assert pivot == (a, share)
-                common = len(held) + len(own) - len(np.union1d(held, own))
-                out.append((a, node, common, len(held), len(own)))
+                apart = np.setxor1d(held, own, assume_unique=True)
+                size = len(held) + len(own)
+                link = len(apart) * (den + num) <= size * (den - num)
+                distance = 2 * len(apart) / (size + len(apart))
+                out.append((a, node, len(own), link, distance, apart.tobytes() if distance <= FAR else None))
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in zip(*out, strict=True)],
-                    names=["a", "b", "common", "size_a", "size_b"],
-                )
-
-    kept = grouped.select("a", "share", "role", "node", "text")
-    return kept.mapInArrow(work, "a long, b long, common long, size_a long, size_b long")
+                columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "link", "d", "apart"])
+
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.binary())
+    return grouped.mapInArrow(work, "a long, b long, n long, link boolean, d double, apart binary")
+
+
+def blocked(outside: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of both sides under ``(a, i, j)``: the i-th block outside meets the j-th of all."""
+    sizes = outside.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_OUT).alias("outs"))
+    sizes = members.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ALL).alias("alls")).join(sizes, "a")
+    sides = []
+    for rows, role, own, other, (mine, theirs) in (
+        (outside, 0, "outs", "alls", "ij"),
+        (members, 1, "alls", "outs", "ji"),
+    ):
+        rows = rows.join(sizes, "a").withColumn(mine, F.pmod(F.xxhash64("b"), F.col(own)))
+        rows = rows.withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        sides.append(rows.select("a", "i", "j", F.lit(role).alias("role"), "b", "label", "n", "apart"))
+    return sides[0].unionByName(sides[1])
+
+
+def further_links(checked: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between members of one pivot that are in different components so far."""
+    near = checked.where("apart is not null")
+    members = near.join(labels.withColumnRenamed("node", "b"), "b", "left")
+    members = members.withColumn("label", F.coalesce("label", "b"))
+    home = labels.select(F.col("node").alias("a"), F.col("label").alias("home"))
+    members = members.join(home, "a", "left").withColumn("home", F.coalesce("home", "a"))
+    outside = members.where("label != home")
+    grouped = blocked(outside, members.join(outside.select("a").distinct(), "a"))
+    grouped = grouped.repartition("a", "i", "j").sortWithinPartitions("a", "i", "j", "role")
 
-
-def linked(checked: DataFrame, num: int, den: int) -> DataFrame:
-    union = F.col("size_a") + F.col("size_b") - F.col("common")
-    return checked.where(F.col("common") * den >= union * num).select("a", "b")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, left = None, None
+        for batch in sliced(batches, "apart", 8 << 20):
+            group = np.column_stack([batch.column(k).to_numpy() for k in range(3)])
+            edges = np.flatnonzero(np.any(group[1:] != group[:-1], axis=1)) + 1
+            for start, stop in itertools.pairwise([0, *edges.tolist(), len(group)]):
+                part = Block.of(batch.slice(start, stop - start))
+                if tuple(group[start]) != at:
+                    at, left = tuple(group[start]), []
+                out, every = part.side(0), part.side(1)
+                if len(out.node):
+                    left.append(out)
+                if len(every.node):
+                    left = [Block.joined(left)]
+                    yield left[0].links(every, num, den)
+
+    return grouped.mapInArrow(work, "a long, b long")
+
+
+def far_pairs(buckets: DataFrame, checked: DataFrame, labels: DataFrame, sizes: DataFrame, num: int, den: int):
+    """Pairs of bucket members that may still link, at least one of them far from the pivot."""
+    reach = 1 - num / den + 1e-9
+    known = checked.select("a", F.col("b").alias("node"), "d").distinct()
+    member = buckets.where("a != node").join(known, ["a", "node"], "left").join(sizes, "node")
+    # A member that was not compared has less than half the size of the pivot, or more than twice.
+    member = member.where(F.coalesce(F.col("d") >= FAR - reach, F.lit(True)))
+    member = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    far = member.where(F.coalesce(F.col("d") > FAR, F.lit(True)))
+    left = far.select("s", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "n", "d")))
+    right = member.select("s", *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "d")))
+    close = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= reach, F.lit(True))
+    fits = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
+    pair = F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
+    met = left.join(right, "s").where((F.col("label_a") != F.col("label_b")) & fits & close)
+    return met.select(*pair).distinct()
+
+
+class Block:
+    """Members of one pivot: their nodes, labels, sizes and differences from the pivot."""
+
+    def __init__(self, role, node, label, n, size, tokens) -> None:
+        self.role, self.node, self.label, self.n, self.size, self.tokens = role, node, label, n, size, tokens
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> Block:
+        role, node, label, n = (batch.column(k).to_numpy() for k in range(3, 7))
+        data, offsets = flat(batch.column(7))
+        return cls(role, node, label, n, np.diff(offsets) // 8, np.frombuffer(data.tobytes(), np.uint64))
+
+    def side(self, role: int) -> Block:
+        own = self.role == role
+        fields = (x[own] for x in (self.role, self.node, self.label, self.n, self.size))
+        return Block(*fields, self.tokens[np.repeat(own, self.size)])
+
+    @classmethod
+    def joined(cls, blocks: list[Block]) -> Block:
+        names = ("role", "node", "label", "n", "size", "tokens")
+        return blocks[0] if len(blocks) == 1 else cls(*(np.concatenate([getattr(b, x) for b in blocks]) for x in names))
+
+    def links(self, other: Block, num: int, den: int) -> pa.RecordBatch:
+        """Linked pairs of this block's and the other's members with different labels."""
+        order = np.argsort(self.tokens, kind="stable")
+        tokens, owner = self.tokens[order], np.repeat(np.arange(len(self.node)), self.size)[order]
+        low, high = (np.searchsorted(tokens, other.tokens, side) for side in ("left", "right"))
+        of = np.repeat(np.arange(len(other.node)), other.size)
+        pairs = []
+        begin = np.concatenate(([0], np.cumsum(other.size)))
+        for a in range(0, len(other.node), 256):
+            b = min(a + 256, len(other.node))
+            span = slice(begin[a], begin[b])
+            times = (high - low)[span]
+            rank = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            mine = owner[np.repeat(low[span], times) + rank]
+            key = mine * (b - a) + np.repeat(of[span] - a, times)
+            both = np.bincount(key, minlength=len(self.node) * (b - a)).reshape(len(self.node), b - a)
+            apart = self.size[:, None] + other.size[None, a:b] - 2 * both
+            near = apart * (den + num) <= (self.n[:, None] + other.n[None, a:b]) * (den - num)
+            x, y = np.nonzero(near & (self.label[:, None] != other.label[None, a:b]))
+            pairs.append((self.node[x], other.node[a:b][y]))
+        x, y = (np.concatenate(side) for side in zip(*pairs, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -214,6 +408,36 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return edges.select(F.col("v").alias("node"), F.col("u").alias("label")).union(roots)
 
 
+def labelled_nodes(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The table of sets, and ``(node, named, label)``: each set's first document and component."""
+    spark = docs.sparkSession
+    sets = written(spark, set_table(docs, width, num, den), "sets")
+    some = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("named")
+    nodes = sets.where("n > 0").groupBy("node").agg(some, F.first("n").alias("n"))
+    sizes = nodes.select("node", "n")
+    index = shared_signatures(sets)
+    most = F.max(F.struct("weight", "node"))["node"].alias("a")
+    pivots = index.groupBy("s").agg(most, F.min("node").alias("first"), F.max("node").alias("last"))
+    pivots = pivots.where("first < last").select("s", "a")
+    buckets = written(spark, index.join(pivots, "s").select("s", "a", "node").distinct(), "buckets")
+    pairs = buckets.where("a != node").select("a", F.col("node").alias("b")).distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
+    alike = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (1 - FAR)
+    pairs = written(spark, pairs.where(alike).select("a", "b"), "pairs")
+    checked = written(spark, compared(pairs, nodes, docs, width, num, den), "compared")
+    links = checked.where("link").select("a", "b")
+    labels = components(spark, links)
+    more = written(spark, further_links(checked, labels, num, den), "links")
+    rest = written(spark, far_pairs(buckets, checked, labels, sizes, num, den), "pairs")
+    if not rest.isEmpty():
+        late = compared(rest, nodes, docs, width, num, den).where("link").select("a", "b")
+        more = more.union(written(spark, late, "links"))
+    if not more.isEmpty():
+        labels = components(spark, links.union(more))
+    return sets, nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def similarity_components(
     docs: DataFrame,
     width: int = 5,
@@ -223,68 +447,31 @@ def similarity_components(
     text_col: str = "text",
 ) -> DataFrame:
     """Per document: its id, the size of its set and the smallest id of its component."""
-    spark = docs.sparkSession
-    id_type = docs.schema[id_col]
-    docs = own_columns(docs, id_col, text_col)
-    sets = written(spark, set_table(docs, width, num, den), "sets")
-    some = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("named")
-    nodes = sets.where("n > 0").groupBy("node").agg(some, F.first("n").alias("n"))
-    index = sets.select("node", F.explode("signatures").alias("s"))
-    pivots = index.groupBy("s").agg(F.min("node").alias("a"), F.max("node").alias("last"))
-    buckets = index.join(pivots.where("a < last").drop("last"), "s").select("s", "a", "node").distinct()
-    buckets = written(spark, buckets, "buckets")
-    sizes = nodes.select("node", "n")
-    pairs = with_sizes(buckets.where("a < node").select("a", F.col("node").alias("b")).distinct(), sizes)
-    pairs = written(spark, pairs.where(can_link(num, den)).select("a", "b"), "pairs")
-    checked = written(spark, verified(pairs, nodes, docs, width), "checked")
-    links = linked(checked, num, den)
-    labels = components(spark, links)
-    rest = written(spark, open_pairs(buckets, checked, labels, sizes, num, den), "pairs")
-    if not rest.isEmpty():
-        more = written(spark, verified(rest, nodes, docs, width), "checked")
-        labels = components(spark, links.union(linked(more, num, den)))
-    named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    name = docs.select(id_col).columns[0]
+    sets, named = labelled_nodes(own_columns(docs, id_col, text_col), width, num, den)
     least = named.groupBy("label").agg(F.min("named.id").alias("component_id"))
     named = named.join(least, "label").select("node", "component_id")
-    result = sets.join(named, "node", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return result.select(F.col("id").alias(id_type.name), F.col("n").alias("n_shingles"), component.alias("component_id"))
-
-
-def with_sizes(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    for side in ("a", "b"):
-        pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
-    return pairs
-
-
-def can_link(num: int, den: int):
-    return F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
+    return sets.join(named, "node", "left").select(
+        F.col("id").alias(name), F.col("n").alias("n_shingles"), component.alias("component_id")
+    )
 
 
-def open_pairs(
-    buckets: DataFrame, checked: DataFrame, labels: DataFrame, sizes: DataFrame, num: int, den: int
+def keep_one(
+    docs: DataFrame,
+    width: int = 5,
+    num: int = 80,
+    den: int = 100,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
-    """Pairs of bucket members in different components that may still link."""
-    distance = 1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
-    far = checked.select("a", F.col("b").alias("node"), distance.alias("d"))
-    member = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    share = member.groupBy("s", "label").agg(F.count(F.lit(1)).alias("c"))
-    mixed = share.groupBy("s").agg(F.max(F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("k"))
-    mixed = mixed.where("k > 1").select("s", F.col("most.label").alias("main"))
-    member = member.join(mixed, "s").join(sizes, "node").join(far, ["a", "node"], "left")
-    member = member.withColumn("d", F.when(F.col("a") == F.col("node"), 0.0).otherwise(F.col("d")))
-    # Of a pair in different components, one is outside the bucket's largest component.
-    left = member.where("label != main").select(
-        "s",
-        F.col("a").alias("pivot"),
-        F.col("node").alias("a"),
-        F.col("label").alias("label_a"),
-        F.col("n").alias("n_a"),
-        F.col("d").alias("d_a"),
-    )
-    right = member.select("s", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"))
-    near = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= F.lit(1 - num / den + 1e-9), F.lit(True))
-    apart = (F.col("label_a") != F.col("label_b")) & can_link(num, den) & near
-    unseen = (F.col("a") != F.col("pivot")) & (F.col("b") != F.col("pivot"))
-    pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    return left.join(right, "s").where(apart & unseen).select(*pair).distinct()
+    """One document of each component, with all columns: that of the smallest id (null last, then by
+    the hash of its text). Of rows with that id and text, any one. Texts without words all stay."""
+    _, named = labelled_nodes(own_columns(docs, id_col, text_col), width, num, den)
+    first = named.groupBy("label").agg(F.min("named").alias("named"))
+    first = first.select(F.col("named.id").alias("__id"), F.col("named.key").alias("__first"))
+    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.withColumn("__key", F.xxhash64(text_col))
+    same = marked[id_col].eqNullSafe(first["__id"]) & (marked["__key"] == first["__first"])
+    kept = marked.where(worded).join(first, same, "left_semi").dropDuplicates([id_col, "__key"])
+    return kept.unionByName(marked.where(~worded)).select(*docs.columns)
