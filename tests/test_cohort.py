@@ -1,6 +1,8 @@
 import random
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from tidegauge.functions.timebuckets import DAY
 from tidegauge.operators import cohort
 
@@ -59,3 +61,10 @@ def test_range_semi_join_is_an_equality_join(spark):
     kept = cohort.keep_paid_on_day(df, payments, date(1970, 1, 1), date(1970, 1, 2))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_paid_days_need_no_bounds(spark):
+    day = 86_400
+    payments = spark.createDataFrame([("1", 0, 400 * day, 5)], "instance_id string, start bigint, end bigint, total_fee int")
+    found = cohort.paid_days(payments).agg(F.count("*"), F.max("created")).first()
+    assert tuple(found) == (401, 400 * day)

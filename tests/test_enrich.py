@@ -127,3 +127,21 @@ def test_clicks_of_an_enriched_log(spark):
 def test_enriched_log_drops_unreadable_times(spark):
     log = enriched_log(lines(spark, line(time_local="?"), line()), geo(spark), sessions(spark))
     assert log.count() == 1
+
+
+def test_a_repeated_dimension_key_does_not_multiply_rows(spark):
+    facts = spark.createDataFrame([("1",), ("1",), ("2",), ("x",), (None,)], "id string")
+    dim = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "two", 1)], "id bigint, name string, at int")
+    found = lookup(facts, dim, "id", "name", latest="at").collect()
+    assert sorted((r["id"] or "", r["name"] or "") for r in found) == [
+        ("", ""), ("1", "new"), ("1", "new"), ("2", "two"), ("x", "")
+    ]
+    assert lookup(facts, dim, "id", "name").count() == 5
+
+
+def test_ipv6_addresses_keep_their_geography(spark):
+    long = "2001:0db8:85a3:0000:0000:8a2e:0370:7334"
+    log = spark.createDataFrame([(long,), ("nonsense",)], "remote_addr string")
+    geo = spark.createDataFrame([(long, "c", "r", "t")], "ip string, country string, region string, city string")
+    got = {r["remote_addr"]: r["country"] for r in enrich.with_geo(log, geo).collect()}
+    assert got == {long: "c", "nonsense": None}

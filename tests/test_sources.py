@@ -179,3 +179,13 @@ def test_jdbc_options():
     assert split["numPartitions"] == "8" and split["user"] == "u"
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x", "t", "id")
+
+
+def test_dirty_event_times_are_counted_and_stop_nothing(spark):
+    times = ['"1"', "5", '"99999999999999999"', "-99999999999999999", '"x"', '""', "null", "1e400"]
+    lines = [f'{{"action": "a", "mtime": {t}}}' for t in times] + ["junk mtime", "", '{"action": "a"}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert sorted(r["mtime"] for r in app_events.parse_events(df).collect()) == ["1", "5"]
+    assert sorted(r["mtime"] for r in app_events.parse_behaviour(df).collect()) == [1, 5]
+    rejects = {r["reason"]: r["num"] for r in app_events.count_rejects(df).collect()}
+    assert rejects["mtime is out of range"] == 2 and sum(rejects.values()) == len(lines) - 2

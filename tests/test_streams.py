@@ -68,23 +68,6 @@ def test_replayed_batch_counts_once(spark, tmp_path):
     assert got == {"x": 4, "y": 2}
 
 
-KEYS = "dt date, created bigint, member_id string"
-
-
-def test_keys_are_stored_once(spark, tmp_path):
-    path = str(tmp_path / "keys")
-    day, next_day = date(2017, 1, 1), date(2017, 1, 2)
-    first = spark.createDataFrame([(day, 1, "a"), (day, 1, "a"), (day, 1, "b")], KEYS)
-    second = spark.createDataFrame([(day, 1, "b"), (day, 1, "c"), (next_day, 9, "a")], KEYS)
-    sink = sinks.new_keys(path, "dt")
-    empty = first.limit(0)
-    for batch, batch_id in ((empty, 9), (first, 0), (second, 1), (second, 1), (first, 0), (first, 2)):
-        sink(batch, batch_id)
-    sink(empty, 3)
-    counted = {r["created"]: r["num"] for r in count_by(spark.read.parquet(path), "created").collect()}
-    assert counted == {1: 3, 9: 1}
-
-
 def test_many_batches_equal_one_batch_run(spark, sf, tmp_path):
     """The log in five files, a file per batch, against the batch queries over all of it."""
     events = spark.read.parquet(f"{sf}/events.parquet").orderBy("value")
@@ -93,9 +76,11 @@ def test_many_batches_equal_one_batch_run(spark, sf, tmp_path):
     log = log.where(not_openapi())
 
     keys = str(tmp_path / "keys")
-    jobs.run(jobs.visitors(log), sinks.new_keys(keys, "dt"), str(tmp_path / "checkpoint-keys"))
+    fresh = jobs.first_seen(jobs.visitors(log), "400 days", "created", "member_id").drop("ts")
+    jobs.run(fresh, sinks.append_batch(keys, "dt"), str(tmp_path / "checkpoint-keys"))
     stored = spark.read.parquet(keys)
-    assert stored.select("batch").distinct().count() == 5
+    assert stored.select("batch").distinct().count() >= 5
+    assert stored.count() == stored.select("created", "member_id").distinct().count()
     counted = {r["created"]: r["num"] for r in count_by(stored, "created").collect()}
     whole = QUERIES["uv_day_hour_union"](spark, sf).where("type = '1hour'").collect()
     assert counted == {r["created"]: r["num"] for r in whole}
@@ -195,6 +180,43 @@ def test_closed_day_is_settled(spark, tmp_path):
     assert [(r["day"], r["r"], r["num"]) for r in spark.read.parquet(out).collect()] == [("d1", "x", 3)]
 
 
+def test_settled_days_hold_few_files(spark, tmp_path):
+    path = str(tmp_path / "log")
+    sink = sinks.append_batch(path, "day")
+    for batch_id in range(20):
+        rows = [("d1", batch_id), ("d2", batch_id)]
+        sink(spark.createDataFrame(rows, "day string, n int"), batch_id)
+    before = sinks.read_settled(spark, path, "day")
+    whole = sorted((r["day"], r["n"]) for r in before.collect())
+    for _ in range(2):
+        sinks.settle(spark, path, "day", "d1")
+    after = sinks.read_settled(spark, path, "day")
+    assert sorted((r["day"], r["n"]) for r in after.collect()) == whole
+    assert len(after.where("day = 'd1'").inputFiles()) < len(before.inputFiles())
+    assert spark.read.parquet(f"{path}-settled").count() == 20
+
+
+def test_a_batch_sees_sessions_that_began_after_the_stream(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    kinds = "session string, member_id string, qz_id string, user_id string, instance_id string"
+    spark.createDataFrame([("esn:a", "1", "1", "1", "1")], kinds).write.parquet(path)
+    seen = []
+
+    def dimensions(session):
+        known = session.read.parquet(path)
+        seen.append(known.count())
+        geo = session.createDataFrame([], "ip string, country string, region string, city string")
+        return geo, known.withColumns({"kind": F.lit("esn"), "token": F.substring("session", 5, 9)})
+
+    out = str(tmp_path / "out")
+    sink = jobs.access_sink(dimensions, f"{out}/log", f"{out}/views", partitions=("dt",))
+    batch = spark.createDataFrame([(promo_line("a"),)], "value string")
+    sink(batch, 0)
+    spark.createDataFrame([("esn:b", "2", "2", "2", "2")], kinds).write.mode("append").parquet(path)
+    sink(batch, 1)
+    assert seen == [1, 2]
+
+
 def test_starting_offsets():
     text = sources.starting_offsets("t", {0: 100, 1: 50, 2: 3}, {0: 90}, replay=5)
     assert json.loads(text) == {"t": {"0": 85, "1": 45, "2": 0}}

@@ -107,3 +107,11 @@ def test_as_of_periods():
     assert asof.last_hour(now) == datetime(2016, 12, 31, 23)
     assert asof.week_start(date(2017, 1, 15)) == date(2017, 1, 9)
     assert asof.month_start(date(2016, 12, 31)) == date(2016, 12, 1)
+
+
+def test_unusable_milliseconds_are_null(column):
+    values = [0, -1, 99_999_999_999_999_999, -(2**63), 2**63 - 1, 253_402_300_800_000, None]
+    seconds = column(F.unix_seconds(t.instant_of_millis("c")), values, "bigint")
+    assert seconds == [0, -1, None, None, None, None, None]
+    assert column(t.bucket_of_millis("c", "day"), values, "bigint") == [0, -86400, *[None] * 5]
+    assert column(t.date_of_millis("c"), values, "bigint") == [date(1970, 1, 1), date(1969, 12, 31), *[None] * 5]

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -67,9 +67,10 @@ def promo_counts(lines: DataFrame, tz: str = "UTC") -> DataFrame:
 def visitors(
     log: DataFrame, value: str = "member_id", ts: str = "ts", tz: str = "UTC"
 ) -> DataFrame:
-    """Distinct ``(dt, created, value)`` per hour, for a key store."""
+    """``(dt, created, value, ts)`` per hit, for :func:`first_seen`."""
     seen = log.where(F.col(value).isNotNull())
-    return seen.select(day_of(ts, tz).alias("dt"), bucket(ts, "hour", tz).alias("created"), value)
+    hour = bucket(ts, "hour", tz).alias("created")
+    return seen.select(day_of(ts, tz).alias("dt"), hour, value, F.col(ts).alias("ts"))
 
 
 def word_counts(text: Column | str, df: DataFrame) -> DataFrame:
@@ -88,13 +89,15 @@ def windowed_page_views(log: DataFrame, delay: str, region: str = "region_code")
     return counted.agg(F.count(F.lit(1)).alias("num")).select(created, "region", "num")
 
 
-def first_seen(log: DataFrame, delay: str, *keys: str, splits: int = 16) -> DataFrame:
+def first_seen(log: DataFrame, delay: str, *keys: str, splits: int | None = None) -> DataFrame:
     """Rows whose keys have not been seen within ``delay``; the state stays bounded.
 
     A stream has no partial aggregate to shrink a busy key before the shuffle.
-    So its rows are first told apart within ``splits`` shares, by a hash of the
-    row, and only the first of each share goes on to the task of the key.
+    So its rows are first told apart within ``splits`` shares (as many as shuffle
+    partitions, if not given), by a hash of the row, and only the first of each
+    share goes on to the task of the key.
     """
+    splits = splits or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = F.pmod(F.xxhash64(*log.columns), F.lit(splits))
     shared = log.withColumn("_share", share).withWatermark("ts", delay)
     few = shared.dropDuplicatesWithinWatermark([*keys, "_share"])
@@ -102,8 +105,7 @@ def first_seen(log: DataFrame, delay: str, *keys: str, splits: int = 16) -> Data
 
 
 def access_sink(
-    geo: DataFrame,
-    sessions: DataFrame,
+    dimensions: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
     archive: str,
     counters: str,
     codes: Mapping[str, str] = REGION_CODES,
@@ -112,7 +114,8 @@ def access_sink(
 ) -> Sink:
     """Raw lines of a batch to the enriched archive and to page views per second and region.
 
-    Both outputs take one enriched batch.
+    Both outputs take one enriched batch. ``dimensions`` gives geography and sessions and is
+    called for every batch, so that a batch sees sessions that began after the stream did.
     """
 
     def page_view_counts(log: DataFrame) -> DataFrame:
@@ -126,7 +129,7 @@ def access_sink(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log = enriched_log(batch, geo, sessions).drop("value")
+        log = enriched_log(batch, *dimensions(batch.sparkSession)).drop("value")
         outputs(with_partitions(log, tz=tz), batch_id)
 
     return write

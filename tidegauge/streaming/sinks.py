@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.sources.archive import overwrite_partitions, read_if_stored
+from tidegauge.sources.archive import overwrite_partitions, read_if_stored, replace_partition
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -47,32 +47,6 @@ def both(*sinks: Sink) -> Sink:
     return write
 
 
-def new_keys(path: str, partition: str) -> Sink:
-    """Stores the keys of a batch that no other batch has stored.
-
-    Only the partitions the batch touches are listed and compared; there are as many
-    as days in the batch. Its own earlier output does not count, so a replayed batch
-    stores the same keys again.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        keys = batch.distinct().persist()
-        try:
-            touched = [row[0] for row in keys.select(partition).distinct().collect()]
-            seen = read_if_stored(batch.sparkSession, path, partition, touched)
-            fresh = keys
-            if seen is not None:
-                others = seen.where(F.col("batch") != batch_id).select(
-                    *[F.col(f.name).cast(f.dataType) for f in keys.schema]
-                )
-                fresh = keys.join(others, keys.columns, "left_anti")
-            append_batch(path, partition)(fresh, batch_id)
-        finally:
-            keys.unpersist()
-
-    return write
-
-
 def read_sums(
     spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str] = ("num",)
 ) -> DataFrame:
@@ -89,6 +63,27 @@ def read_latest(
     return spark.read.parquet(path).groupBy(*keys).agg(*last)
 
 
+def settle(spark: SparkSession, path: str, partition: str, value) -> None:
+    """Puts the rows of a closed partition's batches into few files of a table beside it.
+
+    Run once a day for the day before. The batches stay until :func:`read_settled` no longer
+    reads them; a second run gives the same files.
+    """
+    closed = spark.read.parquet(path).where(F.col(partition) == F.lit(value)).drop("batch")
+    replace_partition(closed, f"{path}-settled", **{partition: value})
+
+
+def read_settled(spark: SparkSession, path: str, partition: str) -> DataFrame:
+    """Rows of settled partitions, and of the batches of all others."""
+    batches = spark.read.parquet(path).drop("batch")
+    settled = read_if_stored(spark, f"{path}-settled")
+    if settled is None:
+        return batches
+    # As literals, so that the scan prunes the folders; there is one for each day.
+    days = [row[0] for row in settled.select(partition).distinct().collect()]
+    return batches.where(~F.col(partition).isin(days)).unionByName(settled)
+
+
 def settle_sums(
     spark: SparkSession, path: str, out: str, partition: str, value, keys: Sequence[str]
 ) -> None:
