@@ -145,3 +145,22 @@ def test_ipv6_addresses_keep_their_geography(spark):
     geo = spark.createDataFrame([(long, "c", "r", "t")], "ip string, country string, region string, city string")
     got = {r["remote_addr"]: r["country"] for r in enrich.with_geo(log, geo).collect()}
     assert got == {long: "c", "nonsense": None}
+
+
+def test_the_raw_line_is_in_no_shuffle(spark, sf):
+    """And assets are dropped below the split."""
+    raw = spark.createDataFrame([("x\ty",)], "value string")
+    geo = spark.createDataFrame([("1", "c", "r", "t")], "ip string, country string, region string, city string")
+    known = spark.createDataFrame([], "kind string, token string, member_id string, qz_id string, user_id string, instance_id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = enriched_log(raw, geo, known)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [x for x in plan.split("\n") if "Exchange" in x]
+    assert exchanges and "value" not in frame.columns
+    below = plan[plan.index("Exchange") :]
+    assert "value#" not in "".join(x for x in below.split("\n") if "Project" in x and "Exchange" in x)
+    generate = next(i for i, x in enumerate(plan.split("\n")) if "Generate" in x)
+    assert any("Filter" in x and "Contains" in x for x in plan.split("\n")[generate + 1 :])

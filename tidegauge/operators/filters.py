@@ -27,6 +27,13 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+def may_be_business_request(line: str = "value") -> Column:
+    """What the filter below implies for the text alone: assets are dropped before they are split."""
+    text = F.col(line)
+    static = _any([text.contains(mark) for mark in STATIC_MARKS])
+    return F.coalesce(text.contains(PAGE_MARK) | ~static, F.lit(False))
+
+
 def is_business_request(line: str = "value") -> Column:
     """Pages always count; other requests need 20 fields, no static asset and a visitor mark.
 

@@ -38,8 +38,11 @@ def lookup(
     kind = "bigint" if dict(dim.dtypes)[key] in _WHOLE else "string"
     rank = [latest] if latest else []
     row = F.struct(*rank, *(v for v in values if v not in rank))
-    keyed = dim.where(F.col(key).isNotNull()).groupBy(F.col(key).cast(kind).alias(_KEY))
-    keyed = keyed.agg(F.max(row).alias("_row")).select(_KEY, *(F.col("_row")[v].alias(v) for v in values))
+    # Grouped by a struct, so that the join shuffles both sides for itself: AQE splits a hot key
+    # only there, and not above an aggregate that is partitioned by the join's own key.
+    keyed = dim.where(F.col(key).isNotNull()).groupBy(F.struct(F.col(key).cast(kind).alias("k")).alias(_KEY))
+    keyed = keyed.agg(F.max(row).alias("_row"))
+    keyed = keyed.select(F.col(_KEY)["k"].alias(_KEY), *(F.col("_row")[v].alias(v) for v in values))
     nobody = F.xxhash64(*(spread_by or facts.columns)).cast(kind)
     spread = facts.withColumn(_SPREAD, F.coalesce(F.col(key).try_cast(kind), nobody))
     # The second condition keeps a hash from matching a key by accident.

@@ -15,7 +15,13 @@ from tidegauge.functions.text import bytes_or_zero
 from tidegauge.operators.apps import assign_app_ids, normalize_apps, with_rpid
 from tidegauge.operators.cohort import keep_members_of, keep_paid_on_day
 from tidegauge.operators.enrich import with_geo, with_identity
-from tidegauge.operators.filters import has_identity, has_ids, is_business_request, not_openapi
+from tidegauge.operators.filters import (
+    has_identity,
+    has_ids,
+    is_business_request,
+    may_be_business_request,
+    not_openapi,
+)
 from tidegauge.operators.joins import lookup
 from tidegauge.operators.key_sets import KEY_SETS, count_keys, period_keys
 from tidegauge.operators.metrics import HITS, fold, labelled, period_metrics
@@ -25,10 +31,17 @@ Reports = dict[str, DataFrame]
 
 
 def enriched_log(lines: DataFrame, geo: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Raw lines to the typed log: filter, geography without LAN traffic, identity."""
+    """Raw lines to the typed log: filter, geography without LAN traffic, identity.
+
+    The raw line ends at the filter; a hash of it spreads keyless rows in the joins, so the text
+    is in no shuffle.
+    """
+    lines = lines.where(may_be_business_request())
     wanted = parse_lines(lines).where(is_business_request() & F.col("ts").isNotNull())
-    located = with_geo(wanted, geo, spread_by=["value"])
-    return with_identity(located, sessions).withColumnRenamed("remote_addr", "ip")
+    lean = wanted.withColumn("_row", F.xxhash64("value")).drop("value")
+    located = with_geo(lean, geo, spread_by=["_row"])
+    found = with_identity(located, sessions, spread_by=["_row"])
+    return found.drop("_row").withColumnRenamed("remote_addr", "ip")
 
 
 def visitor_reports(log: DataFrame, unit: str, tz: str = "UTC") -> Reports:

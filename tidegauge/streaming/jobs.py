@@ -129,7 +129,7 @@ def access_sink(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log = enriched_log(batch, *dimensions(batch.sparkSession)).drop("value")
+        log = enriched_log(batch, *dimensions(batch.sparkSession))
         outputs(with_partitions(log, tz=tz), batch_id)
 
     return write
