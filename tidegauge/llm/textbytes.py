@@ -7,14 +7,19 @@ Python code runs per word. Memory is about 40 bytes for each byte of a slice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Rows that Spark puts into one Arrow batch. Its own 10,000 would be tens of MB of text in the
+#: JVM and again in Python, for each task.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -51,6 +56,14 @@ def text_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return column if not pa.types.is_null(column.type) else column.cast(pa.string())
 
 
+def map_texts(df: DataFrame, work: Callable, schema) -> DataFrame:
+    """``mapInArrow`` in batches of at most ``BATCH_ROWS`` rows. This lowers the session's setting."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(BATCH_SETTING, BATCH_ROWS)
+    return df.mapInArrow(work, schema)
+
+
 def sliced(
     batches: Iterator[pa.RecordBatch], name: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
