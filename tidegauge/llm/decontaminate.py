@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import ALNUM, STEP, Words, sliced, text_of, words
+from tidegauge.llm.textbytes import ALNUM, STEP, Words, map_texts, sliced, text_of, words
 from tidegauge.session import shared_dir
 
 WIDTH = 10
@@ -213,7 +213,7 @@ def find_hits(
                 )
 
         schema = T.StructType([docs.schema["id"], *HITS.fields]) if last else docs.schema
-        return docs.mapInArrow(work, schema)
+        return map_texts(docs, work, schema)
 
     return in_blocks(own, benchmark, item_col, width, one).withColumnRenamed("id", name)
 
@@ -229,6 +229,6 @@ def drop_contaminated(
                 _, _, items = occurrences(words(text_of(batch, text_col), ALNUM), tables.value)
                 yield batch.filter(pa.array([not x for x in items], pa.bool_()))
 
-        return docs.mapInArrow(work, docs.schema)
+        return map_texts(docs, work, docs.schema)
 
     return in_blocks(docs, benchmark, item_col, width, one)

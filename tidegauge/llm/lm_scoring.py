@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm.labelled import remainder
-from tidegauge.llm.textbytes import LOWER, NOT_SPACE, STEP, Words, flat, sliced, text_of, words
+from tidegauge.llm.textbytes import LOWER, NOT_SPACE, STEP, Words, flat, map_texts, sliced, text_of, words
 from tidegauge.session import shared_dir
 
 ORDER = 4
@@ -101,7 +101,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 names=["kind", "code", "n"],
             )
 
-    partial = docs.select("text").mapInArrow(work, "kind int, code long, n long")
+    partial = map_texts(docs.select("text"), work, "kind int, code long, n long")
     return partial.groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
 
@@ -255,7 +255,7 @@ def with_scores(docs: DataFrame, trie: Trie, frequent: tuple[np.ndarray, np.ndar
     schema = schema.add("n_tokens", T.LongType()).add("n_known", T.LongType())
     schema = schema.add("base", T.DoubleType()).add("score", T.DoubleType())
     schema = schema.add("rare", T.ArrayType(T.LongType())).add("times", T.ArrayType(T.LongType()))
-    return own.mapInArrow(work, schema)
+    return map_texts(own, work, schema)
 
 
 def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import ALNUM, LOWER, sliced, text_of
+from tidegauge.llm.textbytes import ALNUM, LOWER, map_texts, sliced, text_of
 from tidegauge.llm.textstats import DIGIT, MARKS, STOP, SYMBOLS, UPPER, Stats, stats_of
 
 SAMPLE = 2000
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
             )
 
     schema = "features array<array<double>>, hashes array<long>"
-    rows = own.join(ids, "id").select("text").mapInArrow(work, schema).orderBy(F.xxhash64("hashes"))
+    rows = map_texts(own.join(ids, "id").select("text"), work, schema).orderBy(F.xxhash64("hashes"))
     rows = [r for r in rows.collect() if r["features"]]
     if not rows:
         return None
@@ -205,7 +205,7 @@ def judge(docs: DataFrame, crf: Crf | None, id_col: str = "doc_id", text_col: st
 
     schema = T.StructType([own.schema[0], *(T.StructField(c, T.LongType()) for c in names[1:-2])])
     schema = schema.add("base_failed", T.BooleanType()).add("kept", T.BooleanType())
-    return own.mapInArrow(work, schema)
+    return map_texts(own, work, schema)
 
 
 def keep_good(docs: DataFrame, crf: Crf | None, text_col: str = "text") -> DataFrame:
@@ -216,4 +216,4 @@ def keep_good(docs: DataFrame, crf: Crf | None, text_col: str = "text") -> DataF
         for batch in sliced(batches, text_col):
             yield batch.filter(pa.array(verdicts(stats_of(text_of(batch, text_col)), shared.value)[2]))
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_texts(docs, work, docs.schema)

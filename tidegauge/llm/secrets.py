@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import sliced, text_of
+from tidegauge.llm.textbytes import map_texts, sliced, text_of
 
 KINDS = ("assign", "access", "hex", "novel")
 REACH = 40
@@ -134,7 +134,7 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text") -> bytes:
             [pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"]
         )
 
-    seen = docs.select(F.col(text_col).alias("text")).mapInArrow(work, "word string, n long")
+    seen = map_texts(docs.select(F.col(text_col).alias("text")), work, "word string, n long")
     most = seen.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     most = most.orderBy(F.desc("n"), "word").limit(DICTIONARY_BYTES // 4).collect()
     words = [*SENSITIVE, *(r["word"] for r in most)]
@@ -167,4 +167,4 @@ def scan(docs: DataFrame, dictionary: bytes, id_col: str = "doc_id", text_col: s
                 found.append([{"kind": k, "start": a, "end": b} for a, k, b in every])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=[id_name, "found"])
 
-    return own.mapInArrow(work, schema)
+    return map_texts(own, work, schema)

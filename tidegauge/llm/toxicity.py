@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm.labelled import labelled_texts, remainder
-from tidegauge.llm.textbytes import ALNUM, Words, sliced, text_of, words
+from tidegauge.llm.textbytes import ALNUM, Words, map_texts, sliced, text_of, words
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -135,7 +135,7 @@ def fit(
             code, n = np.unique((grams(found) << np.uint64(2)) | flags, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], names=["code", "n"])
 
-    learnt = rows.select("text", "label", "tuning").mapInArrow(count, "code long, n long")
+    learnt = map_texts(rows.select("text", "label", "tuning"), count, "code long, n long")
     table = learnt.groupBy("code").agg(F.sum("n").alias("n")).toPandas().sort_values("code")
     coded, n = table["code"].to_numpy().astype(np.uint64), table["n"].to_numpy(float)
     trial, model = fit_part(coded, n, coded & np.uint64(1) == 0), fit_part(coded, n, np.ones(len(n), bool))
@@ -168,7 +168,7 @@ def with_means(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFr
 
     own = docs.select(*keep, "text")
     schema = T.StructType([own.schema[c] for c in keep]).add("mean", T.DoubleType())
-    return own.mapInArrow(work, schema)
+    return map_texts(own, work, schema)
 
 
 def score(
