@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import flat, hashes, sliced, text_of
+from tidegauge.llm.textbytes import flat, hashes, map_texts, sliced, text_of
 from tidegauge.session import shared_dir
 
 CAPACITY = 2048
@@ -67,7 +67,7 @@ class UnitEncoder:
         self.at, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         spaced = (data[start] == 0x20) & (end - start > 1)
@@ -75,8 +75,8 @@ class UnitEncoder:
         own, sizes = [], np.zeros(len(start), np.int64)
         order = np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced)))
         many = int(spaced.sum())
-        for k in range(0, many, 2000):
-            units = order[k : min(many, k + 2000)]
+        for k in range(0, many, 200):
+            units = order[k : min(many, k + 200)]
             joined = b"".join(data[a:b].tobytes() for a, b in zip(start[units], end[units], strict=True))
             ids = np.array(self.encode([joined.decode("utf-8")])[0], np.uint32)
             stops = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(end[units] - start[units])) + 1
@@ -171,7 +171,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_
     )
     if keep_ids:
         schema = schema.add("ids", T.ArrayType(T.LongType()))
-    return own.mapInArrow(work, schema)
+    return map_texts(own, work, schema)
 
 
 class Plan:
@@ -282,4 +282,4 @@ def pack(
                 [*batch.columns[:-1], pa.array(sequence), pa.array(offsets[row])], names=schema.names
             )
 
-    return ranked.mapInArrow(assign, schema)
+    return map_texts(ranked, assign, schema)
