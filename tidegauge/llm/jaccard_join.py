@@ -49,15 +49,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import NOT_SPACE, STEP, flat, mix, shingle_sets, sliced, text_of, words
+from tidegauge.llm.textbytes import NOT_SPACE, STEP, flat, map_texts, mix, shingle_sets, sliced, text_of, words
 from tidegauge.session import shared_dir
 
 #: Slots of the frequency table: 2**22 counters, 16 MB whatever the corpus.
 SLOT_BITS = 22
 #: Bits of the bitmaps: 4 MB each whatever the corpus.
 BITMAP_BITS = 25
-#: Shares over which the members of one pivot are spread.
-SHARES = 16
+#: Members that share one copy of their pivot's text.
+SHARE = 64
 #: Distance from the pivot beyond which a member is far.
 FAR = 0.5
 #: Members of a block, on the side outside the pivot's component and on the other.
@@ -84,7 +84,7 @@ def slot_counts(docs: DataFrame, width: int) -> np.ndarray:
             table[slot] += n.astype(np.uint32)
         yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(table.tobytes(), 1)]})
 
-    partial = docs.select("text").mapInArrow(work, "counts binary")
+    partial = map_texts(docs.select("text"), work, "counts binary")
     empty = np.zeros(1 << SLOT_BITS, np.uint32)
     return np.frombuffer(combined_tables(partial, saturated, empty), np.uint32)
 
@@ -122,7 +122,7 @@ def bitmap(values: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"bits": [zlib.compress(np.packbits(table).tobytes(), 1)]})
 
     empty = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    return np.frombuffer(combined_tables(values.mapInArrow(work, "bits binary"), np.bitwise_or, empty), np.uint8)
+    return np.frombuffer(combined_tables(map_texts(values, work, "bits binary"), np.bitwise_or, empty), np.uint8)
 
 
 def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -147,7 +147,7 @@ def shared_signatures(sets: DataFrame) -> DataFrame:
                 names=["node", "weight", "s"],
             )
 
-    return sets.select("node", "weight", "signatures").mapInArrow(work, "node long, weight long, s long")
+    return map_texts(sets.select("node", "weight", "signatures"), work, "node long, weight long, s long")
 
 
 def frequent_from(counts: np.ndarray) -> int:
@@ -201,7 +201,7 @@ def set_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
     fields = [T.StructField(c, T.LongType()) for c in ("node", "n", "weight")]
     fields.append(T.StructField("signatures", T.ArrayType(T.LongType())))
-    return docs.mapInArrow(work, T.StructType([docs.schema["id"], docs.schema["key"], *fields]))
+    return map_texts(docs, work, T.StructType([docs.schema["id"], docs.schema["key"], *fields]))
 
 
 def commonness(tokens: np.ndarray, counts: np.ndarray) -> int:
@@ -226,12 +226,13 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, nu
     """For pairs of a pivot ``a`` and a member ``b``, from their texts: the member's size, whether they
     link, their distance, and the tokens in only one of the sets, unless they are far apart.
 
-    Members of a pivot are spread over ``SHARES`` groups, each of which gets the pivot's text too;
-    a group streams its members past the pivot's set.
+    A pivot's members are dealt into groups of about ``SHARE``, each of which gets the pivot's text
+    too; a group streams its members past the pivot's set.
     """
     spark = docs.sparkSession
-    share = F.pmod(F.xxhash64("b"), F.lit(SHARES)).cast("int")
-    spread = pairs.select("a", share.alias("share"), "b")
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("shares"))
+    share = F.pmod(F.xxhash64("b"), F.col("shares")).cast("int")
+    spread = pairs.join(many, "a").select("a", share.alias("share"), "b")
     wanted = spread.select("a", "share", F.col("b").alias("node"), F.lit(1).alias("role")).unionByName(
         spread.select("a", "share", F.col("a").alias("node"), F.lit(0).alias("role")).distinct()
     )
@@ -242,7 +243,7 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, nu
         for batch in batches:
             yield batch.filter(pa.array(in_bitmap(bits.value, batch.column(1).to_numpy())))
 
-    docs = docs.mapInArrow(needed, docs.schema)
+    docs = map_texts(docs, needed, docs.schema)
     # A document that occurs twice gives a pair twice, which changes nothing.
     same = wanted["id"].eqNullSafe(docs["id"]) & (wanted["key"] == docs["key"])
     grouped = wanted.join(docs, same).select("a", "share", "role", "node", "text")
@@ -269,7 +270,7 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, nu
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "link", "d", "apart"])
 
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.binary())
-    return grouped.mapInArrow(work, "a long, b long, n long, link boolean, d double, apart binary")
+    return map_texts(grouped, work, "a long, b long, n long, link boolean, d double, apart binary")
 
 
 def blocked(outside: DataFrame, members: DataFrame) -> DataFrame:
@@ -314,7 +315,7 @@ def further_links(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
                     left = [Block.joined(left)]
                     yield left[0].links(every, num, den)
 
-    return grouped.mapInArrow(work, "a long, b long")
+    return map_texts(grouped, work, "a long, b long")
 
 
 def far_pairs(buckets: DataFrame, checked: DataFrame, labels: DataFrame, sizes: DataFrame, num: int, den: int):
