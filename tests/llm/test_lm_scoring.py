@@ -86,6 +86,14 @@ def test_query_on_documents(spark, sf):
     agree(op8_ppm_scoring(spark, sf), brute(rows))
 
 
+@pytest.mark.parametrize("nodes", [0, 7, 60])
+def test_scores_do_not_depend_on_the_bound(spark, monkeypatch, nodes):
+    """Events that executors do not hold get their values, of all counts, in a join."""
+    monkeypatch.setattr(lm_scoring, "MAX_NODES", nodes)
+    rows = [(i, t) for i, t in enumerate(ODD * 6)] + [(3, "a"), (None, "none")]
+    agree(score(spark.createDataFrame(rows, "doc_id long, text string")), brute(rows))
+
+
 def test_smaller_trie_still_sums_to_one(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "MAX_NODES", 40)
     df = spark.createDataFrame([(i, "abcabd") for i in range(1, 5)], "doc_id long, text string")

@@ -6,8 +6,10 @@ is coded in the longest known context; a context that does not have it is left w
 probability comes from the number of kinds of symbols seen there (method C), and the symbols of
 longer contexts are excluded from shorter ones. The score is the sum of log10 probabilities.
 
-Executors hold the trie, so its size is bounded: at most ``MAX_NODES`` nodes, those counted at least
-2^k times for the smallest k that suffices. Counts themselves cover all training texts.
+The trie is a set of tables of all counted events, of any size: events with their counts, and contexts
+with totals, kinds and excluded totals. Executors hold only the values of the most frequent events of the
+longest order, at most ``MAX_NODES`` of them; each text's other events, counted, meet their values in a
+join. Every value comes from all counts, so the bound decides cost only, never a score.
 
 Beside it stands a unigram score with additive smoothing, whose counts are exact. Words counted at
 least N / ``FREQUENT`` times, of which there are at most ``FREQUENT``, are looked up locally; all
@@ -21,12 +23,11 @@ symbol is uniform; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,38 +106,119 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     return partial.groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
 
+def shorter(code: Column, size: int) -> Column:
+    """The last ``size`` bytes of codes."""
+    return code.bitwiseAND(F.lit(int(mask(size))))
+
+
 class Trie:
-    """Counts of symbols in contexts of each order, and the probabilities that follow from them."""
+    """Tables of events and contexts of each order, and the probabilities that follow from them."""
 
-    def __init__(self, codes: list[np.ndarray], counts: list[np.ndarray]) -> None:
-        self.codes, self.counts = codes, counts
-        self.ready = False
+    def __init__(self, symbols: DataFrame) -> None:
+        self.symbols, self.contexts = symbols, []
 
     def prepare(self) -> None:
-        """Totals, kinds and excluded totals of every context; a table of the longest events."""
-        if self.ready:
+        """Stores each order's contexts with totals, kinds, excluded totals and the counts of their symbols."""
+        if self.contexts:
             return
-        self.contexts, self.total, self.kinds, self.excluded = [], [], [], []
+        below = None
         for k in range(ORDER + 1):
-            context, back = np.unique(self.codes[k] >> np.uint64(8), return_inverse=True)
-            self.contexts.append(context)
-            self.total.append(np.bincount(back, weights=self.counts[k], minlength=len(context)))
-            self.kinds.append(np.bincount(back, minlength=len(context)).astype(float))
+            level = self.symbols
+            if k < ORDER:
+                level = level.groupBy(shorter(F.col("code"), k + 1).alias("code")).agg(F.sum("n").alias("n"))
+                level = stored(self.symbols.sparkSession, level, "events")
+            own, lower = level, F.lit(0).cast("long")
             if k:
-                row, there = self.find(self.codes[k - 1], self.codes[k] & mask(k))
-                lower = np.where(there, self.counts[k - 1][row], 0)
-                self.excluded.append(np.bincount(back, weights=lower, minlength=len(context)))
-            else:
-                self.excluded.append(np.zeros(len(context)))
-        top = self.codes[ORDER]
-        order = np.argsort(self.counts[ORDER], kind="stable")  # the most frequent is written last
+                known = below.select(F.col("code").alias("suffix"), F.col("n").alias("lower"))
+                own, lower = level.join(known, shorter(F.col("code"), k) == F.col("suffix")), F.col("lower")
+            # A context has at most 256 symbols.
+            symbol = F.struct(shorter(F.col("code"), 1).cast("int"), "n")
+            context = own.groupBy(F.shiftright("code", 8).alias("context")).agg(
+                F.sum("n").cast("double").alias("total"),
+                F.count(F.lit(1)).cast("double").alias("kinds"),
+                F.sum(lower).cast("double").alias("excluded"),
+                *([F.map_from_entries(F.collect_list(symbol)).alias("children")] if k < ORDER else []),
+            )
+            self.contexts.append(stored(self.symbols.sparkSession, context, "contexts"))
+            below = level
+
+    def learnt(self) -> DataFrame:
+        """``(code, n, value)`` of every event of the longest order that was learnt."""
+        self.prepare()
+        events = self.symbols.withColumn("context", F.shiftright("code", 8))
+        value = F.log10(F.col("n") / (F.col("total") + F.col("kinds")))
+        return events.join(self.contexts[ORDER], "context").select("code", "n", value.alias("value"))
+
+    def unseen(self, codes: DataFrame) -> DataFrame:
+        """``(code, value)`` of events that were not learnt: escapes from the longest context down."""
+        self.prepare()
+        at = codes.select("code", F.lit(0.0).alias("value"), F.lit(False).alias("done"))
+        at = at.withColumns({"gone": F.lit(0.0), "out_of": F.lit(0.0)})  # excluded kinds, and their count
+        for k in range(ORDER, -1, -1):
+            level = self.contexts[k]
+            context = shorter(F.shiftright("code", 8), k)
+            n = F.try_element_at(F.col("children"), shorter(F.col("code"), 1).cast("int")) if k < ORDER else F.lit(None)
+            # Contexts of up to one byte are at most 257 rows, and hold a large share of the events each.
+            at = at.join(F.broadcast(level) if k < 2 else level, context == F.col("context"), "left")
+            known = F.col("context").isNotNull()
+            kinds = F.col("kinds") - F.col("gone")
+            whole = F.col("total") - F.col("out_of") + kinds
+            escape = F.when(kinds > 0, F.log10(kinds / whole)).otherwise(0.0)
+            step = F.coalesce(F.log10(F.col("n") / whole), escape)
+            at = at.withColumn("n", n.cast("long")).select(
+                "code",
+                F.when(F.col("done") | ~known, F.col("value")).otherwise(F.col("value") + step).alias("value"),
+                (F.col("done") | (known & F.col("n").isNotNull())).alias("done"),
+                F.when(known, F.col("kinds")).otherwise(F.col("gone")).alias("gone"),
+                F.when(known, F.col("excluded")).otherwise(F.col("out_of")).alias("out_of"),
+            )
+        uniform = F.when(F.col("done"), 0.0).otherwise(F.log10(F.greatest(256 - F.col("gone"), F.lit(1.0))))
+        return at.select("code", (F.col("value") - uniform).alias("value"))
+
+    def values(self, codes: DataFrame) -> DataFrame:
+        """``(code, value)``: log10 of each distinct event's probability."""
+        learnt = self.learnt().select("code", "value")
+        new = codes.join(learnt, "code", "left_anti")
+        return codes.join(learnt, "code").select("code", "value").unionByName(self.unseen(new))
+
+    def log_probability(self, code: np.ndarray) -> np.ndarray:
+        """The values of a few events, brought to the driver."""
+        wanted, back = np.unique(code, return_inverse=True)
+        rows = [(int(c),) for c in wanted]
+        frame = self.symbols.sparkSession.createDataFrame(rows, "code long")
+        found = {r["code"]: r["value"] for r in self.values(frame).collect()}
+        return np.array([found[int(c)] for c in wanted])[back]
+
+    def frequent(self) -> Values:
+        """The most frequent events, counted at least 2^k times for the smallest k that suffices."""
+        least = [1 << b for b in range(48)]
+        sizes = self.symbols.agg(*(F.count(F.when(F.col("n") >= t, 1)).alias(str(t)) for t in least)).first()
+        least = next((t for t in least if sizes[str(t)] <= MAX_NODES), 1 << 62)
+        table = self.learnt().where(F.col("n") >= least).toArrow()
+        code, n, value = (table.column(c).to_numpy() for c in ("code", "n", "value"))
+        return Values(code.astype(np.uint64), n, value)
+
+
+class Values:
+    """Values of some events, looked up locally."""
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, value: np.ndarray) -> None:
+        order = np.argsort(n, kind="stable")  # the most frequent is written last
+        self.by_count = code[order], value[order]
+        order = np.argsort(code)
+        self.codes, self.values = code[order], value[order]
+        self.keys = None
+
+    def prepare(self) -> None:
+        if self.keys is not None:
+            return
+        code, value = self.by_count
         self.keys = np.full(1 << SLOT_BITS, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.values = np.zeros(1 << SLOT_BITS)
-        slot, value = self.slot(top[order]), self.log_probability(top)[order]
-        self.keys[slot] = top[order]
-        kept = self.keys[slot] == top[order]
-        self.values[slot[kept]] = value[kept]
-        self.ready = True
+        self.held = np.zeros(1 << SLOT_BITS)
+        slot = self.slot(code)
+        self.keys[slot] = code
+        kept = self.keys[slot] == code
+        self.held[slot[kept]] = value[kept]
 
     @staticmethod
     def slot(code: np.ndarray) -> np.ndarray:
@@ -149,70 +231,42 @@ class Trie:
         row = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
         return row, known[row] == wanted
 
-    def log_probability(self, code: np.ndarray) -> np.ndarray:
-        """log10 of each symbol's probability in its context, from the longest order down."""
-        out = np.zeros(len(code))
-        open_ = np.ones(len(code), bool)
-        gone, out_of = np.zeros(len(code)), np.zeros(len(code))  # excluded kinds, and their count
-        for k in range(ORDER, -1, -1):
-            event = code & mask(k + 1)
-            context, known = self.find(self.contexts[k], event >> np.uint64(8))
-            if not len(self.contexts[k]):
-                continue
-            node, seen = self.find(self.codes[k], event)
-            kinds = self.kinds[k][context] - gone
-            whole = self.total[k][context] - out_of + kinds
-            with np.errstate(divide="ignore", invalid="ignore"):
-                hit = np.log10(self.counts[k][node] / whole)
-                escape = np.where(kinds > 0, np.log10(kinds / whole), 0.0)
-            here = open_ & known
-            out += np.where(here & seen, hit, np.where(here, escape, 0.0))
-            open_ &= ~(known & seen)
-            gone = np.where(known, self.kinds[k][context], gone)
-            out_of = np.where(known, self.excluded[k][context], out_of)
-        return out - np.where(open_, np.log10(np.maximum(256 - gone, 1)), 0.0)
-
-    def sums(self, column: pa.Array) -> np.ndarray:
-        """The log10 probability of each text."""
+    def of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each event's value, and whether it is here."""
         self.prepare()
-        code, first = events(column)
-        if not len(first):
-            return np.zeros(0)
         slot = self.slot(code)
-        value = self.values[slot]
-        missed = np.flatnonzero(self.keys[slot] != code)
+        value, here = self.held[slot], self.keys[slot] == code
+        missed = np.flatnonzero(~here)
         rare, back = np.unique(code[missed], return_inverse=True)
-        value[missed] = self.log_probability(rare)[back]
-        return np.add.reduceat(value, first)
+        row, there = self.find(self.codes, rare)
+        if len(self.codes):
+            value[missed] = np.where(there, self.values[row], 0.0)[back]
+            here[missed] = there[back]
+        return value, here
 
 
 def build_trie(counts: DataFrame) -> Trie:
-    """The trie of all counted events, of at most ``MAX_NODES`` nodes."""
-    symbols = counts.where("kind = 0").select("code", "n")
-    orders = []
-    for k in range(ORDER + 1):
-        short = F.col("code").bitwiseAND(F.lit(int(mask(k + 1)))).alias("code")
-        level = symbols if k == ORDER else symbols.groupBy(short).agg(F.sum("n").alias("n"))
-        orders.append(level.select(F.lit(k).alias("k"), "code", "n"))
-    nodes = reduce(DataFrame.unionByName, orders)
-    least = [1 << b for b in range(48)]
-    sizes = nodes.agg(*(F.count(F.when(F.col("n") >= t, 1)).alias(str(t)) for t in least)).first()
-    least = next(t for t in least if sizes[str(t)] <= MAX_NODES)
-    table = nodes.where(F.col("n") >= least).toArrow()
-    k, code, n = (table.column(c).to_numpy() for c in ("k", "code", "n"))
-    codes, held = [], []
-    for order in range(ORDER + 1):
-        own = code[k == order].astype(np.uint64)
-        rank = np.argsort(own)
-        codes.append(own[rank])
-        held.append(n[k == order][rank])
-    return Trie(codes, held)
-
-
-def with_scores(docs: DataFrame, trie: Trie, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Per text: its PPM score, the sums over frequent words, and its other words with their counts."""
+    """The trie of all counted events."""
+    return Trie(counts.where("kind = 0").select("code", "n"))
+
+
+def folded(code: np.ndarray, doc: np.ndarray, texts: int) -> tuple[pa.Array, pa.Array]:
+    """Each text's different codes, and how often it has them; ``doc`` ascends."""
+    order = np.lexsort((code, doc))
+    code, doc = code[order], doc[order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(code)))
+    lists = pa.array(np.searchsorted(doc[first], np.arange(texts + 1)).astype(np.int32))
+    codes = pa.array(code[first].view(np.int64))
+    return pa.ListArray.from_arrays(lists, codes), pa.ListArray.from_arrays(lists, pa.array(times))
+
+
+def with_scores(docs: DataFrame, values: Values, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Per text: the sums over frequent events and words, and its other ones with their counts."""
     spark = docs.sparkSession
-    shared, known = spark.sparkContext.broadcast(trie), spark.sparkContext.broadcast(frequent)
+    shared, known = spark.sparkContext.broadcast(values), spark.sparkContext.broadcast(frequent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = known.value
@@ -224,17 +278,14 @@ def with_scores(docs: DataFrame, trie: Trie, frequent: tuple[np.ndarray, np.ndar
             texts = len(column)
             token = tokens(found)
             doc = np.repeat(np.arange(texts), found.counts + 1)
-            at, there = Trie.find(hashes, token)
+            at, there = Values.find(hashes, token)
             base = np.bincount(doc[there], weights=logs[at[there]], minlength=texts).astype(float)
             seen = np.bincount(doc[there], minlength=texts)
-            rest, home = token[~there], doc[~there]
-            order = np.lexsort((rest, home))
-            rest, home = rest[order], home[order]
-            new = np.ones(len(rest), bool)
-            new[1:] = (rest[1:] != rest[:-1]) | (home[1:] != home[:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(rest)))
-            lists = pa.array(np.searchsorted(home[first], np.arange(texts + 1)).astype(np.int32))
+            code, begin = events(column)
+            value, here = shared.value.of(code)
+            symbols = np.diff(np.append(begin, len(code)))
+            home = np.repeat(np.arange(texts), symbols)
+            score = np.bincount(home, weights=value * here, minlength=texts).astype(float)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.select(["id", "held_out"]).columns,
@@ -242,9 +293,9 @@ def with_scores(docs: DataFrame, trie: Trie, frequent: tuple[np.ndarray, np.ndar
                     pa.array(found.counts + 1),
                     pa.array(seen),
                     pa.array(base),
-                    pa.array(shared.value.sums(column)),
-                    pa.ListArray.from_arrays(lists, pa.array(rest[first].view(np.int64))),
-                    pa.ListArray.from_arrays(lists, pa.array(times)),
+                    pa.array(score),
+                    *folded(token[~there], doc[~there], texts),
+                    *folded(code[~here], home[~here], texts),
                 ],
                 names=schema.names,
             )
@@ -254,7 +305,8 @@ def with_scores(docs: DataFrame, trie: Trie, frequent: tuple[np.ndarray, np.ndar
     schema = T.StructType([own.schema["id"], own.schema["held_out"], T.StructField("row", T.LongType())])
     schema = schema.add("n_tokens", T.LongType()).add("n_known", T.LongType())
     schema = schema.add("base", T.DoubleType()).add("score", T.DoubleType())
-    schema = schema.add("rare", T.ArrayType(T.LongType())).add("times", T.ArrayType(T.LongType()))
+    for name in ("rare", "times", "events", "event_times"):
+        schema = schema.add(name, T.ArrayType(T.LongType()))
     return map_texts(own, work, schema)
 
 
@@ -282,7 +334,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     hashes = frequent.column("code").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     frequent = hashes[order], frequent.column("n").to_numpy()[order]
-    scored = stored(spark, with_scores(own, build_trie(counts), frequent), "scores")
+    trie = build_trie(counts)
+    scored = stored(spark, with_scores(own, trie.frequent(), frequent), "scores")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
     rare = rare.select("row", F.col("w.rare").alias("code"), F.col("w.times").alias("times"))
     # Every rare word that was learnt is joined; the others have count 0 and are left out here.
@@ -291,7 +344,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     sums = met.groupBy("row").agg(
         F.sum(F.col("times") * gain).alias("gain"), F.sum("times").alias("more")
     )
-    both = scored.drop("rare", "times").join(sums, "row", "left")
+    left = scored.select("row", F.explode(F.arrays_zip("events", "event_times")).alias("e"))
+    left = left.select("row", F.col("e.events").alias("code"), F.col("e.event_times").alias("times"))
+    values = stored(spark, trie.values(left.select("code").distinct()), "values")
+    further = left.join(values, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("further"))
+    both = scored.drop("rare", "times", "events", "event_times")
+    both = both.join(sums, "row", "left").join(further, "row", "left")
     unknown = F.col("n_tokens") - F.col("n_known")
     base = F.col("base") + unknown * F.log10(F.lit(0.1)) + F.coalesce("gain", F.lit(0.0))
     base = base - F.col("n_tokens") * float(np.log10(total + 0.1 * (kinds + 1)))
@@ -302,5 +360,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("further", F.lit(0.0))).alias("score"),
     )
