@@ -96,6 +96,23 @@ def test_rules_on_documents(spark, sf):
         assert r["base_failed"] == failed and not (failed and r["kept"])
 
 
+@pytest.mark.parametrize("held", [1 << 20, 0])
+def test_common_lines_are_counted_over_all_documents(spark, monkeypatch, held):
+    """A plain notice in one document of 200 is learnt, and copies of a document are no notice."""
+    monkeypatch.setattr(quality_rules, "FREQUENT", held)
+    r = np.random.default_rng(2)
+    vocabulary = np.array([f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)])
+    line = lambda: " ".join(r.choice(vocabulary, 9)) + "."
+    notice = [line(), line(), line()]
+    rows = [(i, "\n".join([*notice, line()] if i % 200 == 0 else [line() for _ in range(4)])) for i in range(3000)]
+    copy = "\n".join(line() for _ in range(4))
+    rows += [(i, copy) for i in range(3000, 3040)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {x["doc_id"] for x in keep_good(df, quality_rules.fit(df)).collect()}
+    assert not kept & set(range(0, 3000, 200))
+    assert len(kept) >= 0.99 * 3025 and kept >= set(range(3000, 3040))
+
+
 def held_out(spark, query, label):
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet").where(f"{label} is not null")
     rows = query(spark, MEDIUM).join(labels, "doc_id").collect()
