@@ -53,6 +53,16 @@ def test_novelty_finds_random_strings_and_leaves_code_alone(spark):
     ]
 
 
+def test_values_glued_to_longer_identifiers(spark):
+    value = "Zk3vX9LmQ2rT8wYp5sNc1b"
+    names = ["db_credential", "my-auth", "aws.private_key", "x credential", "my_oauth_bearer_of_requests"]
+    texts = [f"{n}={value};" for n in names] + [f"db_credential={value}==", "my-auth=Zk3vX9LmQ2rT8w=="]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = found(df)
+    new = [[texts[i][a:b] for k, a, b in got[i] if k == "novel"] for i in range(len(texts))]
+    assert new == [[value]] * 5 + [[value + "=="], ["Zk3vX9LmQ2rT8w=="]]
+
+
 def test_a_word_of_the_dictionary_is_not_novel(spark):
     text = "auth RequestHandlerFactoryBean"
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")

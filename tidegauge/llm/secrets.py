@@ -44,7 +44,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 SENSITIVE = (*KEYWORDS, "api-key", "credential", "private", "auth", "bearer", "access_key", "-----begin")
 CONTEXT = re.compile("|".join(map(re.escape, SENSITIVE)))
-CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=~.-])[A-Za-z0-9+/_=~.-]{{{SHORTEST},}}")
+#: ``=`` begins a value, unless it pads the end of one.
+VALUE = "[A-Za-z0-9+/_~.-]"
+PADDING = rf"(?:={{1,2}}(?!{VALUE}|=))"
+CANDIDATE = re.compile(
+    rf"(?<!{VALUE})(?:{VALUE}{{{SHORTEST},}}+{PADDING}?|{VALUE}{{{SHORTEST - 1}}}{PADDING}"
+    rf"|{VALUE}{{{SHORTEST - 2}}}==(?!{VALUE}|=))"
+)
 IDENTIFIER = re.compile(r"[A-Za-z_]{3,40}")
 
 
