@@ -91,3 +91,22 @@ def test_a_large_group_needs_few_comparisons(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {x[2] for x in got(similarity_components(df, 4, 85, 100))} == {0}
     assert sum(compared) < 300 * 20
+
+
+def test_rows_repeated_over_a_block_beside_a_pivot_they_do_not_link_to(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_OUT", 3)
+    found = []
+    plain = jaccard_join.compared
+
+    def counting(*args):
+        out = plain(*args)
+        found.append((out.count(), out.select("a", "b").distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "compared", counting)
+    shared = [f"w{i}" for i in range(17)]
+    pivot, member = (" ".join([*shared, f"{x}1", f"{x}2", f"{x}3"]) for x in "pm")
+    rows = [(1, pivot)] * 40 + [(2, member)] * 20 + [(None, "z")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(similarity_components(df, 1, 85, 100)) == brute(rows, 1, 85, 100)
+    assert found[0] == (1, 1)

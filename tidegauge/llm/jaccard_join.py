@@ -240,22 +240,29 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, nu
     bits = spark.sparkContext.broadcast(bitmap(wanted.select("key")))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # equal rows of a task are one
         for batch in batches:
-            yield batch.filter(pa.array(in_bitmap(bits.value, batch.column(1).to_numpy())))
+            batch = batch.filter(pa.array(in_bitmap(bits.value, batch.column(1).to_numpy())))
+            names = list(zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True))
+            new = [not (x in seen or seen.add(x)) for x in names]
+            yield batch.filter(pa.array(new, pa.bool_()))
 
     docs = map_texts(docs, needed, docs.schema)
-    # A document that occurs twice gives a pair twice, which changes nothing.
+    # Equal rows of different tasks follow each other, and all but the first are passed over.
     same = wanted["id"].eqNullSafe(docs["id"]) & (wanted["key"] == docs["key"])
     grouped = wanted.join(docs, same).select("a", "share", "role", "node", "text")
-    grouped = grouped.repartition("a", "share").sortWithinPartitions("a", "share", "role")
+    grouped = grouped.repartition("a", "share").sortWithinPartitions("a", "share", "role", "node")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot, held = None, None
+        pivot, held, last = None, None, None
         for batch in sliced(batches, "text"):
             sets = shingle_sets(words(text_of(batch, "text"), NOT_SPACE), width)
             rows = batch.select(["a", "share", "role", "node"]).to_pydict()
             out = []
             for a, share, role, node, own in zip(*rows.values(), sets, strict=True):
+                if (a, share, role, node) == last:
+                    continue
+                last = a, share, role, node
                 if role == 0:
                     pivot, held = (a, share), own
                     continue
@@ -311,7 +318,7 @@ def further_links(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
                 out, every = part.side(0), part.side(1)
                 if len(out.node):
                     left.append(out)
-                if len(every.node):
+                if left and len(every.node):
                     left = [Block.joined(left)]
                     yield left[0].links(every, num, den)
 
