@@ -72,6 +72,19 @@ def test_redaction(spark):
     assert out[20] == "é <IP> <PHONE> z" and out[21] == "<EMAIL>"
 
 
+def test_new_identifiers_are_found_wherever_they_stand(spark):
+    long = "mx-" + "9a" * 60
+    places = ["mx-90210-aa", "x mx-90210-aa y", "see (mx-90210-aa)", '"mx-90210-aa"', "a,mx-90210-aa,b", "id:mx-90210-aa", "[mx-90210-aa]."]
+    texts = [*contextual(), f"some words then contact user at {long} and more text", *places, f"({long}) {long}b {long[:64]}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in redact(df).collect()}
+    start = len(contextual())
+    assert out[start] == "some words then contact user at <NEW_EMAIL> and more text"
+    for i, text in enumerate(places, start + 1):
+        assert out[i] == text.replace("mx-90210-aa", "<NEW_EMAIL>")
+    assert out[len(texts) - 1] == f"(<NEW_EMAIL>) {long}b {long[:64]}"
+
+
 def test_odd_rows(spark):
     pairs = [(1, "a@b.cc"), (1, "a@b.cc"), (1, "none"), (None, "1.1.1.1"), (None, None)]
     df = spark.createDataFrame(pairs, "doc_id long, text string")

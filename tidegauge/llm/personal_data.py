@@ -42,7 +42,13 @@ PATTERNS = {
 #: Texts without these have no match.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){15}", "phone": r"\+[0-9]"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-CANDIDATE = r"(?<![\p{L}\p{N}@+#_.-])(?=\S{0,63}[0-9@])[\p{L}\p{N}@+#_](?:\S{0,62}[\p{L}\p{N}])"
+#: Whole tokens of any length with a digit or ``@``, between white space, quotes, brackets, commas, semicolons and bars.
+SEPARATOR = r"\s\"'`()\[\]{}<>,;|"
+CANDIDATE = rf"(?<![^{SEPARATOR}])(?=[^{SEPARATOR}0-9@]*+[0-9@])[^{SEPARATOR}]++"
+#: Marks before a token, and a label such as ``id:`` (but not the first pair of a hardware address).
+BEFORE = r"[^\p{L}\p{N}@+#_]*+"
+LEAD = rf"^{BEFORE}(?:\p{{L}}++[:=](?![0-9A-Fa-f]{{2}}:){BEFORE})?"
+TAIL = r"(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$"
 EMPTY = "array_repeat(named_struct('start', 0, 'end', 0, 'value', ''), 0)"
 
 
@@ -89,9 +95,20 @@ def spans_of_kind(text: Column, kind: str) -> Column:
 
 
 def candidate_spans(text: Column, base: Column) -> Column:
-    """Identifier-like tokens with the pattern before them and the kind of the seed they overlap."""
+    """Identifier-like tokens with the pattern before them, empty if there is none, and the kind of the seed
+    they overlap."""
     found = F.when(text.rlike("[0-9@]"), spans_of(text, CANDIDATE)).otherwise(F.expr(EMPTY))
 
+    def trimmed(s: Column) -> Column:
+        value = F.regexp_replace(s["value"], LEAD, "")
+        begin = s["end"] - F.length(value)
+        value = F.regexp_replace(value, TAIL, "")
+        return F.struct(begin.alias("start"), (begin + F.length(value)).alias("end"), value.alias("value"))
+
+    found = F.filter(
+        F.transform(found, trimmed), lambda s: (F.length(s["value"]) > 1) & s["value"].rlike(r"[0-9@]") & s["value"].rlike(r"[\p{L}\p{N}]$")
+    )
+
     def described(s: Column) -> Column:
         before = F.substr(text, F.greatest(s["start"] - REACH + 1, F.lit(1)), F.least(s["start"], F.lit(REACH)))
         words = F.regexp_extract(before, r"([^\s]+)\s+([^\s]+)\s+$", 0)
@@ -105,7 +122,7 @@ def candidate_spans(text: Column, base: Column) -> Column:
             F.when(F.size(over) > 0, over[0]["kind"]).alias("seed"),
         )
 
-    return F.filter(F.transform(found, described), lambda c: F.length(c["pattern"]) > 0)
+    return F.transform(found, described)
 
 
 def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
@@ -126,10 +143,11 @@ def new_identifiers(spans: DataFrame) -> DataFrame:
     """``(instance, kind)`` of identifiers that high-confidence patterns introduce."""
     spark = spans.sparkSession
     seen = spans.select(F.explode("candidates").alias("c")).select("c.pattern", "c.instance", "c.seed")
+    # An instance without a pattern is an occurrence, and a seed if it is one, but no edge.
     edges = seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
     # An instance that is a seed anywhere is one everywhere.
     seeds = edges.groupBy("instance").agg(F.max("seed").alias("known"))
-    edges = edges.join(seeds, "instance")
+    edges = edges.where("pattern != ''").join(seeds, "instance")
     support = edges.groupBy("pattern").agg(
         F.count("known").alias("seeds"), F.count(F.lit(1)).alias("instances"), F.mode("known", True).alias("kind")
     )
