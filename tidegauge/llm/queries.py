@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import lm_scoring, pairwise_quality, personal_data, quality_rules, secrets, toxicity
+from tidegauge.llm import spelling_variants
 from tidegauge.llm.chat_windows import chat_windows, turns_of
 from tidegauge.llm.decontaminate import find_hits
 from tidegauge.llm.jaccard_join import similarity_components
 from tidegauge.llm.packing import pack
+from tidegauge.llm.periodic_runs import find_runs
 
 QUERIES = {}
 ORACLES = {}
@@ -195,3 +197,66 @@ def op2_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_contextual_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.find(read(spark, sf_dir, "documents"))
     return found.select("doc_id", *span_digests(personal_data.KINDS))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Makes every document whose crc32 ends in 0 periodic from some word on.
+
+    The words are bound as a lambda's argument, so that they are not split again for each of them.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def periodic(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(at, lambda i: F.get(w, i.cast("int"))), " "))
+
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    text = F.when(h % 10 == 0, F.transform(F.array(words), periodic)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(with_planted_periods(read(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    )
+    found = found.withColumn("best", longest)
+    length, start, period = F.col("best")["length"], -F.col("best")["col2"], -F.col("best")["col3"]
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def planted_typos(doc_id, counts):
+    """Takes one letter out of a text's words whose crc32 with the text's id 31 divides."""
+    import zlib
+    from collections import Counter
+
+    seed = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+    out = Counter()
+    for word, n in counts.items():
+        h = zlib.crc32(word if word.isascii() else word.decode("latin-1").encode(), seed)
+        if h % 31 == 0:
+            at = h % len(word)
+            word = word[:at] + word[at + 1 :]
+        out[word] += n
+    return out
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = spelling_variants.vocabulary(read(spark, sf_dir, "documents"), edit=planted_typos)
+    return spelling_variants.variants(vocab)
