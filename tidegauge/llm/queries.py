@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import lm_scoring, pairwise_quality, personal_data, quality_rules, secrets, toxicity
-from tidegauge.llm import spelling_variants
+from tidegauge.llm import html_extract, spelling_variants
 from tidegauge.llm.chat_windows import chat_windows, turns_of
 from tidegauge.llm.decontaminate import find_hits
 from tidegauge.llm.jaccard_join import similarity_components
@@ -199,6 +199,12 @@ def op3_contextual_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_digests(personal_data.KINDS))
 
 
+@query
+def op11_html_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extract.extract(read(spark, sf_dir, "pages"), html_extract.default_model())
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """Makes every document whose crc32 ends in 0 periodic from some word on.
 
