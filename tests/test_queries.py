@@ -4,7 +4,7 @@ import __spark_entry__ as contract
 import pytest
 from oracle import difference
 
-from tidegauge.plans.queries import QUERIES
+from tidegauge.plans.registry import QUERIES
 
 
 @pytest.mark.parametrize("name", list(contract.oracle_sql()))

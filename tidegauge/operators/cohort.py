@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.timebuckets import date_of_seconds, day_epoch
+from tidegauge.operators.intervals import keep_covered
 from tidegauge.operators.joins import keep_matching
 
 
@@ -58,3 +59,12 @@ def keep_paid_on_day(
 ) -> DataFrame:
     """Rows whose enterprise is paying on the row's own day (``created``)."""
     return keep_matching(df, paid_days(payments, first, last, tz), "instance_id", "created")
+
+
+def keep_paid_at(df: DataFrame, payments: DataFrame, at: str = "ts", on: str = "instance_id") -> DataFrame:
+    """Rows whose enterprise is paying at the row's own instant, to the microsecond.
+
+    ``payments`` has ``start`` and ``end`` as times; one without an end still runs.
+    """
+    paid = payments.where(F.col("total_fee") > 0).withColumnRenamed("instance_id", on)
+    return keep_covered(df, paid, [on], at)

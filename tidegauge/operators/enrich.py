@@ -18,6 +18,7 @@ from tidegauge.functions.text import (
 )
 from tidegauge.functions.timebuckets import millis
 from tidegauge.operators.filters import PAGE_MARK, SITE_BY_COOKIE, SITE_BY_IDS, is_lan
+from tidegauge.operators.asof_join import as_of_join
 from tidegauge.operators.joins import lookup
 from tidegauge.schemas import EVENT_FIELDS, GEO_FIELDS, IDENTITY_FIELDS
 
@@ -52,6 +53,16 @@ def with_geo(
     return located.where(~is_lan(*GEO_FIELDS))
 
 
+def with_geo_at(
+    df: DataFrame, geo: DataFrame, ip: str = "remote_addr", at: str = "ts", **settings
+) -> DataFrame:
+    """The same by where the address was at the row's own time; ``geo`` has a row per ``(ip, since)``."""
+    dim = geo.withColumnRenamed("ip", "_ip")
+    valid = df.withColumn("_ip", valid_ip(ip))
+    located = as_of_join(valid, dim, "_ip", GEO_FIELDS, at=at, **settings).drop("_ip")
+    return located.where(~is_lan(*GEO_FIELDS))
+
+
 def with_session(df: DataFrame) -> DataFrame:
     """Adds ``session``, the row's ``kind:token``; NULL where the site's rule finds no token.
 
@@ -108,19 +119,51 @@ def with_identity(
     ``sessions`` has one row per ``(kind, token)``. Page requests get no ids, and
     open API requests no user id.
     """
+    keyed = _keyed(df)
+    dim = _session_dim(sessions)
+    found = lookup(keyed, dim, "session", *[f"_{n}" for n in IDENTITY_FIELDS], spread_by=spread_by)
+    return _with_ids(found)
+
+
+def with_identity_at(
+    df: DataFrame, sessions: DataFrame, at: str = "ts", spread_by: Sequence[str] = (), **settings
+) -> DataFrame:
+    """The same as of each row's own time: by the session that began last under its token, if that
+    has not ended by then.
+
+    ``sessions`` has a row for each ``(kind, token, since)``, and ``until`` or NULL.
+    """
+    dim = _session_dim(sessions, "since", "until")
+    values = [f"_{n}" for n in IDENTITY_FIELDS]
+    own = {"at": at, "until": "until", "spread_by": spread_by, **settings}
+    return _with_ids(as_of_join(_keyed(df), dim, "session", values, **own))
+
+
+def _open_names() -> list[str]:
+    return [f"_open_{name}" for name in OPEN_IDS]
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """Adds the row's session key and the open API's own ids."""
     page = F.col("request").contains(PAGE_MARK)
     is_open = (F.col("site") == SITE_BY_IDS) & ~page
     numbers = {
         f"_open_{name}": F.when(is_open, number)
         for name, number in open_numbers("sent_http_set_cookie").items()
     }
-    keyed = with_session(df.withColumns(numbers))
+    return with_session(df.withColumns(numbers))
+
+
+def _session_dim(sessions: DataFrame, *times: str) -> DataFrame:
     # A token with a slash is never looked up; it is cheaper to leave it out of the sessions.
-    dim = sessions.where(is_usable_token("token")).select(
+    return sessions.where(is_usable_token("token")).select(
         F.concat_ws(":", "kind", "token").alias("session"),
         *[F.nullif(F.col(name), F.lit("")).alias(f"_{name}") for name in IDENTITY_FIELDS],
+        *times,
     )
-    found = lookup(keyed, dim, "session", *[f"_{n}" for n in IDENTITY_FIELDS], spread_by=spread_by)
+
+
+def _with_ids(found: DataFrame) -> DataFrame:
     # A row has a session or open ids, never both.
     ids = {
         name: F.coalesce(descramble_number(F.col(f"_open_{name}")), F.col(f"_{name}"))
@@ -128,7 +171,7 @@ def with_identity(
         else F.col(f"_{name}")
         for name in IDENTITY_FIELDS
     }
-    return found.withColumns(ids).drop("session", *numbers, *[f"_{n}" for n in IDENTITY_FIELDS])
+    return found.withColumns(ids).drop("session", *_open_names(), *[f"_{n}" for n in IDENTITY_FIELDS])
 
 
 def derive_clicks(df: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ Facts are column arithmetic on ``events``. Dimensions come from ``customer``,
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -158,6 +160,52 @@ def geo(people: DataFrame) -> DataFrame:
     )
 
 
+GENERATIONS = 4
+
+
+def _generations(people: DataFrame, days: int) -> DataFrame:
+    """Every user four times, each ``days`` after the one before, from a time of the day of their own."""
+    each = people.select("*", F.explode(F.sequence(F.lit(0), F.lit(GENERATIONS - 1))).alias("g"))
+    start = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
+    begun = F.lit(start) + F.col("g") * days * DAY + F.col("custkey") * 7919 % DAY
+    return each.withColumn("since", F.timestamp_seconds(begun))
+
+
+def session_history(people: DataFrame) -> DataFrame:
+    """``(kind, token, since, until)`` to ids: a token changes hands every eight days. Those of even users
+    end a day before that."""
+    runs = _generations(people, 8)
+    over = F.col("since") + F.make_dt_interval(F.lit(7))
+    until = F.when(F.col("custkey") % 2 == 0, over).alias("until")
+    owner = sessions(people).withColumn("custkey", F.col("user_id").cast("bigint"))
+    when = runs.select("custkey", "g", "since", until)
+    held = owner.join(when, "custkey")
+    return held.withColumns(
+        {"member_id": F.concat_ws("-", "member_id", "g"), "user_id": F.concat_ws("-", "user_id", "g")}
+    ).drop("custkey", "g")
+
+
+def geo_history(people: DataFrame) -> DataFrame:
+    """``(ip, since)`` to country, region and city: each address moves to another city every ten days."""
+    places = geo(people.withColumn("segment", F.concat_ws("/", "segment", F.col("custkey").cast("string"))))
+    parts = F.split("city", "/")
+    owned = places.withColumns({"city": parts[0], "custkey": parts[1].cast("bigint")})
+    held = owned.join(_generations(people, 10).select("custkey", "g", "since"), "custkey")
+    return held.withColumn("city", F.concat_ws("-", "city", "g")).drop("custkey", "g")
+
+
+def timed_payments(log: DataFrame, people: DataFrame) -> DataFrame:
+    """``(instance_id, start, end, total_fee)`` in times: a signup pays from its instant on for some hours
+    and seconds, every twentieth without an end."""
+    fee = F.when(F.col("k") % 5 == 0, F.lit(0.0)).otherwise(F.col("value"))
+    signups = log.where((F.col("event_type") == "signup") & F.col("has_org"))
+    hours, seconds = (F.col("k") % 9 + 1) * 6, F.col("k")
+    end = F.when(F.col("k") % 20 != 3, F.col("ts") + F.make_dt_interval(F.lit(0), hours, F.lit(0), seconds))
+    own = signups.select("custkey", "has_org", F.col("ts").alias("start"), end.alias("end"), fee.alias("total_fee"))
+    found = with_org(own, people).where(F.col("instance_id").isNotNull())
+    return found.select("instance_id", "start", "end", "total_fee")
+
+
 def payments(log: DataFrame, people: DataFrame) -> DataFrame:
     """``(instance_id, start, end, total_fee)``: a signup pays for its day and seven more."""
     fee = F.when(F.col("k") % 5 == 0, F.lit(0.0)).otherwise(F.col("value"))
