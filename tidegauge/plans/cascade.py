@@ -34,12 +34,12 @@ from tidegauge.plans.jobs import (
 )
 from tidegauge.schemas import EVENT_FIELDS, REGISTRY_SCHEMA, REPORTS
 from tidegauge.sources.archive import (
-    append_partitioned,
     read_days,
     read_if_stored,
     read_periods,
     replace_partition,
 )
+from tidegauge.sources.bucketed import BUCKETS, BucketedSet
 
 UNITS = ("week", "month")
 FLOORS = {"week": week_start, "month": month_start}
@@ -56,28 +56,27 @@ def store_usage(
     return stored
 
 
-def store_keys(spark: SparkSession, root: str, day: date) -> None:
+def store_keys(spark: SparkSession, root: str, day: date, buckets: int = BUCKETS) -> None:
     """Adds one day's keys, with the day, to the sets of its week and month.
 
-    Only keys that a set does not have are written. If the set has keys of this or a later
-    day already, the day is run again or late; then the set is made anew from the stored
-    facts of its days, as a key may have another first day now, or none.
+    Only keys that a set does not have are written, and only the day's keys are shuffled: the
+    sets are stored in ``buckets``. If the set has keys of this or a later day already, the day is
+    run again or late; then the set is made anew from the stored facts of its days, as a key may
+    have another first day now, or none.
     """
     facts = read_days(spark, f"{root}/facts", day, day, "day")
     for unit in UNITS:
         start = FLOORS[unit](day)
         for kind, ids in KEY_SETS.items():
             path = f"{root}/{unit}_{kind}"
-            stored = read_if_stored(spark, path, "period_start", [start])
-            new = first_days(facts, unit, ids)
-            if stored is None:
-                append_partitioned(new, path, "period_start")
-            elif stored.where(F.col("first_day") >= F.lit(day)).isEmpty():
-                append_partitioned(new.join(stored, list(ids), "left_anti"), path, "period_start")
+            keys = BucketedSet.of(spark, path, "period_start", start, ids, buckets)
+            stored = keys.stored()
+            if stored is None or stored.where(F.col("first_day") >= F.lit(day)).isEmpty():
+                keys.append(first_days(facts, unit, ids))
             else:
                 whole = read_days(spark, f"{root}/facts", start, start + timedelta(days=31), "day")
                 whole = first_days(whole, unit, ids).where(F.col("period_start") == F.lit(start))
-                replace_partition(whole, path, period_start=start)
+                keys.replace(whole)
 
 
 def period_counts(
@@ -119,10 +118,11 @@ def run_day(
     day: date,
     payments: DataFrame,
     tz: str = "UTC",
+    buckets: int = BUCKETS,
 ) -> None:
     """Everything that follows from one day of the enriched log."""
     usage = store_usage(spark, root, log, day, tz)
-    store_keys(spark, root, day)
+    store_keys(spark, root, day, buckets)
     folded = usage.where(not_openapi() & has_ids("member_id", "instance_id"))
     publish(root, "day", usage_reports(usage), day, tz)
     publish(root, "day", paid_day_reports(folded, payments, day, day, tz), day, tz)

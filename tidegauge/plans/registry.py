@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.plans import oracles, queries, temporal
+from tidegauge.plans import oracles, queries, stored, temporal
 
-QUERIES = queries.QUERIES | temporal.QUERIES
-ORACLES = oracles.ORACLES | temporal.ORACLES
+QUERIES = queries.QUERIES | temporal.QUERIES | stored.QUERIES
+ORACLES = oracles.ORACLES | temporal.ORACLES | stored.ORACLES
