@@ -12,14 +12,14 @@ from tidegauge.llm.queries import op10_best_fit_packing, tokenizer_path
 
 ODD = [
     None, "", " ", "a", " a", "  a  b \n c\t\td ", "x" * 5000, "don't we'll I'd  's", " a  b c",
-    "<|endoftext|> a <|endoftext|>", "é è ü 漢字 かな 👍🏽 ́x", "a\r\n b\x1c c \x85 d", "1 22 333 4,444 !! ?? -- a",
+    "<|endoftext|> a <|endoftext|>", "x  <|endoftext|>b<|endoftext|><|endoftext|>  \n c <|endoftext", "<|endoftext", "|>",
+    "word's, it'S; (a-b).c,d!!e ##f# g_h i%%%j é%%% x.'s y'%'t", "é è ü 漢字 かな 👍🏽 ́x", "a\r\n b\x1c c \x85 d", "1 22 333 4,444 !! ?? -- a",
     "word " * 6000, "\n\n\n", "end ", "end  ", " 　x  y",
 ]
 
 
 def naive(text):
     own = Tokenizer.from_file(tokenizer_path())
-    own.encode_special_tokens = True
     return own.encode(text or "", add_special_tokens=False).ids + [0]
 
 

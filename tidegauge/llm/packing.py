@@ -41,20 +41,28 @@ RANK_BITS = 50
 #: bytes of characters that are certainly no white space.
 VISIBLE = np.zeros(256, bool)
 VISIBLE[[*range(0x21, 0x7F), *range(0xC3, 0xE0), *range(0xE4, 0xF5)]] = True
+#: A mark right after a letter always begins a token too.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+MARK = np.zeros(256, bool)
+MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 
 
 class UnitEncoder:
     """Token ids of whole texts, encoding each distinct unit once.
 
-    A unit begins at a space before a visible character, where the tokenizer's own pattern
-    always begins a token too. So units can be joined and encoded together, in any order.
+    A unit begins at a space before a visible character, or at a mark after a letter, where the
+    tokenizer's own pattern always begins a token too. Units that begin with a space can be joined and
+    encoded together, in any order. A text that holds the string of an added token, which the
+    tokenizer looks for first of all, is one unit.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.encode() for token in added]
         size = self.tokenizer.get_vocab_size()
         # Each character of a byte-level token stands for one byte.
         self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
@@ -69,8 +77,20 @@ class UnitEncoder:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        spaced = (data[start] == 0x20) & (end - start > 1)
+    def with_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The texts that hold an added token's string."""
+        whole, found = data.tobytes(), set()
+        for token in self.added:
+            at = whole.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(token) <= offsets[text + 1]:
+                    found.add(text)
+                at = whole.find(token, at + 1)
+        return np.array(sorted(found), np.int64)
+
+    def learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, alone: np.ndarray) -> None:
+        spaced = (data[start] == 0x20) & (end - start > 1) & ~alone
         spaced[spaced] = VISIBLE[data[start[spaced] + 1]]
         own, sizes = [], np.zeros(len(start), np.int64)
         order = np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced)))
@@ -101,6 +121,10 @@ class UnitEncoder:
         begins = np.zeros(len(data), bool)
         if len(data):
             begins[:-1] = (data[:-1] == 0x20) & VISIBLE[data[1:]]
+            begins[1:] |= MARK[data[1:]] & LETTER[data[:-1]]
+            special = self.with_added(data, offsets)
+            for text in special.tolist():
+                begins[offsets[text] : offsets[text + 1]] = False
             begins[offsets[:-1][np.diff(offsets) > 0]] = True
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data))
@@ -113,7 +137,8 @@ class UnitEncoder:
             new = [i for i, key in enumerate(keys) if key not in known]
             if new:
                 base = len(self.at)
-                self.learn(data, start[first[new]], end[first[new]])
+                chosen = first[new]
+                self.learn(data, start[chosen], end[chosen], np.isin(start[chosen], offsets[special]))
                 known.update((keys[i], base + j) for j, i in enumerate(new))
             unit = np.fromiter((known[key] for key in keys), np.int64, len(keys))[back]
         per_text = np.searchsorted(start, offsets)
