@@ -159,5 +159,101 @@ def test_kneser_ney_probabilities_sum_to_one():
     context = np.uint64(int.from_bytes(b"word", "big"))
     codes = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
     counts = r.integers(0, 4, 256).astype(float)
-    shorter = np.full(256, 1 / 256)
-    assert toxicity.interpolated(codes, counts, shorter).sum() == pytest.approx(1)
+    own = toxicity.level(codes, counts, np.full(256, 1 / 256))
+    assert np.exp(own.logs).sum() == pytest.approx(1) and own.contexts.tolist() == [int(context)]
+
+
+def grams_of(text):
+    """Bytes of each word with up to four before them, from the space on."""
+    found = []
+    for word in re.findall(rb"[0-9a-z\x80-\xff]+", text.encode().lower()):
+        whole = b" " + word
+        found.append([whole[max(0, i - 4) : i + 1] for i in range(1, len(whole))])
+    return found
+
+
+def plain_log_likelihoods(text, toxic, ordinary, order=5):
+    """Under both classes, gram by gram from counters."""
+    own = [Counter(g for t in texts for w in grams_of(t) for g in w) for texts in (toxic, ordinary)]
+    kinds = {order - 1: Counter(g[1 - order :] for g in own[0] | own[1])}
+    for k in range(order - 2, 0, -1):
+        kinds[k] = Counter(g[-k:] for g in kinds[k + 1])
+
+    def interpolated(counts, gram, lower):
+        after = {g: c for g, c in counts.items() if g[:-1] == gram[:-1]}
+        total = sum(after.values())
+        if not total:
+            return lower
+        taken = sum(min(c, toxicity.DISCOUNT) for c in after.values())
+        c = counts.get(gram, 0)
+        return (c - min(c, toxicity.DISCOUNT) + taken * lower) / total
+
+    def shared(gram, k):
+        if k == 1:
+            return 0.99 * kinds[1][gram[-1:]] / sum(kinds[1].values()) + 0.01 / 256
+        return interpolated(kinds[k], gram[-k:], shared(gram, k - 1))
+
+    both = [0.0, 0.0]
+    for word in grams_of(text):
+        p = [np.prod([interpolated(c, g, shared(g, order - 1)) for g in word]) for c in own]
+        both[0] += np.log(toxicity.MIX * p[0] + (1 - toxicity.MIX) * p[1])
+        both[1] += np.log(p[1])
+    return both
+
+
+def test_log_likelihoods_of_both_classes():
+    toxic = ["You vile vile worm", "worms are vile, wormy", "é漢 vil"]
+    ordinary = ["You are kind", "the kind worm of old", "old and kinder words", ""]
+    texts = ["vile kind worm", "Unseen zzz vi vilest", "", "é漢é you're 12", "word wordword words"]
+    found = [np.concatenate([toxicity.grams(toxicity.words(pa.array(part), toxicity.ALNUM))]) for part in (toxic, ordinary)]
+    codes, back = np.unique(np.concatenate(found), return_inverse=True)
+    counts = [np.bincount(part, minlength=len(codes)) for part in (back[: len(found[0])], back[len(found[0]) :])]
+    model = toxicity.fit_counts(codes, *counts)
+    got = model.log_likelihoods(pa.array(texts))
+    expected = [plain_log_likelihoods(t, toxic, ordinary) for t in texts]
+    assert np.allclose(got[0], [e[0] for e in expected]) and np.allclose(got[1], [e[1] for e in expected])
+    assert got[2].tolist() == [3, 4, 0, 4, 3]
+    means = model.means(pa.array(texts))
+    assert np.allclose(means, (got[0] - got[1]) / np.maximum(got[2], 1))
+
+
+def test_unseen_gram_gets_each_class_its_own_backoff():
+    """Context with toxic {e: 10} and ordinary {f: 10, g: 1}: h, unseen, falls back with other masses."""
+    context = int.from_bytes(b"abcd", "big") << 8
+    codes = np.array([context | b for b in b"efg"], np.uint64)
+    model = toxicity.fit_counts(codes, np.array([10, 0, 0]), np.array([0, 10, 1]))
+    row = toxicity.find(model.own[0].contexts, np.array([context >> 8], np.uint64))[0]
+    difference = model.own[0].backoff[row] - model.own[1].backoff[row]
+    assert difference[0] == pytest.approx(np.log(0.75 / 10) - np.log(1.5 / 11))
+
+
+def test_sample_is_bounded_by_rows(spark):
+    from tidegauge.llm.labelled import labelled_texts
+
+    docs = spark.createDataFrame([(i % 4, f"t{i}") for i in range(400)] + [(1, "same")] * 50, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int")
+    rows = labelled_texts(docs, marks, "toxic", 20, "doc_id", "text").collect()
+    sizes = Counter(r["label"] for r in rows)
+    assert max(sizes.values()) <= 20 and len({(r["id"], r["text"]) for r in rows}) == len(rows)
+
+
+def test_ranking_is_a_minimum_and_cuts_at_the_best_quantile():
+    r = np.random.default_rng(5)
+    good, bad = r.normal(0.6, 1, (300, 3)), r.normal(-0.4, 1.5, (400, 3))
+    model = pairwise_quality.rank(good, bad)
+
+    def loss(weights):
+        gap = ((good[:, None, :] - bad[None, :, :]) / model.scale).reshape(-1, 3) @ weights
+        return np.log1p(np.exp(-gap)).mean() + 5e-4 * (weights**2).sum()
+
+    base = loss(model.weights)
+    for k in range(3):
+        for step in (-0.3, 0.3):
+            assert loss(model.weights + step * np.eye(3)[k]) > base
+    values = np.concatenate((model.raw(good), model.raw(bad)))
+
+    def wrong(cut):
+        return (model.raw(good) < cut).mean() + (model.raw(bad) >= cut).mean()
+
+    assert wrong(model.threshold) == pytest.approx(min(wrong(c) for c in [*values, values.max() + 1]))
+    assert ((model.scores(good) >= pairwise_quality.CUT) == (model.raw(good) >= model.threshold)).all()

@@ -2,18 +2,22 @@
 
 Two models predict the bytes of each word from the word's beginning: the last ``ORDER - 1`` bytes,
 reaching back no further than the space before the word. The highest order is counted by class;
-all lower orders are continuation counts shared by both classes, so an expression that is rare in
-a class is smoothed alike in both and says nothing by itself. A toxic document is mostly ordinary
-language, so its model draws each word from the toxic counts with probability ``MIX`` and from the
-ordinary ones otherwise. The score compares the two log-likelihoods per word of the document.
-
-The model is fitted on at most ``per_class`` labelled documents of each class. Counts of three of four
-of them give the threshold on the fourth; counts of all give the model. Everything else covers all
-documents.
-
-Defined cases: a null or empty text has no words and likelihood ratio 0; without labels of both
+all lower orders are continuation counts shared by both classes. A gram that a class has not seen gets
+that class's own backoff mass of the longest context it knows, times the shared lower order, so an
+expression that is rare in a class is smoothed alike in both. A toxic document is mostly ordinary
+language, so the toxic class draws each word from its own counts with probability ``MIX`` and from the
+ordinary ones otherwise. The score compares the log-likelihoods of the whole text under the two classes, each
+divided by the number of words.
+
+The model is fitted on at most ``per_class`` labelled documents of each class, and at most as many rows. Counts
+of three of four of them give the threshold on the fourth; counts of all give the model. Everything else
+covers all documents.
+
+Defined cases: a null or empty text has no words, and both its log-likelihoods are 0; without labels of both
 classes every score is 0; null labels and ids are not learnt from; a document that occurs twice is
-scored twice.
+scored twice; equal errors put the threshold into the widest gap, then the lowest; texts of any length are read
+whole, in slices; an empty table gives no rows. Only the id and text columns are read, so other columns' names
+never clash.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from tidegauge.llm.textbytes import ALNUM, Words, map_texts, sliced, text_of, wo
 
 ORDER = 5
 DISCOUNT = 0.75
-MIX = 0.02
+MIX = 0.005
 PER_CLASS = 4000
 
 
@@ -49,57 +53,111 @@ def grams(found: Words) -> np.ndarray:
     return code
 
 
-def smoothed(codes: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
-    """Kneser-Ney probabilities of the last byte of each code, of up to ``order`` bytes."""
+@dataclass
+class Level:
+    """Log-probabilities of the known grams of one order, and log backoff masses of its contexts."""
+
+    codes: np.ndarray
+    logs: np.ndarray
+    contexts: np.ndarray
+    backoff: np.ndarray
+
+
+def find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where sorted ``table`` has each value, and whether it does."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    row = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return row, table[row] == values
+
+
+def last_bytes(codes: np.ndarray, order: int) -> np.ndarray:
+    return codes & np.uint64((1 << (8 * order)) - 1)
+
+
+def level(codes: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> Level:
+    """Kneser-Ney interpolation of counts with lower-order probabilities of the same grams."""
+    contexts, context = np.unique(codes >> np.uint64(8), return_inverse=True)
+    total = np.bincount(context, weights=counts)
+    taken = np.minimum(counts, DISCOUNT)
+    # A context that the class lacks leaves everything to the lower order.
+    mass = np.where(total > 0, np.bincount(context, weights=taken) / np.maximum(total, 1e-9), 1.0)
+    own = (counts - taken) / np.maximum(total, 1e-9)[context]
+    return Level(codes, np.log(own + mass[context] * lower), contexts, np.log(mass))
+
+
+def shared_levels(codes: np.ndarray, counts: np.ndarray, order: int) -> list[Level]:
+    """The levels of ``order`` and all lower ones, highest first, of grams with continuation counts."""
     if order == 1:
-        byte = codes.astype(np.int64)
-        share = np.bincount(byte, weights=counts, minlength=256)
-        return (0.99 * share / share.sum() + 0.01 / 256)[byte]
-    shorter, back = np.unique(codes & np.uint64((1 << (8 * (order - 1))) - 1), return_inverse=True)
+        share = np.bincount(codes.astype(np.int64), weights=counts, minlength=256)
+        every = np.log(0.99 * share / share.sum() + 0.01 / 256)
+        return [Level(np.arange(256, dtype=np.uint64), every, np.zeros(0, np.uint64), np.zeros(0))]
+    shorter, back = np.unique(last_bytes(codes, order - 1), return_inverse=True)
     kinds = np.bincount(back)  # how many longer contexts continue with it
-    return interpolated(codes, counts, smoothed(shorter, kinds.astype(float), order - 1)[back])
+    lower = shared_levels(shorter, kinds.astype(float), order - 1)
+    return [level(codes, counts, np.exp(lower[0].logs[find(lower[0].codes, shorter)[0]])[back]), *lower]
 
 
-def interpolated(codes: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    _, context = np.unique(codes >> np.uint64(8), return_inverse=True)
-    total = np.bincount(context, weights=counts)[context]
-    taken = np.minimum(counts, DISCOUNT)
-    mass = np.bincount(context, weights=taken)[context]
-    seen = np.maximum(total, 1e-9)
-    return np.where(total > 0, (counts - taken + mass * lower) / seen, lower)
+def shared_logs(levels: list[Level], codes: np.ndarray) -> np.ndarray:
+    """Log-probabilities under the shared orders; ``levels`` are those of ORDER - 1 and down."""
+    out = np.zeros(len(codes))
+    todo = np.arange(len(codes))
+    for order, own in zip(range(ORDER - 1, 0, -1), levels, strict=True):
+        code = last_bytes(codes[todo], order)
+        row, hit = find(own.codes, code)
+        out[todo[hit]] += own.logs[row[hit]]
+        todo, code = todo[~hit], code[~hit]
+        row, hit = find(own.contexts, code >> np.uint64(8))
+        out[todo[hit]] += own.backoff[row[hit]]
+    return out
 
 
 @dataclass
 class ToxicityModel:
-    """Log-likelihood ratios of grams, and the threshold and scale of a document's mean."""
+    """The classes' own highest orders, toxic first, the shared lower ones, and the threshold and scale
+    of a document's mean difference."""
 
-    codes: np.ndarray
-    ratios: np.ndarray
+    own: tuple[Level, Level]
+    shared: list[Level]
     threshold: float = 0.0
     scale: float = 1.0
 
-    def means(self, column: pa.Array) -> np.ndarray:
+    def log_likelihoods(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: under the toxic class, under the ordinary one, and the number of words."""
         found = words(column, ALNUM)
         texts, count = len(found.first) - 1, found.counts
-        if not len(found.start) or not len(self.codes):
-            return np.zeros(texts)
-        code = grams(found)
-        row = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        ratio = np.where(self.codes[row] == code, self.ratios[row], 0)
+        if not len(found.start):
+            return np.zeros(texts), np.zeros(texts), count
+        code, back = np.unique(grams(found), return_inverse=True)
+        row, known = find(self.own[0].codes, code)
+        lower = shared_logs(self.shared, code[~known])
+        context, seen = find(self.own[0].contexts, code[~known] >> np.uint64(8))
         size = found.end - found.start
-        word = np.add.reduceat(ratio, np.cumsum(size) - size)
-        mixed = np.log1p(MIX * np.expm1(np.minimum(word, 50)))
-        return np.bincount(found.doc, weights=mixed, minlength=texts) / np.maximum(count, 1)
+        logs = []
+        for own in self.own:
+            each = np.empty(len(code))
+            each[known] = own.logs[row[known]]
+            each[~known] = lower + np.where(seen, own.backoff[context], 0)
+            logs.append(np.add.reduceat(each[back], np.cumsum(size) - size))
+        mixed = np.logaddexp(np.log(MIX) + logs[0], np.log1p(-MIX) + logs[1])
+        toxic, ordinary = (np.bincount(found.doc, weights=x, minlength=texts) for x in (mixed, logs[1]))
+        return toxic, ordinary, count
+
+    def means(self, column: pa.Array) -> np.ndarray:
+        """The difference of the length-normalised log-likelihoods of each text."""
+        toxic, ordinary, count = self.log_likelihoods(column)
+        return (toxic - ordinary) / np.maximum(count, 1)
 
     def scores(self, means: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip((means - self.threshold) / self.scale, -30, 30)))
 
 
 def fit_counts(codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> ToxicityModel:
-    shorter, back = np.unique(codes & np.uint64((1 << (8 * (ORDER - 1))) - 1), return_inverse=True)
-    shared = smoothed(shorter, np.bincount(back).astype(float), ORDER - 1)[back]
-    p = [interpolated(codes, counts.astype(float), shared) for counts in (toxic, ordinary)]
-    return ToxicityModel(codes, np.log(p[0]) - np.log(p[1]))
+    """A model of sorted distinct grams with their counts in both classes."""
+    shorter, back = np.unique(last_bytes(codes, ORDER - 1), return_inverse=True)
+    shared = shared_levels(shorter, np.bincount(back).astype(float), ORDER - 1)
+    lower = np.exp(shared[0].logs)[back]
+    return ToxicityModel((level(codes, toxic.astype(float), lower), level(codes, ordinary.astype(float), lower)), shared)
 
 
 def calibrated(model: ToxicityModel, means: np.ndarray, toxic: np.ndarray) -> ToxicityModel:
