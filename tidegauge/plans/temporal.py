@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators import cohort, enrich, intervals
+from tidegauge.operators import cohort, enrich, filters, intervals
 from tidegauge.plans import adapters as a
 from tidegauge.plans.oracles import GEO, HITS, LINES
 from tidegauge.schemas import IDENTITY_FIELDS
+from tidegauge.session import shared_dir
 from tidegauge.sources import access_log
+from tidegauge.streaming import jobs as stream_jobs
+from tidegauge.streaming import sinks, stateful
+from tidegauge.streaming.sources import table_stream
 
 QUERIES = {}
 ORACLES = {}
@@ -136,3 +142,78 @@ def payments_at_instant(spark, sf):
     return met.groupBy("event_id").agg(
         F.count(F.lit(1)).alias("payments"), F.max("total_fee").alias("highest_fee")
     )
+
+
+# --- streams in order of time ------------------------------------------------------------
+
+FIRST, SLICES, SLICE_DAYS = datetime(2024, 1, 1, tzinfo=timezone.utc), 4, 8
+#: Files of a slice come in any order, so a row may be later than others by a slice.
+SLICE_DELAY = "9 days"
+#: A time after all others, which lets every window and session end.
+LAST = datetime(2030, 1, 1, tzinfo=timezone.utc)
+
+
+def in_order(spark: SparkSession, rows: DataFrame, ts: str, last: DataFrame, purpose: str) -> DataFrame:
+    """A table as a stream of a few slices of time, one after another, and then a last row."""
+    path = shared_dir(spark, purpose)
+    starts = [FIRST + timedelta(days=k * SLICE_DAYS) for k in range(SLICES + 1)]
+    for k in range(SLICES):
+        low = F.lit(True) if k == 0 else F.col(ts) >= F.lit(starts[k])
+        high = F.lit(True) if k == SLICES - 1 else F.col(ts) < F.lit(starts[k + 1])
+        rows.where(low & high).write.mode("append").parquet(path)
+    last.select(*rows.columns).write.mode("append").parquet(path)
+    return table_stream(spark, f"{path}/", max_files=64)
+
+
+def _last_of(rows: DataFrame, **values) -> DataFrame:
+    """One row of the same columns: the given values, and NULL."""
+    given = {c: F.lit(values[c]) if c in values else F.lit(None) for c in rows.columns}
+    kinds = dict(rows.dtypes)
+    return rows.sparkSession.range(1).select(*(v.cast(kinds[c]).alias(c) for c, v in given.items()))
+
+
+STREAM_HISTORY = f"""
+gens AS (
+  SELECT *, {MONTH} + CAST(g AS BIGINT) * 8 * 86400 + custkey * 7919 % 86400 AS since,
+    CASE WHEN custkey % 2 = 0 THEN 7 ELSE 8 END * 86400 AS life
+  FROM (SELECT *, unnest([0, 1, 2, 3]) AS g FROM users WHERE segment <> 'BUILDING')
+)"""
+
+
+@_query(
+    """ SELECT event_id, g.custkey || '-' || g AS member_id, CAST(g.custkey % 20 AS VARCHAR) AS qz_id,
+      g.custkey || '-' || g AS user_id, g.org AS instance_id
+    FROM hits h LEFT JOIN gens g ON g.custkey = h.custkey AND h.k % 10 <> 0
+      AND epoch_us(h.ts) >= since * 1000000 AND epoch_us(h.ts) < (since + life) * 1000000""",
+    STREAM_HISTORY,
+)
+def stream_identity(spark, sf):
+    """Requests as a stream, with identity from a stream of sessions; both in slices of time."""
+    digest = F.md5(F.col("custkey").cast("string"))
+    token = F.concat(F.lit("api:"), digest, F.substring(digest, 1, 8))
+    hits = a.hits(spark, sf).select("event_id", "ts", F.when(F.col("k") % 10 != 0, token).alias("session"))
+    history = a.session_history(a.users(spark, sf)).where(F.col("kind") == "api")
+    sessions = history.select(
+        F.concat_ws(":", "kind", "token").alias("session"), "since", "until", *IDENTITY_FIELDS
+    )
+    log = in_order(spark, hits, "ts", _last_of(hits, event_id=-1, ts=LAST, session="end"), "hits")
+    held = in_order(spark, sessions, "since", _last_of(sessions, session="end", since=LAST), "sessions")
+    known = stateful.with_session_stream(log, held, SLICE_DELAY, "8 days")
+    out = shared_dir(spark, "identity")
+    stream_jobs.run(known, sinks.append_batch(f"{out}/data"), f"{out}/checkpoint")
+    stored = spark.read.parquet(f"{out}/data").where("event_id >= 0")
+    return stored.select("event_id", *IDENTITY_FIELDS)
+
+
+@_query(
+    """ SELECT hour AS created, count(DISTINCT member_id) AS num FROM hits
+    WHERE site <> 'openapi' AND member_id IS NOT NULL GROUP BY hour"""
+)
+def stream_uv_chained(spark, sf):
+    """Hourly UV from one query: keys pass once through the state store, then are counted there."""
+    hits = a.hits(spark, sf).where(filters.not_openapi()).select("ts", "member_id")
+    log = in_order(spark, hits, "ts", _last_of(hits, ts=LAST, member_id="end"), "visits")
+    counted = stateful.running_visitors(log, SLICE_DELAY, splits=4)
+    out = shared_dir(spark, "uv-chained")
+    stream_jobs.run(counted, sinks.append_batch(f"{out}/data", "dt"), f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/data").select("created", "num")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -22,7 +22,13 @@ from tidegauge.operators.filters import is_promo_click, not_openapi, promo_code
 from tidegauge.operators.metrics import count_by, fold, page_views
 from tidegauge.plans.jobs import enriched_log
 from tidegauge.sources.access_log import parse_lines
-from tidegauge.sources.app_events import parse_behaviour, parse_events
+from tidegauge.sources.app_events import (
+    REASONS,
+    parse_behaviour,
+    parse_behaviour_variant,
+    parse_events,
+    parse_events_observed,
+)
 from tidegauge.sources.archive import with_partitions
 from tidegauge.streaming.sinks import Sink, aggregated, append_batch, both
 
@@ -143,6 +149,32 @@ def app_event_sink(archive: str, tz: str = "UTC") -> Sink:
     )
 
 
+def counted_event_sink(archive: str, rejects: str, tz: str = "UTC") -> Sink:
+    """:func:`app_event_sink` that also stores, per batch, how many lines came and why lines were dropped.
+
+    The counts are observed while the batch is written; its lines are not read a second time.
+    """
+    stored, counted = append_batch(archive, "dt"), append_batch(rejects)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        events = parse_events_observed(batch, seen)
+        stored(events.withColumn("dt", day_of("ts", tz)), batch_id)
+        names = {"lines": "lines", "kept": "kept", **REASONS}
+        rows = [(names[name], n) for name, n in seen.get.items()]
+        counted(batch.sparkSession.createDataFrame(rows, "reason string, num bigint"), batch_id)
+
+    return write
+
+
+def behaviour_variant_sink(archive: str, tz: str = "UTC") -> Sink:
+    """Behaviour events of a batch with their payload as VARIANT, stored by event day."""
+    stored = append_batch(archive, "dt")
+    return lambda batch, batch_id: stored(
+        parse_behaviour_variant(batch).withColumn("dt", date_of_millis("mtime", tz)), batch_id
+    )
+
+
 def behaviour_sink(archive: str, tz: str = "UTC") -> Sink:
     """Behaviour events of a batch as they came, stored by event day."""
     stored = append_batch(archive, "dt")
