@@ -35,10 +35,13 @@ def append_partitioned(df: DataFrame, path: str, *cols: str) -> None:
     _balanced(df, cols).write.mode("append").partitionBy(*cols).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
-    """Replaces just the partitions present in ``df``, so a re-run does not duplicate."""
+def overwrite_partitions(df: DataFrame, path: str, *cols: str, balanced: bool = True) -> None:
+    """Replaces just the partitions present in ``df``, so a re-run does not duplicate.
+
+    Unbalanced, tasks write what they have, without a shuffle, and into more files.
+    """
     (
-        _balanced(df, cols)
+        (_balanced(df, cols) if balanced else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*cols)

@@ -27,10 +27,12 @@ def write_searchable(
     row_group_bytes: int = ROW_GROUP_BYTES,
     members: int = GROUP_MEMBERS,
     bloom: bool = True,
+    files: int | None = None,
 ) -> None:
-    """Replaces the partitions that ``df`` has rows of."""
+    """Replaces the partitions that ``df`` has rows of, in about ``files`` files or as many as shuffles have."""
     order = [*partitions, by, ts]
-    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+    dealt = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    writer = dealt.sortWithinPartitions(*order).write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic").option("parquet.block.size", row_group_bytes)
     writer = writer.option("parquet.page.row.count.limit", 5000)
     if bloom:

@@ -152,9 +152,11 @@ def app_event_sink(archive: str, tz: str = "UTC") -> Sink:
 def counted_event_sink(archive: str, rejects: str, tz: str = "UTC") -> Sink:
     """:func:`app_event_sink` that also stores, per batch, how many lines came and why lines were dropped.
 
-    The counts are observed while the batch is written; its lines are not read a second time.
+    The counts are observed while the batch is written; its lines are not read a second time. The write
+    has no shuffle: where one finds nothing to deal out, Spark leaves out what comes after it at run
+    time, and the counts of a batch without good lines would be lost.
     """
-    stored, counted = append_batch(archive, "dt"), append_batch(rejects)
+    stored, counted = append_batch(archive, "dt", balanced=False), append_batch(rejects)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()

@@ -17,13 +17,12 @@ from tidegauge.sources.archive import overwrite_partitions, read_if_stored, repl
 Sink = Callable[[DataFrame, int], None]
 
 
-def append_batch(path: str, *partitions: str) -> Sink:
+def append_batch(path: str, *partitions: str, balanced: bool = True) -> Sink:
     """Stores the rows of each batch under ``partitions`` and ``batch``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(
-            batch.withColumn("batch", F.lit(batch_id)), path, *partitions, "batch"
-        )
+        rows = batch.withColumn("batch", F.lit(batch_id))
+        overwrite_partitions(rows, path, *partitions, "batch", balanced=balanced)
 
     return write
 
