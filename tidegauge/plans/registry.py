@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.plans import oracles, queries, stored, temporal
+from tidegauge.plans import oracles, queries, scans, stored, temporal
 
-QUERIES = queries.QUERIES | temporal.QUERIES | stored.QUERIES
-ORACLES = oracles.ORACLES | temporal.ORACLES | stored.ORACLES
+QUERIES = queries.QUERIES | temporal.QUERIES | stored.QUERIES | scans.QUERIES
+ORACLES = oracles.ORACLES | temporal.ORACLES | stored.ORACLES | scans.SQL
