@@ -120,3 +120,16 @@ def test_shared_folder_is_the_cluster_setting(spark):
 def test_shuffle_partitions_grow_with_the_data():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(10 << 40) == 81920
+
+
+def test_unique_dimension_needs_one_shuffle_less(spark):
+    facts = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    dim = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        folded, plain = (lookup(facts, dim, "k", "v", unique=u) for u in (False, True))
+        plans = [df._jdf.queryExecution().executedPlan().toString().count("Exchange") for df in (folded, plain)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[1] < plans[0]
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, plain.collect()))

@@ -41,15 +41,19 @@ def valid_ip(ip: Column | str) -> Column:
 
 
 def with_geo(
-    df: DataFrame, geo: DataFrame, ip: str = "remote_addr", spread_by: Sequence[str] = ()
+    df: DataFrame,
+    geo: DataFrame,
+    ip: str = "remote_addr",
+    spread_by: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Adds country, region and city by address, dropping traffic of local networks.
 
-    ``geo`` has one row per ``ip``.
+    ``geo`` has one row per ``ip``; if that is certain, ``unique`` saves a shuffle of it.
     """
     dim = geo.withColumnRenamed("ip", "_ip")
     valid = df.withColumn("_ip", valid_ip(ip))
-    located = lookup(valid, dim, "_ip", *GEO_FIELDS, spread_by=spread_by).drop("_ip")
+    located = lookup(valid, dim, "_ip", *GEO_FIELDS, spread_by=spread_by, unique=unique).drop("_ip")
     return located.where(~is_lan(*GEO_FIELDS))
 
 
@@ -112,16 +116,19 @@ def with_open_ids(df: DataFrame, ids: str = "sent_http_set_cookie") -> DataFrame
 
 
 def with_identity(
-    df: DataFrame, sessions: DataFrame, spread_by: Sequence[str] = ("value",)
+    df: DataFrame,
+    sessions: DataFrame,
+    spread_by: Sequence[str] = ("value",),
+    unique: bool = False,
 ) -> DataFrame:
     """Adds the four ids: by session lookup, or decoded in place for the open API.
 
-    ``sessions`` has one row per ``(kind, token)``. Page requests get no ids, and
+    ``sessions`` has one row per ``(kind, token)``; if that is certain, ``unique`` saves a shuffle. Page requests get no ids, and
     open API requests no user id.
     """
     keyed = _keyed(df)
     dim = _session_dim(sessions)
-    found = lookup(keyed, dim, "session", *[f"_{n}" for n in IDENTITY_FIELDS], spread_by=spread_by)
+    found = lookup(keyed, dim, "session", *[f"_{n}" for n in IDENTITY_FIELDS], spread_by=spread_by, unique=unique)
     return _with_ids(found)
 
 
@@ -174,6 +181,11 @@ def _with_ids(found: DataFrame) -> DataFrame:
     return found.withColumns(ids).drop("session", *_open_names(), *[f"_{n}" for n in IDENTITY_FIELDS])
 
 
+def opens_app(request: Column | str = "request") -> Column:
+    """Whether :func:`derive_clicks` keeps a request; filter by it before joining identity."""
+    return app_of_request(request).isNotNull()
+
+
 def derive_clicks(df: DataFrame) -> DataFrame:
     """Click events of the requests that open an app, one column per event key."""
     fields = {

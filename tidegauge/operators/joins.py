@@ -26,11 +26,13 @@ def lookup(
     *values: str,
     spread_by: Sequence[str] = (),
     latest: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Adds ``values`` of the dimension row with the same ``key``; NULL when there is none.
 
     A key that the dimension repeats counts once: its values are those of the row that ``latest``
-    puts last, or without it of the greatest row, so a repeated key never multiplies facts.
+    puts last, or without it of the greatest row, so a repeated key never multiplies facts. A table that has
+    each key once by contract needs no such fold: ``unique`` saves its shuffle.
     A fact key that is no number finds nothing in a numeric dimension. Rows without a key are spread by a hash of
     ``spread_by`` (all columns, if not given): a hash and not a random number, so a
     task that runs again gives the same rows.
@@ -40,9 +42,13 @@ def lookup(
     row = F.struct(*rank, *(v for v in values if v not in rank))
     # Grouped by a struct, so that the join shuffles both sides for itself: AQE splits a hot key
     # only there, and not above an aggregate that is partitioned by the join's own key.
-    keyed = dim.where(F.col(key).isNotNull()).groupBy(F.struct(F.col(key).cast(kind).alias("k")).alias(_KEY))
-    keyed = keyed.agg(F.max(row).alias("_row"))
-    keyed = keyed.select(F.col(_KEY)["k"].alias(_KEY), *(F.col("_row")[v].alias(v) for v in values))
+    known = dim.where(F.col(key).isNotNull())
+    if unique:
+        keyed = known.select(F.col(key).cast(kind).alias(_KEY), *values)
+    else:
+        keyed = known.groupBy(F.struct(F.col(key).cast(kind).alias("k")).alias(_KEY))
+        keyed = keyed.agg(F.max(row).alias("_row"))
+        keyed = keyed.select(F.col(_KEY)["k"].alias(_KEY), *(F.col("_row")[v].alias(v) for v in values))
     nobody = F.xxhash64(*(spread_by or facts.columns)).cast(kind)
     spread = facts.withColumn(_SPREAD, F.coalesce(F.col(key).try_cast(kind), nobody))
     # The second condition keeps a hash from matching a key by accident.

@@ -109,12 +109,12 @@ def located_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_org(df: DataFrame, people: DataFrame) -> DataFrame:
     """Adds ``instance_id`` by ``custkey``; fold first, so the join sees few rows."""
-    found = lookup(df, people.select("custkey", "org"), "custkey", "org")
+    found = lookup(df, people.select("custkey", "org"), "custkey", "org", unique=True)
     return found.withColumn("instance_id", F.when(F.col("has_org"), F.col("org"))).drop("org")
 
 
 def with_area(df: DataFrame, people: DataFrame) -> DataFrame:
-    return lookup(df, people.select("custkey", "region"), "custkey", "region")
+    return lookup(df, people.select("custkey", "region"), "custkey", "region", unique=True)
 
 
 def org_hits(log: DataFrame, people: DataFrame, unit: str, *dims: str) -> DataFrame:

@@ -30,17 +30,21 @@ from tidegauge.sources.access_log import parse_lines
 Reports = dict[str, DataFrame]
 
 
-def enriched_log(lines: DataFrame, geo: DataFrame, sessions: DataFrame) -> DataFrame:
+def enriched_log(
+    lines: DataFrame, geo: DataFrame, sessions: DataFrame, unique: bool = False
+) -> DataFrame:
     """Raw lines to the typed log: filter, geography without LAN traffic, identity.
 
+    ``unique`` says that both dimensions have each key once by contract.
+
     The raw line ends at the filter; a hash of it spreads keyless rows in the joins, so the text
     is in no shuffle.
     """
     lines = lines.where(may_be_business_request())
     wanted = parse_lines(lines).where(is_business_request() & F.col("ts").isNotNull())
     lean = wanted.withColumn("_row", F.xxhash64("value")).drop("value")
-    located = with_geo(lean, geo, spread_by=["_row"])
-    found = with_identity(located, sessions, spread_by=["_row"])
+    located = with_geo(lean, geo, spread_by=["_row"], unique=unique)
+    found = with_identity(located, sessions, spread_by=["_row"], unique=unique)
     return found.drop("_row").withColumnRenamed("remote_addr", "ip")
 
 

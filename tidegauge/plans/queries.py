@@ -312,20 +312,20 @@ def time_format(spark, sf):
 @query
 def geo_enrich(spark, sf):
     log = a.hits(spark, sf).select("event_id", "ip")
-    return enrich.with_geo(log, a.geo(a.located_users(spark, sf)), "ip")
+    return enrich.with_geo(log, a.geo(a.located_users(spark, sf)), "ip", unique=True)
 
 
 @query
 def identity_enrich(spark, sf):
     parsed = access_log.parse_lines(a.lines(spark, sf))
-    known = enrich.with_identity(parsed, a.sessions(a.users(spark, sf)))
+    known = enrich.with_identity(parsed, a.sessions(a.users(spark, sf)), unique=True)
     return known.select(F.col("connection").alias("event_id"), "n_fields", *IDENTITY_FIELDS)
 
 
 @query
 def enriched_log(spark, sf):
     geo, sessions = a.geo(a.located_users(spark, sf)), a.sessions(a.users(spark, sf))
-    log = jobs.enriched_log(a.lines(spark, sf), geo, sessions)
+    log = jobs.enriched_log(a.lines(spark, sf), geo, sessions, unique=True)
     return log.select(
         F.col("connection").alias("event_id"),
         "ip",
@@ -337,8 +337,10 @@ def enriched_log(spark, sf):
 
 @query
 def derive_clicks(spark, sf):
-    parsed = access_log.parse_lines(a.lines(spark, sf)).where(filters.not_openapi())
-    known = enrich.with_identity(parsed, a.sessions(a.users(spark, sf)))
+    parsed = access_log.parse_lines(a.lines(spark, sf))
+    wanted = parsed.where(filters.not_openapi() & enrich.opens_app() & F.col("ts").isNotNull())
+    lean = wanted.withColumn("_row", F.xxhash64("value")).drop("value")
+    known = enrich.with_identity(lean, a.sessions(a.users(spark, sf)), ["_row"], unique=True)
     valid = known.where(filters.has_identity() & F.col("ts").isNotNull())
     return enrich.derive_clicks(valid).drop("ts")
 
