@@ -46,6 +46,16 @@ def check(spark, rows, budget=60, history=2):
             assert w["text"].count("<turn ") == w["text"].count("</turn>") == w["n_turns"] + w["repeated"]
             if system and w["first"]:
                 assert w["text"].startswith("<turn system>\n") and w["repeated"] >= 1
+            # What stands before the window is repeated as far as it fits, and no further.
+            again = w["repeated"] - (system and w["first"] > 0)
+            before = turns[1 if system else 0 : w["first"]][::-1][:history]
+            sizes = [tokens(t) for _, t in before]
+            left = budget - w["n_tokens"]
+            assert again == history or again == len(before) or sizes[again] > left
+            if again:
+                assert left >= 0
+                shown = [t for t in w["text"].split("\n</turn>\n")][w["repeated"] - again : w["repeated"]]
+                assert [len(x) > 0 for x in shown] == [True] * again
     return windows
 
 
@@ -69,6 +79,14 @@ def test_system_turns_and_long_conversations(spark):
     assert sum(w["repeated"] > 0 for own in windows.values() for w in own) > 50
 
 
+def test_windows_are_filled(spark):
+    rows = [(c, k, ("user", "assistant")[k % 2], "w " * ((k * 37 + c) % 90 + 5)) for c in range(5) for k in range(200)]
+    windows = [w for own in check(spark, rows, budget=400).values() for w in own]
+    later = [w for w in windows if w["first"]]
+    assert all(w["repeated"] >= 1 for w in later)
+    assert sum(w["n_tokens"] for w in later) / len(later) > 0.65 * 400
+
+
 def test_odd_rows(spark):
     rows = [(None, 0, "user", "x"), (None, 1, "assistant", "y"), (1, None, "user", "n"), (1, 5, "user", "t"),
             (1, 5, "user", "t"), (1, 5, "assistant", "s"), (2, 0, "system", "only"), (3, 0, "assistant", "w " * 500)]

@@ -8,10 +8,11 @@ text comes back exactly.
 Prefix sums of turn tokens choose the windows: a turn whose preceding tokens lie in
 the k-th span of ``step`` tokens belongs to window k, and a turn longer than that has a window of its
 own, so cuts lie between turns and a window holds at most two steps. The step is half of what the
-budget leaves beside the system turn and the history. Every window begins with the conversation's
-system turn and with up to ``history`` turns before it that are short enough; these are marked as
-repeated and masked, so each assistant text is a target once. Tokens are words and marks, two for
-the turn's own. Only windows around one turn that is too long by itself exceed the budget; they say so.
+budget leaves beside the system turn. Every window begins with the conversation's system turn and then
+repeats the turns just before it: up to ``history`` of them, as far back as the sum of their tokens fits into
+what the window has left. Repeated turns are marked and masked, so each assistant text is a target
+once. Tokens are words and marks, two for the turn's own. Only windows around one turn that is too long
+by itself exceed the budget; they say so and repeat nothing but the system turn.
 
 Prefix sums are taken in two steps, over blocks of ``BLOCK`` turn numbers and then over the blocks of a
 conversation, so that a long conversation is dealt out to many tasks.
@@ -104,10 +105,9 @@ def chat_windows(
     is_system = (F.col("pos") == 0) & (F.col("role") == "system")
     system = turns.where(is_system).select(F.col("conv").alias("sc"), F.col("n").alias("system_n"), shown)
     system = system.withColumnRenamed("shown", "system")
-    each = budget // 4 // max(history, 1)  # tokens of a repeated turn
     cost = turns.join(system.select("sc", "system_n"), turns["conv"].eqNullSafe(system["sc"]), "left")
     cost = cost.withColumn("system_n", F.coalesce("system_n", F.lit(0)))
-    free = F.lit(budget - each * history) - F.col("system_n")
+    free = F.lit(budget) - F.col("system_n")
     cost = cost.withColumn("step", F.greatest(F.floor(free / 2), F.lit(16)))
     own_system = is_system & (F.col("system_n") > 0)
     start = F.when(own_system, 0).otherwise(F.col("start") - F.col("system_n"))
@@ -121,7 +121,9 @@ def chat_windows(
     windows = windows.withColumn("first", F.col("own")[0]["pos"])
     windows = windows.join(system.drop("system_n"), windows["conv"].eqNullSafe(system["sc"]), "left").drop("sc")
     windows = windows.withColumn("system", F.when(F.col("first") > 0, F.col("system")))
-    windows = with_history(windows, turns.where(~is_system & (F.col("n") <= each)), history)
+    used = F.aggregate("own", F.lit(0).cast("long"), lambda sum_, t: sum_ + t["n"])
+    windows = windows.withColumn("room", F.lit(budget) - F.col("system_n") - used)
+    windows = with_history(windows, turns.where(~is_system), history)
     context = F.concat(F.coalesce("system", F.lit("")), F.array_join(F.transform("before", lambda t: t["shown"]), ""))
     windows = windows.withColumn("context", context)
     windows = windows.withColumn("place", F.length("context"))
@@ -148,21 +150,29 @@ def chat_windows(
 
 
 def with_history(windows: DataFrame, turns: DataFrame, history: int) -> DataFrame:
-    """Adds ``before``: the unbroken run of at most ``history`` turns just before each window."""
-    back = F.explode(F.array(*(F.lit(k) for k in range(1, history + 1)))).alias("back")
-    wanted = windows.where("first > 0").select("conv", "first", back) if history else windows.limit(0)
+    """Adds ``before``: the unbroken run of at most ``history`` turns just before each window whose tokens
+    together fit into its ``room``."""
+    none = F.expr("array_repeat(named_struct('shown', '', 'n', 0L), 0)")
     if not history:
-        return windows.withColumn("before", F.expr("array_repeat(named_struct('shown', '', 'n', 0L), 0)"))
+        return windows.withColumn("before", none)
+    back = F.explode(F.array(*(F.lit(k) for k in range(1, history + 1)))).alias("back")
+    wanted = windows.where("first > 0 and room > 0").select("conv", "first", "room", back)
     shown = F.concat(opening(F.col("role")), escaped(F.col("text")), F.lit(CLOSE)).alias("shown")
     known = turns.select(F.col("conv").alias("c"), F.col("pos").alias("p"), shown, "n")
     same = wanted["conv"].eqNullSafe(known["c"]) & (wanted["first"] - wanted["back"] == known["p"])
-    found = wanted.join(known, same).groupBy(F.col("conv").alias("c"), F.col("first").alias("f")).agg(
+    # A turn that is too long by itself is not carried along.
+    fits = known["n"] <= wanted["room"]
+    found = wanted.join(known, same & fits).groupBy(F.col("conv").alias("c"), F.col("first").alias("f")).agg(
         F.array_sort(F.collect_list(F.struct("back", "shown", "n"))).alias("found")
     )
     same = windows["conv"].eqNullSafe(found["c"]) & (windows["first"] == found["f"])
-    run = F.filter("found", lambda t, i: t["back"] == i + 1)
+
+    def together(i: Column) -> Column:
+        return F.aggregate(F.slice("found", 1, i + 1), F.lit(0).cast("long"), lambda sum_, t: sum_ + t["n"])
+
+    # The prefix sums only grow, so what stays is a run.
+    run = F.filter("found", lambda t, i: (t["back"] == i + 1) & (together(i) <= F.col("room")))
     before = F.transform(F.reverse(run), lambda t: F.struct(t["shown"], t["n"].alias("n")))
-    none = F.expr("array_repeat(named_struct('shown', '', 'n', 0L), 0)")
     return windows.join(found, same, "left").withColumn("before", F.coalesce(before, none)).drop("c", "f", "found")
 
 
