@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.llm.textbytes import fresh
 from tidegauge.session import shared_dir
 
 KINDS = ("email", "ip", "card", "phone")
@@ -214,11 +215,10 @@ def redacted(text: Column, found: Column) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with personal data replaced; all columns and rows stay, null texts too."""
     found = find(docs, id_col, text_col).where(F.size("found") > 0).distinct()
-    found = found.select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key"), "found")
-    found = found.withColumnRenamed("found", "__found")
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    marked = docs.withColumn("__k", key)
-    same = marked[id_col].eqNullSafe(found["__id"]) & (marked["__k"] == found["__key"])
+    id_, key_, spans, own = (fresh(docs, name) for name in ("id", "key", "found", "own"))
+    found = found.select(F.col(id_col).alias(id_), F.col("text_key").alias(key_), F.col("found").alias(spans))
+    marked = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    same = marked[id_col].eqNullSafe(found[id_]) & (marked[own] == found[key_])
     both = marked.join(found, same, "left")
-    text = F.when(F.col("__found").isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col("__found")))
+    text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col(spans)))
     return both.withColumn(text_col, text).select(*docs.columns)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import ALNUM, LOWER, map_texts, sliced, text_of
+from tidegauge.llm.textbytes import ALNUM, LOWER, fresh, map_texts, sliced, text_of
 from tidegauge.llm.textstats import DIGIT, MARKS, STOP, SYMBOLS, UPPER, Stats, stats_of
 from tidegauge.session import shared_dir
 
@@ -223,13 +223,14 @@ def common_lines(docs: DataFrame, text_col: str) -> tuple[Common, DataFrame]:
 
 
 def with_rare(docs: DataFrame, others: DataFrame, text_col: str) -> DataFrame:
-    """Adds ``__rare``: the common lines (hash, texts) of each text that executors do not hold."""
+    """Adds a last column: the common lines (hash, texts) of each text that executors do not hold."""
+    rare, key = fresh(docs, "rare"), fresh(docs, "k")
     if others.isEmpty():
-        return docs.withColumn("__rare", F.expr(NO_LINES))
-    met = lines_of(docs, text_col).join(others, "hash").groupBy(F.col("key").alias("__k"))
-    met = met.agg(F.collect_list(F.struct("hash", "texts")).alias("__rare"))
-    both = docs.join(met, F.xxhash64(docs[text_col]) == met["__k"], "left")
-    return both.select(*(docs[c] for c in docs.columns), F.coalesce("__rare", F.expr(NO_LINES)).alias("__rare"))
+        return docs.withColumn(rare, F.expr(NO_LINES))
+    met = lines_of(docs, text_col).join(others, "hash").groupBy(F.col("key").alias(key))
+    met = met.agg(F.collect_list(F.struct("hash", "texts")).alias(rare))
+    both = docs.join(met, F.xxhash64(docs[text_col]) == met[key], "left")
+    return both.select(*(docs[c] for c in docs.columns), F.coalesce(rare, F.expr(NO_LINES)).alias(rare))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
@@ -265,11 +266,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 
 
 def shared_of(docs: DataFrame, model: Model | None, text_col: str):
-    """What executors need of a model, and the documents with ``__rare``."""
+    """What executors need of a model, and the documents with the column of :func:`with_rare`."""
     shared = docs.sparkSession.sparkContext.broadcast((model.crf, model.common) if model else None)
     if model:
         return shared, with_rare(docs, model.others, text_col)
-    return shared, docs.withColumn("__rare", F.expr(NO_LINES))
+    return shared, docs.withColumn(fresh(docs, "rare"), F.expr(NO_LINES))
 
 
 def verdicts(stats: Stats, model: tuple[Crf, Common] | None, rare: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -312,7 +313,7 @@ def keep_good(docs: DataFrame, model: Model | None, text_col: str = "text") -> D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text_col):
-            kept = verdicts(stats_of(text_of(batch, text_col)), shared.value, batch.column("__rare"))[2]
+            kept = verdicts(stats_of(text_of(batch, text_col)), shared.value, batch.column(len(docs_columns)))[2]
             yield batch.select(docs_columns).filter(pa.array(kept))
 
     docs_columns = docs.columns

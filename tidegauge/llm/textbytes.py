@@ -64,6 +64,15 @@ def map_texts(df: DataFrame, work: Callable, schema) -> DataFrame:
     return df.mapInArrow(work, schema)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sliced(
     batches: Iterator[pa.RecordBatch], name: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
