@@ -45,15 +45,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.textbytes import NOT_SPACE, STEP, flat, map_texts, mix, shingle_sets, sliced, text_of, words
+from tidegauge.llm.textbytes import NOT_SPACE, STEP, flat, fresh, map_texts, mix, shingle_sets, sliced, text_of, words
 from tidegauge.session import shared_dir
 
-#: Slots of the frequency table: 2**22 counters, 16 MB whatever the corpus.
-SLOT_BITS = 22
+#: Slots of the frequency table: 2**23 counters of two bytes, 16 MB whatever the corpus.
+SLOT_BITS = 23
 #: Bits of the bitmaps: 4 MB each whatever the corpus.
 BITMAP_BITS = 25
 #: Members that share one copy of their pivot's text.
@@ -74,7 +75,7 @@ def slots(hashes: np.ndarray) -> np.ndarray:
 
 
 def slot_counts(docs: DataFrame, width: int) -> np.ndarray:
-    """Document frequencies by hash slot, up to 2**32 - 1; partial tables are added up on executors."""
+    """Document frequencies by hash slot, up to 65,535; partial tables are added up on executors."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << SLOT_BITS, np.uint32)
@@ -82,11 +83,12 @@ def slot_counts(docs: DataFrame, width: int) -> np.ndarray:
             sets = shingle_sets(words(text_of(batch, "text"), NOT_SPACE), width)
             slot, n = np.unique(slots(np.concatenate(sets)), return_counts=True)
             table[slot] += n.astype(np.uint32)
-        yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(table.tobytes(), 1)]})
+        counts = np.minimum(table, np.iinfo(np.uint16).max).astype(np.uint16)
+        yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(counts.tobytes(), 1)]})
 
     partial = map_texts(docs.select("text"), work, "counts binary")
-    empty = np.zeros(1 << SLOT_BITS, np.uint32)
-    return np.frombuffer(combined_tables(partial, saturated, empty), np.uint32)
+    empty = np.zeros(1 << SLOT_BITS, np.uint16)
+    return np.frombuffer(combined_tables(partial, saturated, empty), np.uint16)
 
 
 def saturated(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -130,8 +132,8 @@ def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-def shared_signatures(sets: DataFrame) -> DataFrame:
-    """``(node, weight, s)`` for signatures that may occur twice."""
+def shared_signatures(sets: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """``(node, weight, s)`` for signatures that may occur twice, and the bitmap that they are read by."""
     every = sets.select(F.explode("signatures").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"))
     bits = sets.sparkSession.sparkContext.broadcast(bitmap(every.where("c > 1").select("s")))
 
@@ -147,7 +149,7 @@ def shared_signatures(sets: DataFrame) -> DataFrame:
                 names=["node", "weight", "s"],
             )
 
-    return map_texts(sets.select("node", "weight", "signatures"), work, "node long, weight long, s long")
+    return map_texts(sets.select("node", "weight", "signatures"), work, "node long, weight long, s long"), bits
 
 
 def frequent_from(counts: np.ndarray) -> int:
@@ -174,8 +176,9 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, limit: int, num: int, den
     return np.concatenate((mix(singles), pairs))
 
 
-def set_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Per document: its id, the hash that names its set, the set's size and its signatures."""
+def set_table(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, Broadcast]:
+    """Per document: its id, the hash that names its set, the set's size and its signatures; and the
+    frequency table that they are made by."""
     counts = slot_counts(docs, width)
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     limit = frequent_from(counts)
@@ -201,7 +204,7 @@ def set_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
     fields = [T.StructField(c, T.LongType()) for c in ("node", "n", "weight")]
     fields.append(T.StructField("signatures", T.ArrayType(T.LongType())))
-    return map_texts(docs, work, T.StructType([docs.schema["id"], docs.schema["key"], *fields]))
+    return map_texts(docs, work, T.StructType([docs.schema["id"], docs.schema["key"], *fields])), shared
 
 
 def commonness(tokens: np.ndarray, counts: np.ndarray) -> int:
@@ -215,24 +218,25 @@ def set_name(tokens: np.ndarray) -> np.uint64:
     return mix(np.array([total ^ np.uint64(len(tokens))], np.uint64))[0]
 
 
-def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Cuts the lineage by a table in the shared folder."""
+def written(spark: SparkSession, df: DataFrame, purpose: str, *read_by: Broadcast) -> DataFrame:
+    """Cuts the lineage by a table in the shared folder, and gives up the broadcasts that only it was read by."""
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
+    for table in read_by:
+        table.destroy()
     return spark.read.schema(df.schema).parquet(path)
 
 
 def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """For pairs of a pivot ``a`` and a member ``b``, from their texts: the member's size, whether they
-    link, their distance, and the tokens in only one of the sets, unless they are far apart.
+    link, their distance, and the tokens in only one of the sets, unless they are far apart. A stored table.
 
     A pivot's members are dealt into groups of about ``SHARE``, each of which gets the pivot's text
     too; a group streams its members past the pivot's set.
     """
     spark = docs.sparkSession
-    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("shares"))
     share = F.pmod(F.xxhash64("b"), F.col("shares")).cast("int")
-    spread = pairs.join(many, "a").select("a", share.alias("share"), "b")
+    spread = pairs.join(blocks_of(pairs, SHARE, "shares"), "a").select("a", share.alias("share"), "b")
     wanted = spread.select("a", "share", F.col("b").alias("node"), F.lit(1).alias("role")).unionByName(
         spread.select("a", "share", F.col("a").alias("node"), F.lit(0).alias("role")).distinct()
     )
@@ -277,13 +281,23 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, nu
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "link", "d", "apart"])
 
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.binary())
-    return map_texts(grouped, work, "a long, b long, n long, link boolean, d double, apart binary")
+    found = map_texts(grouped, work, "a long, b long, n long, link boolean, d double, apart binary")
+    return written(spark, found, "compared", bits)
+
+
+def blocks_of(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """``(a, name)``: in how many blocks the rows of each pivot are dealt out.
+
+    Grouped by a struct, so that a join by ``a`` shuffles both sides for itself and AQE may split a pivot with
+    very many members there.
+    """
+    many = rows.groupBy(F.struct("a").alias("of")).agg(F.ceil(F.count(F.lit(1)) / size).alias(name))
+    return many.select(F.col("of.a").alias("a"), name)
 
 
 def blocked(outside: DataFrame, members: DataFrame) -> DataFrame:
     """Rows of both sides under ``(a, i, j)``: the i-th block outside meets the j-th of all."""
-    sizes = outside.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_OUT).alias("outs"))
-    sizes = members.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ALL).alias("alls")).join(sizes, "a")
+    sizes = blocks_of(members, BLOCK_ALL, "alls").join(blocks_of(outside, BLOCK_OUT, "outs"), "a")
     sides = []
     for rows, role, own, other, (mine, theirs) in (
         (outside, 0, "outs", "alls", "ij"),
@@ -329,9 +343,9 @@ def far_pairs(buckets: DataFrame, checked: DataFrame, labels: DataFrame, sizes:
     """Pairs of bucket members that may still link, at least one of them far from the pivot."""
     reach = 1 - num / den + 1e-9
     known = checked.select("a", F.col("b").alias("node"), "d").distinct()
-    member = buckets.where("a != node").join(known, ["a", "node"], "left").join(sizes, "node")
     # A member that was not compared has less than half the size of the pivot, or more than twice.
-    member = member.where(F.coalesce(F.col("d") >= FAR - reach, F.lit(True)))
+    member = buckets.where("a != node").join(known, ["a", "node"], "left")
+    member = member.where(F.coalesce(F.col("d") >= FAR - reach, F.lit(True))).join(sizes, "node")
     member = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     far = member.where(F.coalesce(F.col("d") > FAR, F.lit(True)))
     left = far.select("s", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "n", "d")))
@@ -419,21 +433,22 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def labelled_nodes(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """The table of sets, and ``(node, named, label)``: each set's first document and component."""
     spark = docs.sparkSession
-    sets = written(spark, set_table(docs, width, num, den), "sets")
+    table, counts = set_table(docs, width, num, den)
+    sets = written(spark, table, "sets", counts)
     some = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("named")
     nodes = sets.where("n > 0").groupBy("node").agg(some, F.first("n").alias("n"))
     sizes = nodes.select("node", "n")
-    index = shared_signatures(sets)
+    index, bits = shared_signatures(sets)
     most = F.max(F.struct("weight", "node"))["node"].alias("a")
     pivots = index.groupBy("s").agg(most, F.min("node").alias("first"), F.max("node").alias("last"))
     pivots = pivots.where("first < last").select("s", "a")
-    buckets = written(spark, index.join(pivots, "s").select("s", "a", "node").distinct(), "buckets")
+    buckets = written(spark, index.join(pivots, "s").select("s", "a", "node").distinct(), "buckets", bits)
     pairs = buckets.where("a != node").select("a", F.col("node").alias("b")).distinct()
     for side in ("a", "b"):
         pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
     alike = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (1 - FAR)
     pairs = written(spark, pairs.where(alike).select("a", "b"), "pairs")
-    checked = written(spark, compared(pairs, nodes, docs, width, num, den), "compared")
+    checked = compared(pairs, nodes, docs, width, num, den)
     links = checked.where("link").select("a", "b")
     labels = components(spark, links)
     more = written(spark, further_links(checked, labels, num, den), "links")
@@ -479,7 +494,8 @@ def keep_one(
     first = named.groupBy("label").agg(F.min("named").alias("named"))
     first = first.select(F.col("named.id").alias("__id"), F.col("named.key").alias("__first"))
     worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = docs.withColumn("__key", F.xxhash64(text_col))
-    same = marked[id_col].eqNullSafe(first["__id"]) & (marked["__key"] == first["__first"])
-    kept = marked.where(worded).join(first, same, "left_semi").dropDuplicates([id_col, "__key"])
+    key = fresh(docs, "key")
+    marked = docs.withColumn(key, F.xxhash64(text_col))
+    same = marked[id_col].eqNullSafe(first["__id"]) & (marked[key] == first["__first"])
+    kept = marked.where(worded).join(first, same, "left_semi").dropDuplicates([id_col, key])
     return kept.unionByName(marked.where(~worded)).select(*docs.columns)
