@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators.asof_join import as_of_join
+from tidegauge.plans import adapters
 from tidegauge.plans.temporal import identity_as_of
 
 DAY = datetime(2024, 1, 1)
@@ -94,3 +95,15 @@ def test_clashing_names_and_values(spark):
     history = spark.createDataFrame([("a", DAY, 9, "x")], "k string, since timestamp, shares int, until_ string")
     row = as_of_join(facts, history, "k", ["shares", "until_"]).first()
     assert tuple(row) == ("a", DAY, 1, 2, 9, "x")
+
+
+@pytest.mark.parametrize("history,of_each", [(adapters.session_history, 8), (adapters.geo_history, 28)])
+def test_generated_histories_are_not_broadcast(spark, history, of_each):
+    people = spark.createDataFrame(
+        [(k, "3", "AUTOMOBILE", 1.0, 3, "PERU", "AMERICA") for k in (1, 2, 2)],
+        "custkey long, org string, segment string, balance double, nationkey int, country string, region string",
+    )
+    made = history(people)
+    assert "Broadcast" not in plan_of(made)
+    # A key that comes twice meets both of its own rows.
+    assert made.count() == of_each * (1 + 2 * 2)

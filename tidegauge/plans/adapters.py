@@ -179,7 +179,8 @@ def session_history(people: DataFrame) -> DataFrame:
     until = F.when(F.col("custkey") % 2 == 0, over).alias("until")
     owner = sessions(people).withColumn("custkey", F.col("user_id").cast("bigint"))
     when = runs.select("custkey", "g", "since", until)
-    held = owner.join(when, "custkey")
+    # Rows that are generated here are many more than the file's size lets Spark expect, so none are broadcast.
+    held = owner.join(when.hint("merge"), "custkey")
     return held.withColumns(
         {"member_id": F.concat_ws("-", "member_id", "g"), "user_id": F.concat_ws("-", "user_id", "g")}
     ).drop("custkey", "g")
@@ -190,7 +191,8 @@ def geo_history(people: DataFrame) -> DataFrame:
     places = geo(people.withColumn("segment", F.concat_ws("/", "segment", F.col("custkey").cast("string"))))
     parts = F.split("city", "/")
     owned = places.withColumns({"city": parts[0], "custkey": parts[1].cast("bigint")})
-    held = owned.join(_generations(people, 10).select("custkey", "g", "since"), "custkey")
+    when = _generations(people, 10).select("custkey", "g", "since")
+    held = owned.join(when.hint("merge"), "custkey")  # never broadcast, as above
     return held.withColumn("city", F.concat_ws("-", "city", "g")).drop("custkey", "g")
 
 
