@@ -226,3 +226,23 @@ def test_kafka_options():
     options = sources.kafka_options("h:9092", "t", "earliest", 1000)
     assert options["subscribe"] == "t" and options["maxOffsetsPerTrigger"] == "1000"
     assert "maxOffsetsPerTrigger" not in sources.kafka_options("h:9092", "t")
+
+
+def test_dimensions_of_a_batch_are_made_by_all_tasks(spark, sf, monkeypatch):
+    """The rows made of the customers' file are not sorted by the one task that reads it."""
+    held = []
+
+    class Held(Exception):
+        pass
+
+    def caught(dimensions, *paths, **settings):
+        held.extend(dimensions(spark))
+        raise Held
+
+    monkeypatch.setattr(jobs, "access_sink", caught)
+    with pytest.raises(Held):
+        QUERIES["stream_access_log"](spark, sf)
+    assert len(held) == 2
+    for dim in held:
+        sizes = [n for n in dim.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+        assert len(sizes) >= 4 and max(sizes) < sum(sizes) / 2

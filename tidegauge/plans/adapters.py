@@ -123,6 +123,12 @@ def org_hits(log: DataFrame, people: DataFrame, unit: str, *dims: str) -> DataFr
     return with_org(fold(log, unit, *keys), people)
 
 
+def dealt(people: DataFrame) -> DataFrame:
+    """Users over all shuffle tasks. Their file is small enough for one task, and the rows made of each user are
+    not: without this, that task would sort them all."""
+    return people.repartition(int(people.sparkSession.conf.get("spark.sql.shuffle.partitions")), "custkey")
+
+
 def sessions(people: DataFrame) -> DataFrame:
     """``(kind, token)`` to ids. Some users have no session of one kind or the other."""
     key = _text(F.col("custkey"))

@@ -816,7 +816,8 @@ def stream_access_log(spark, sf):
     """Raw lines to the enriched archive and to page views, both from one batch."""
 
     def dimensions(session):
-        return a.geo(a.located_users(session, sf)), a.sessions(a.users(session, sf))
+        people = a.dealt(a.located_users(session, sf))
+        return a.geo(people), a.sessions(people)
 
     lines = a.as_lines(a.as_hits(_stream(spark, sf, "events")))
     path = _run(

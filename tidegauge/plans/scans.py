@@ -109,7 +109,7 @@ def stored_clicks(spark, sf):
     """Clicks of two days as the daily run stores them, one day twice."""
     root = shared_dir(spark, "clicks")
     parsed = access_log.parse_lines(a.lines(spark, sf)).where(filters.not_openapi())
-    known = enrich.with_identity(parsed, a.sessions(a.users(spark, sf)))
+    known = enrich.with_identity(parsed, a.sessions(a.dealt(a.users(spark, sf))))
     log = known.where(filters.has_identity() & F.col("ts").isNotNull())
     for day in (FIRST, date(2024, 1, 10), FIRST):
         cascade.store_clicks(spark, root, log, day)
