@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators import intervals
 from tidegauge.operators.cohort import keep_paid_at
 from tidegauge.operators.intervals import covering, keep_covered, level_of, levels_in_use, listed, merged, probed
+from tidegauge.plans import temporal
 
 DAY = datetime(2024, 1, 1)
 
@@ -104,3 +105,40 @@ def test_plan_joins_by_equality(spark):
     left, right = tables(spark, FACTS, SPANS)
     plan = covering(left, right, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "_bin" in plan
+
+
+@pytest.mark.parametrize("scale", [0, 1, 10**6, 10**9, 10**12])
+def test_counts_agree_with_pairs(spark, scale):
+    """Also of ends on the bins' edges, open ends, single instants, times before 1970 and repeated rows."""
+    draw = random.Random(scale)
+    facts, spans = FACTS, SPANS
+    if scale:
+        step = scale * 8**3 // 10**2 + 1
+        facts = [(i, f"k{draw.randrange(3)}", draw.randrange(-500, 1500) * step) for i in range(300)]
+        spans = []
+        for i in range(250):
+            a = draw.choice([None] + [draw.randrange(-500, 1500) * step] * 12)
+            b = draw.choice([None] + [(a or 0) + int(draw.expovariate(1 / 40)) * step] * 12)
+            spans += [(f"k{draw.randrange(4)}", a, b, i)] * draw.choice([1, 1, 2])
+        spans += [("k1", t, t, 999) for _, k, t in facts if k == "k1"]
+    left, right = tables(spark, facts, spans)
+    left = left.withColumnRenamed("n", "id")
+    met = covering(left, right, ["k"], how="count", value="v")
+    assert met.columns == ["id", "k", "ts", "n", "highest"]
+    got = {r["id"]: (r["n"], r["h"]) for r in met.groupBy("id").agg(F.sum("n").alias("n"), F.max("highest").alias("h")).collect()}
+    pairs = plain(facts, spans)
+    wanted = {}
+    for (i, v), times in pairs.items():
+        n, highest = wanted.get(i, (0, v))
+        wanted[i] = n + times, max(highest, v)
+    assert got == wanted and (scale or len(wanted) > 5)
+    assert covering(left, right.limit(0), ["k"], how="count", value="v").count() == 0
+
+
+def test_counting_makes_no_pairs(spark, sf):
+    """A busy enterprise's requests and payments are counted, not paired."""
+    plan = temporal.payments_at_instant(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    joined = [x for x in plan.splitlines() if "Join Inner" in x]
+    # Only the slices that have facts meet the bins around them.
+    assert len(joined) == 1 and "_slice" not in joined[0] and "event_id" not in joined[0]
+    assert "Window" in plan

@@ -9,6 +9,9 @@ alone.
 
 A busy key is spread over its bins, and is split at run time where one bin is still large, as neither
 side of the join is an aggregate.
+
+Pairs of facts and intervals grow with the square of a key's rows. Where only their number and the highest
+value are wanted, :func:`covering` counts them without making them, see :func:`_counted`.
 """
 
 from __future__ import annotations
@@ -99,6 +102,7 @@ def covering(
     start: str = "start",
     end: str = "end",
     how: str = "inner",
+    value: str | None = None,
 ) -> DataFrame:
     """Facts with every interval of their key that holds at their time, both ends included.
 
@@ -106,7 +110,13 @@ def covering(
     intervals of a key should be disjoint (:func:`merged`), else a fact comes once for each level it
     is covered on. Facts without key or time meet none. The interval's columns that facts have too,
     keys aside, must be renamed before.
+
+    With ``how="count"`` no pairs are made: facts that some interval covers come with ``n``, the number of
+    such intervals, and ``highest``, the highest ``value`` of them. A fact may come in several rows, one for each level
+    that it is covered on: add up ``n`` and take the highest ``highest``.
     """
+    if how == "count":
+        return _counted(facts, intervals, list(keys), at, start, end, value)
     bins = listed(intervals.dropna(subset=list(keys)), start, end)
     wanted = [*keys, _LEVEL, _BIN]
     left = probed(facts.dropna(subset=list(keys)), at, levels_in_use(bins)).alias("f")
@@ -123,6 +133,108 @@ def covering(
     return met.select(*(F.col(f"f.{c}").alias(c) for c in facts.columns), *added)
 
 
+#: Level of the slices of time, 2.4 hours wide.
+SLICE = 11
+_TIME, _N, _HIGHEST, _FACT = "_time", "_n", "_highest", "_fact"
+_FIRST, _LAST = -(1 << 62), (1 << 62) - 1  # before and after all times
+
+
+def _shifted(time: Column, level: Column | int) -> Column:
+    """The bin of a time, exactly; the level may differ by row."""
+    return F.call_function("shiftright", time, F.lit(level) * 3)  # 8 is 2 ** 3
+
+
+def _level_apart(a: Column, b: Column) -> Column:
+    """The highest level up to ``SLICE`` on which two times are in different bins; 0 for one time."""
+    level = F.lit(0)
+    for k in range(1, SLICE + 1):
+        level = F.when(_shifted(a, k) != _shifted(b, k), k).otherwise(level)
+    return level
+
+
+def _covers(first: Column, last: Column) -> Column:
+    """``(level, bin)`` of the widest bins, from ``SLICE`` up, that make up the slices ``first`` to ``last``."""
+
+    def span(low: Column, high: Column) -> Column:
+        bins = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(bins, lambda x: F.struct(F.lit(level).alias(_LEVEL), x.alias(_BIN)))
+
+    parts = []
+    for level in range(SLICE, LEVELS - 1):
+        above, below = _shifted(first + STEP - 1, 1), _shifted(last + 1, 1) - 1
+        head = F.least(last, above * STEP - 1)
+        parts += [span(first, head), span(F.greatest(head + 1, (below + 1) * STEP), last)]
+        first, last = above, below
+    level = LEVELS - 1
+    return F.flatten(F.array(*parts, span(first, last)))
+
+
+def _counted(
+    facts: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str, value: str | None
+) -> DataFrame:
+    """Number and highest value of the intervals around each fact; rows grow with the input, not with pairs.
+
+    An interval's two ends are put into their bins on the highest level where these differ. In the first
+    bin it covers the facts from its start on, in the last one those up to its end, and bins between it
+    covers whole. So running sums and maxima over the ends in a bin, forwards over starts and backwards
+    over ends, tell what a fact meets there. No level is above ``SLICE``: what covers slices whole is put
+    into the few widest bins that make them up, and each slice with facts adds up the bins around it. So a
+    key is dealt out over its slices of time, however long its intervals are; facts of one key and slice
+    are sorted by one task.
+    """
+    a, b = F.coalesce(micros(start), F.lit(_FIRST)), F.coalesce(micros(end), F.lit(_LAST))
+    highest = F.col(value) if value else F.lit(None).cast("double")
+    spans = intervals.dropna(subset=keys).select(*keys, a.alias("_a"), b.alias("_b"), highest.alias(_HIGHEST))
+    spans = spans.where("_a <= _b").withColumn(_LEVEL, _level_apart(F.col("_a"), F.col("_b")))
+    own, sums = F.col(_LEVEL), [F.sum(_N).alias(_N), F.max(_HIGHEST).alias(_HIGHEST)]
+    spans = spans.groupBy(*keys, _LEVEL, "_a", "_b").agg(F.count(F.lit(1)).alias(_N), F.max(_HIGHEST).alias(_HIGHEST))
+    low, high = _shifted(F.col("_a"), own), _shifted(F.col("_b"), own)
+    place = [*keys, _LEVEL, _BIN]
+
+    starts = spans.where(F.col("_a") != _FIRST).select(*keys, _LEVEL, low.alias(_BIN), F.col("_a").alias(_TIME), _N, _HIGHEST)
+    # One instant is met at its start alone.
+    ends = spans.where((F.col("_b") != _LAST) & (F.col("_a") < F.col("_b")))
+    ends = ends.select(*keys, _LEVEL, high.alias(_BIN), F.col("_b").alias(_TIME), _N, _HIGHEST)
+
+    between = F.transform(F.sequence(low, high), lambda x: F.struct(own.alias(_LEVEL), x.alias(_BIN)))
+    between = F.filter(between, lambda x: (x[_BIN] > low) & (x[_BIN] < high))
+    held = F.when(own < SLICE, between).otherwise(_covers(low + 1, high - 1))
+    whole = spans.select(*keys, F.explode(held).alias("_place"), _N, _HIGHEST)
+    whole = whole.select(*keys, f"_place.{_LEVEL}", f"_place.{_BIN}", _N, _HIGHEST).groupBy(*place).agg(*sums)
+
+    known = facts.dropna(subset=[*keys, at])
+    slices = known.select(*keys, _shifted(micros(at), SLICE).alias("_slice")).distinct()
+    around = F.array(*(
+        F.struct(F.lit(k).alias(_LEVEL), _shifted(F.col("_slice"), k - SLICE).alias(_BIN)) for k in range(SLICE, LEVELS)
+    ))
+    around = slices.select("*", F.explode(around).alias("_place"))
+    around = around.select(*keys, "_slice", f"_place.{_LEVEL}", f"_place.{_BIN}").join(whole, place)
+    carried = around.groupBy(*keys, F.lit(SLICE).alias(_LEVEL), F.col("_slice").alias(_BIN)).agg(*sums)
+    carried = carried.unionByName(whole.where(own < SLICE)).withColumn(_TIME, F.lit(_FIRST))
+
+    levels = sorted({SLICE, *levels_in_use(spans)})
+    probes = F.array(*(F.struct(F.lit(k).alias(_LEVEL), _shifted(micros(at), k).alias(_BIN)) for k in levels))
+    asked = known.select(*keys, micros(at).alias(_TIME), F.struct(*facts.columns).alias(_FACT), F.explode(probes).alias("_place"))
+    asked = asked.select(*keys, f"_place.{_LEVEL}", f"_place.{_BIN}", _TIME, _FACT)
+    met = asked
+    for rows, side in ((starts.unionByName(carried), "from"), (ends, "to")):
+        rows = rows.withColumnsRenamed({_N: f"{_N}_{side}", _HIGHEST: f"{_HIGHEST}_{side}"})
+        met = met.unionByName(rows, allowMissingColumns=True)
+    found = {}
+    for side, time in (("from", F.col(_TIME).asc()), ("to", F.col(_TIME).desc())):
+        # At one time ends come before facts, whose struct is not null.
+        order = Window.partitionBy(*place).orderBy(time, F.col(_FACT).isNotNull())
+        running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        found[f"{_N}_{side}"] = F.coalesce(F.sum(f"{_N}_{side}").over(running), F.lit(0))
+        found[f"{_HIGHEST}_{side}"] = F.max(f"{_HIGHEST}_{side}").over(running)
+    met = met.withColumns(found).where(F.col(_FACT).isNotNull())
+    return met.select(
+        *(F.col(f"{_FACT}.{c}").alias(c) for c in facts.columns),
+        (F.col(f"{_N}_from") + F.col(f"{_N}_to")).alias("n"),
+        F.greatest(f"{_HIGHEST}_from", f"{_HIGHEST}_to").alias("highest"),
+    ).where("n > 0")
+
+
 def keep_covered(
     facts: DataFrame,
     intervals: DataFrame,

@@ -138,9 +138,11 @@ def paid_at_instant(spark, sf):
 )
 def payments_at_instant(spark, sf):
     """How many payments run at each request's instant, and the highest of them."""
-    met = intervals.covering(_org_events(spark, sf), _timed_payments(spark, sf), ["instance_id"])
+    met = intervals.covering(
+        _org_events(spark, sf), _timed_payments(spark, sf), ["instance_id"], how="count", value="total_fee"
+    )
     return met.groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("payments"), F.max("total_fee").alias("highest_fee")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("payments"), F.max("highest").alias("highest_fee")
     )
 
 
