@@ -257,3 +257,29 @@ def test_ranking_is_a_minimum_and_cuts_at_the_best_quantile():
 
     assert wrong(model.threshold) == pytest.approx(min(wrong(c) for c in [*values, values.max() + 1]))
     assert ((model.scores(good) >= pairwise_quality.CUT) == (model.raw(good) >= model.threshold)).all()
+
+
+def test_all_pairs_follow_from_the_grid():
+    r = np.random.default_rng(7)
+    good, bad, weights = r.normal(0.5, 1, (90, 3)), r.normal(-0.5, 2, (70, 3)), np.array([0.8, -0.3, 1.1])
+    both = np.concatenate((good, bad))
+    grid = pairwise_quality.Grid.of(weights, both.min(0), both.max(0))
+    loss, slope = pairwise_quality.loss_and_slope(grid, grid.sums(good), grid.sums(bad))
+    gaps = (good[:, None, :] - bad[None, :, :]).reshape(-1, 3)
+    assert loss == pytest.approx(np.log1p(np.exp(-gaps @ weights)).mean(), abs=1e-4)
+    assert slope == pytest.approx(-(gaps / (1 + np.exp(gaps @ weights))[:, None]).mean(0), abs=1e-4)
+
+
+def test_every_labelled_document_is_learnt_from(spark):
+    """More rows of a class than the former sample of 4,000 had."""
+    rows = [(i, "some words here." if i % 2 else "other words, here and there") for i in range(10_500)]
+    rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    assert min(Counter(i % 2 for i, _ in rows).values()) > 4000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows] + [(None, 1)], "doc_id long, quality int")
+    model = pairwise_quality.fit(docs, marks)
+    x = pairwise_quality.features(stats_of(pa.array([t for _, t in rows])))
+    good = np.array([i % 2 == 1 for i, _ in rows])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0) + 1e-6, atol=1e-5)
+    plain = pairwise_quality.rank(x[good], x[~good])
+    assert np.allclose(model.weights, plain.weights, atol=1e-3) and model.threshold == pytest.approx(plain.threshold, abs=1e-3)
