@@ -1,11 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.llm import jaccard_join
-from tidegauge.llm.jaccard_join import similarity_components
+from tidegauge.llm.jaccard_join import least_apart, similarity_components, sketch
 
 
 def brute(rows, width, num, den):
@@ -110,3 +111,33 @@ def test_rows_repeated_over_a_block_beside_a_pivot_they_do_not_link_to(spark, mo
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert got(similarity_components(df, 1, 85, 100)) == brute(rows, 1, 85, 100)
     assert found[0] == (1, 1)
+
+
+def test_sketches_never_overstate_a_distance():
+    r = np.random.default_rng(3)
+    for size in (1, 5, 16, 17, 200, 3000):
+        own = np.unique(r.integers(0, 1 << 63, size, dtype=np.uint64))
+        for lost in (0, size // 20, size // 2, size):
+            other = np.concatenate((own[lost:], r.integers(0, 1 << 63, lost + size // 3, dtype=np.uint64)))
+            least = least_apart(*(np.frombuffer(sketch(x), np.uint8) for x in (own, other)))
+            assert least <= len(np.setxor1d(own, other))
+            assert least or not len(np.setxor1d(own, other)) or size < 200
+
+
+def test_texts_that_share_a_passage_alone_are_not_compared(spark, monkeypatch):
+    """Sketches decide them; before, each member's text went to its pivot's group."""
+    compared = []
+    plain = jaccard_join.compared
+
+    def counting(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "compared", counting)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join([*passage, *(f"x{i}_{k}" for k in range(120))])) for i in range(30)]
+    rows += [(100 + i, f"{rows[0][1]} tail{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jaccard_join, "signatures", lambda tokens, *rest: tokens)
+    assert got(similarity_components(df, 4, 85, 100)) == brute(rows, 4, 85, 100)
+    assert sum(compared) < 10

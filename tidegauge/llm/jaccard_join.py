@@ -24,6 +24,9 @@ Where a pivot has members outside its own component, these are held against all
 the stored differences and in blocks, so that no link between components is lost and no task holds
 a whole group. A group of n near copies costs n comparisons of texts.
 
+Before texts are compared, sketches of a few bits a token give a number of tokens by which two sets differ at
+least, and drop the pairs that this alone puts too far apart.
+
 Members with a similarity to the pivot under one half are far. Their differences are not stored; they
 meet the others of their bucket in pairs of texts, as far as sizes, components and the triangle
 inequality of the Jaccard distance let two members link: never with one nearer than 0.5 - (1 - num / den).
@@ -177,8 +180,8 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, limit: int, num: int, den
 
 
 def set_table(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, Broadcast]:
-    """Per document: its id, the hash that names its set, the set's size and its signatures; and the
-    frequency table that they are made by."""
+    """Per document: its id, the hash that names its set, the set's size, its signatures and its sketch; and
+    the frequency table that the signatures are made by."""
     counts = slot_counts(docs, width)
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     limit = frequent_from(counts)
@@ -198,12 +201,14 @@ def set_table(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFram
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([commonness(x, shared.value) for x in sets], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
+                    pa.array([sketch(x) for x in sets], pa.binary()),
                 ],
-                names=["id", "key", "node", "n", "weight", "signatures"],
+                names=["id", "key", "node", "n", "weight", "signatures", "sketch"],
             )
 
     fields = [T.StructField(c, T.LongType()) for c in ("node", "n", "weight")]
     fields.append(T.StructField("signatures", T.ArrayType(T.LongType())))
+    fields.append(T.StructField("sketch", T.BinaryType()))
     return map_texts(docs, work, T.StructType([docs.schema["id"], docs.schema["key"], *fields])), shared
 
 
@@ -227,20 +232,72 @@ def written(spark: SparkSession, df: DataFrame, purpose: str, *read_by: Broadcas
     return spark.read.schema(df.schema).parquet(path)
 
 
+def beside_pivots(pairs: DataFrame) -> DataFrame:
+    """``(a, share, role, node)``: the members (role 1) of each pivot, dealt into groups of about ``SHARE``, and the
+    pivot (role 0) in each of its groups."""
+    share = F.pmod(F.xxhash64("b"), F.col("shares")).cast("int")
+    spread = pairs.join(blocks_of(pairs, SHARE, "shares"), "a").select("a", share.alias("share"), "b")
+    return spread.select("a", "share", F.col("b").alias("node"), F.lit(1).alias("role")).unionByName(
+        spread.select("a", "share", F.col("a").alias("node"), F.lit(0).alias("role")).distinct()
+    )
+
+
+def grouped_by_pivot(rows: DataFrame) -> DataFrame:
+    return rows.repartition("a", "share").sortWithinPartitions("a", "share", "role", "node")
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """For each of 2 to 4 bins a token (64 at least), whether the number of tokens in it is odd. Two sets differ in at least
+    as many tokens as their sketches differ in bins."""
+    bins = max(64, 1 << (2 * len(tokens)).bit_length())
+    odd = np.bincount((tokens & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def least_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """A number of tokens by which two sets differ at least, from their sketches; the longer one is folded."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def promising(pairs: DataFrame, sets: DataFrame, reach: float) -> DataFrame:
+    """The pairs but those whose sketches alone put them further apart than ``reach``. A stored table.
+
+    A sketch is at most half a byte a token, so that most pairs are decided without shuffling their texts.
+    """
+    sketches = sets.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    grouped = beside_pivots(pairs).join(sketches, "node").select("a", "share", "role", "node", "n", "sketch")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, held, size = None, None, 0
+        for batch in batches:
+            out = []
+            for a, share, role, node, n, bins in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                own = np.frombuffer(bins, np.uint8)
+                if role == 0:
+                    pivot, held, size = (a, share), own, n
+                    continue
+                assert pivot == (a, share)
+                if least_apart(held, own) * (2 - reach) <= (size + n) * reach:
+                    out.append((a, node))
+            if out:
+                columns = [pa.array(x, pa.int64()) for x in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    found = map_texts(grouped_by_pivot(grouped), work, "a long, b long")
+    return written(pairs.sparkSession, found, "pairs")
+
+
 def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """For pairs of a pivot ``a`` and a member ``b``, from their texts: the member's size, whether they
     link, their distance, and the tokens in only one of the sets, unless they are far apart. A stored table.
 
-    A pivot's members are dealt into groups of about ``SHARE``, each of which gets the pivot's text
-    too; a group streams its members past the pivot's set.
+    A group of a pivot's members streams past the pivot's set.
     """
     spark = docs.sparkSession
-    share = F.pmod(F.xxhash64("b"), F.col("shares")).cast("int")
-    spread = pairs.join(blocks_of(pairs, SHARE, "shares"), "a").select("a", share.alias("share"), "b")
-    wanted = spread.select("a", "share", F.col("b").alias("node"), F.lit(1).alias("role")).unionByName(
-        spread.select("a", "share", F.col("a").alias("node"), F.lit(0).alias("role")).distinct()
-    )
-    wanted = wanted.join(nodes.select("node", "named.id", "named.key"), "node")
+    wanted = beside_pivots(pairs).join(nodes.select("node", "named.id", "named.key"), "node")
     bits = spark.sparkContext.broadcast(bitmap(wanted.select("key")))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,8 +311,7 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, nu
     docs = map_texts(docs, needed, docs.schema)
     # Equal rows of different tasks follow each other, and all but the first are passed over.
     same = wanted["id"].eqNullSafe(docs["id"]) & (wanted["key"] == docs["key"])
-    grouped = wanted.join(docs, same).select("a", "share", "role", "node", "text")
-    grouped = grouped.repartition("a", "share").sortWithinPartitions("a", "share", "role", "node")
+    grouped = grouped_by_pivot(wanted.join(docs, same).select("a", "share", "role", "node", "text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, held, last = None, None, None
@@ -343,7 +399,7 @@ def far_pairs(buckets: DataFrame, checked: DataFrame, labels: DataFrame, sizes:
     """Pairs of bucket members that may still link, at least one of them far from the pivot."""
     reach = 1 - num / den + 1e-9
     known = checked.select("a", F.col("b").alias("node"), "d").distinct()
-    # A member that was not compared has less than half the size of the pivot, or more than twice.
+    # A member that was not compared is far: by its size, or by its sketch.
     member = buckets.where("a != node").join(known, ["a", "node"], "left")
     member = member.where(F.coalesce(F.col("d") >= FAR - reach, F.lit(True))).join(sizes, "node")
     member = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -448,11 +504,14 @@ def labelled_nodes(docs: DataFrame, width: int, num: int, den: int) -> tuple[Dat
         pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
     alike = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (1 - FAR)
     pairs = written(spark, pairs.where(alike).select("a", "b"), "pairs")
+    pairs = promising(pairs, sets, FAR)
     checked = compared(pairs, nodes, docs, width, num, den)
     links = checked.where("link").select("a", "b")
     labels = components(spark, links)
     more = written(spark, further_links(checked, labels, num, den), "links")
     rest = written(spark, far_pairs(buckets, checked, labels, sizes, num, den), "pairs")
+    if not rest.isEmpty():
+        rest = promising(rest, sets, 1 - num / den + 1e-9)
     if not rest.isEmpty():
         late = compared(rest, nodes, docs, width, num, den).where("link").select("a", "b")
         more = more.union(written(spark, late, "links"))
