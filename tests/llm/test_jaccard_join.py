@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +143,25 @@ def test_texts_that_share_a_passage_alone_are_not_compared(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "signatures", lambda tokens, *rest: tokens)
     assert got(similarity_components(df, 4, 85, 100)) == brute(rows, 4, 85, 100)
     assert sum(compared) < 10
+
+
+def test_tables_of_a_task_hold_no_more_than_their_final_size(spark):
+    """What a task holds for its table: before, one of four bytes a slot and copies of it, or a byte a bit."""
+    held = []
+
+    def traced(work, batches):
+        tracemalloc.start()
+        list(work(iter(batches)))
+        held.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+
+    docs = pa.RecordBatch.from_pydict({"text": ["a b c d e f"] * 3})
+    values = pa.RecordBatch.from_pydict({"v": pa.array([1, 2, 3], pa.int64())})
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(jaccard_join, "map_texts", lambda df, work, schema: traced(work, [docs]))
+        m.setattr(jaccard_join, "combined_tables", lambda partial, combine, empty: b"")
+        jaccard_join.slot_counts(spark.createDataFrame([("a",)], "text string"), 4)
+        m.setattr(jaccard_join, "map_texts", lambda df, work, schema: traced(work, [values]))
+        jaccard_join.bitmap(None)
+    assert held[0] < 3 << jaccard_join.SLOT_BITS
+    assert held[1] < 3 << (jaccard_join.BITMAP_BITS - 3)

@@ -81,13 +81,12 @@ def slot_counts(docs: DataFrame, width: int) -> np.ndarray:
     """Document frequencies by hash slot, up to 65,535; partial tables are added up on executors."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << SLOT_BITS, np.uint32)
+        table = np.zeros(1 << SLOT_BITS, np.uint16)
         for batch in sliced(batches, "text"):
             sets = shingle_sets(words(text_of(batch, "text"), NOT_SPACE), width)
             slot, n = np.unique(slots(np.concatenate(sets)), return_counts=True)
-            table[slot] += n.astype(np.uint32)
-        counts = np.minimum(table, np.iinfo(np.uint16).max).astype(np.uint16)
-        yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(counts.tobytes(), 1)]})
+            table[slot] = np.minimum(table[slot] + n, np.iinfo(np.uint16).max)
+        yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(table, 1)]})
 
     partial = map_texts(docs.select("text"), work, "counts binary")
     empty = np.zeros(1 << SLOT_BITS, np.uint16)
@@ -106,9 +105,9 @@ def combined_tables(partial: DataFrame, combine: Callable, empty: np.ndarray) ->
 
     def merge(a: bytes, b: bytes) -> bytes:
         both = (np.frombuffer(zlib.decompress(x), empty.dtype) for x in (a, b))
-        return zlib.compress(combine(*both).tobytes(), 1)
+        return zlib.compress(combine(*both), 1)
 
-    start = zlib.compress(empty.tobytes(), 1)
+    start = zlib.compress(empty, 1)
     tables = partial.rdd.map(lambda r: bytes(r[0]))
     return zlib.decompress(tables.treeAggregate(start, merge, merge, depth=3))
 
@@ -121,10 +120,12 @@ def bitmap(values: DataFrame) -> np.ndarray:
     """Which slots the values of the first column fall into."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << BITMAP_BITS, bool)
+        table = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
         for batch in batches:
-            table[bitmap_slots(batch.column(0).to_numpy())] = True
-        yield pa.RecordBatch.from_pydict({"bits": [zlib.compress(np.packbits(table).tobytes(), 1)]})
+            slot = bitmap_slots(batch.column(0).to_numpy())
+            np.bitwise_or.at(table, slot >> 3, (0x80 >> (slot & 7)).astype(np.uint8))
+        if table.any():
+            yield pa.RecordBatch.from_pydict({"bits": [zlib.compress(table, 1)]})
 
     empty = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     return np.frombuffer(combined_tables(map_texts(values, work, "bits binary"), np.bitwise_or, empty), np.uint8)
