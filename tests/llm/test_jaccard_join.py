@@ -165,3 +165,21 @@ def test_tables_of_a_task_hold_no_more_than_their_final_size(spark):
         jaccard_join.bitmap(None)
     assert held[0] < 3 << jaccard_join.SLOT_BITS
     assert held[1] < 3 << (jaccard_join.BITMAP_BITS - 3)
+
+
+def test_sets_are_made_of_little_text_at_once(spark):
+    """Before, sets were made of 1 MB of text at once, with some 50 MB of arrays."""
+    docs = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(200)]})
+    held = []
+
+    def traced(df, work, schema):
+        tracemalloc.start()
+        list(work(iter([docs])))
+        held.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(jaccard_join, "map_texts", traced)
+        m.setattr(jaccard_join, "combined_tables", lambda partial, combine, empty: b"")
+        jaccard_join.slot_counts(spark.createDataFrame([("a",)], "text string"), 4)
+    assert held[0] < 40 << 20

@@ -1,12 +1,18 @@
+import os
+import subprocess
+import sys
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tidegauge.llm import packing
 from tidegauge.llm.packing import Plan, UnitEncoder, pack
 from tidegauge.llm.queries import op10_best_fit_packing, tokenizer_path
 
@@ -102,3 +108,32 @@ def test_encoder_forgets(monkeypatch, size):
     for _ in range(3):
         ids, firsts = encoder.documents(pa.array(ODD))
         assert [ids[a:b].tolist() for a, b in zip(firsts[:-1], firsts[1:])] == [naive(t) for t in ODD]
+
+
+def test_task_holds_little_beside_the_tokenizer(spark, monkeypatch):
+    """Before: some 40 bytes for each of 1 MB of text, and a dictionary of the units."""
+    rows = [" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(200), "text": rows})
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    monkeypatch.setattr(packing, "map_texts", lambda df, work, schema: work)
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    work = packing.pieces_of(docs, tokenizer_path(), 2048, "doc_id", "text", False)
+    tracemalloc.start()
+    assert sum(len(x) for x in work(iter([batch]))) >= 200
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 32 << 20
+
+
+def test_encoder_starts_no_threads():
+    """A pool of them would keep memory of its own in each Python worker."""
+    code = (
+        "import os, sys; from tidegauge.llm.packing import UnitEncoder; import pyarrow as pa\n"
+        "threads = lambda: len(os.listdir('/proc/self/task'))\n"
+        "encoder = UnitEncoder(sys.argv[1], 0); texts = pa.array(['a b', 'c%d'] * 2000); before = threads()\n"
+        "encoder.documents(texts); sys.exit(threads() - before)"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(packing.__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    env["PYTHONPATH"] = os.path.dirname(root)
+    assert subprocess.run([sys.executable, "-c", code, tokenizer_path()], env=env).returncode == 0

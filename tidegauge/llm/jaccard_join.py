@@ -60,6 +60,8 @@ from tidegauge.session import shared_dir
 SLOT_BITS = 23
 #: Bits of the bitmaps: 4 MB each whatever the corpus.
 BITMAP_BITS = 25
+#: Bytes of text that a task makes sets of at once: what it holds besides is a multiple of this.
+SET_BYTES = 256 << 10
 #: Members that share one copy of their pivot's text.
 SHARE = 64
 #: Distance from the pivot beyond which a member is far.
@@ -82,7 +84,7 @@ def slot_counts(docs: DataFrame, width: int) -> np.ndarray:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << SLOT_BITS, np.uint16)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SET_BYTES):
             sets = shingle_sets(words(text_of(batch, "text"), NOT_SPACE), width)
             slot, n = np.unique(slots(np.concatenate(sets)), return_counts=True)
             table[slot] = np.minimum(table[slot] + n, np.iinfo(np.uint16).max)
@@ -188,7 +190,7 @@ def set_table(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFram
     limit = frequent_from(counts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SET_BYTES):
             sets = shingle_sets(words(text_of(batch, "text"), NOT_SPACE), width)
             names = np.array([set_name(x) for x in sets], np.uint64).view(np.int64)
             signed = [signatures(x, shared.value, limit, num, den) for x in sets]
@@ -316,7 +318,7 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, nu
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, held, last = None, None, None
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SET_BYTES):
             sets = shingle_sets(words(text_of(batch, "text"), NOT_SPACE), width)
             rows = batch.select(["a", "share", "role", "node"]).to_pydict()
             out = []

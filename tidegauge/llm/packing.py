@@ -17,6 +17,7 @@ twice; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -33,8 +34,10 @@ from tidegauge.session import shared_dir
 
 CAPACITY = 2048
 END_ID = 0
-#: Distinct units whose ids a task remembers.
+#: Distinct units whose ids a task remembers, about 30 bytes each.
 REMEMBERED = 400_000
+#: Bytes of text that a task encodes at once: what it holds besides is a small multiple of this.
+ENCODED_BYTES = 256 << 10
 RANK_BITS = 50
 
 #: A space before one of these bytes always begins a token: visible ASCII and the lead
@@ -58,6 +61,8 @@ class UnitEncoder:
     """
 
     def __init__(self, path: str, end_id: int) -> None:
+        # A task has one core; each thread of a pool would keep memory of its own in the worker.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,7 +75,8 @@ class UnitEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        #: Sorted hashes of the units, and the place of each in ``at`` and ``size``.
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.ids = np.array([self.end_id], np.uint32)
         self.at, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
 
@@ -133,14 +139,16 @@ class UnitEncoder:
             distinct, first, back = np.unique(
                 hashes(data, start, end), return_index=True, return_inverse=True
             )
-            known, keys = self.known, distinct.tolist()
-            new = [i for i, key in enumerate(keys) if key not in known]
-            if new:
-                base = len(self.at)
+            after = np.searchsorted(self.known, distinct, "right")
+            new = np.append(np.uint64(0), self.known)[after] != distinct
+            new |= after == 0
+            if new.any():
+                places = np.arange(len(self.at), len(self.at) + new.sum())
                 chosen = first[new]
                 self.learn(data, start[chosen], end[chosen], np.isin(start[chosen], offsets[special]))
-                known.update((keys[i], base + j) for j, i in enumerate(new))
-            unit = np.fromiter((known[key] for key in keys), np.int64, len(keys))[back]
+                self.known = np.insert(self.known, after[new], distinct[new])
+                self.place = np.insert(self.place, after[new], places)
+            unit = self.place[np.searchsorted(self.known, distinct)][back]
         per_text = np.searchsorted(start, offsets)
         unit = np.insert(unit, per_text[1:], 0)  # unit 0 is the end id
         size = self.size[unit]
@@ -157,7 +165,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = UnitEncoder(tokenizer, END_ID)
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in sliced(batches, text_col):
+        for batch in sliced(batches, text_col, ENCODED_BYTES):
             ids, firsts = encoder.documents(text_of(batch, text_col))
             total = np.diff(firsts)
             count = -(-total // capacity)
